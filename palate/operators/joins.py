@@ -3,33 +3,61 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from math import ceil
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from palate.operators.staging import stage
+from palate.operators.staging import stage_measured
 
 #: A staged table is broadcast only if its rows, written as text, stay below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-#: No (key, cell) group of the big side is expected to exceed this share of its rows.
+#: Keys above this share of the rows are hot, and are cut into cells of that share.
 HOT_SHARE = 1 / 512
 
-_CELLS, _CELL, _ROWS = "_hot_cells", "_cell", "_key_rows"
+_CELL = "_cell"
 
 
-def hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> DataFrame:
-    """Keys holding more than ``share`` of all rows, and the cells to cut each into.
+def _require_same_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> None:
+    types = dict(left.dtypes), dict(right.dtypes)
+    for name in on:
+        if types[0][name] != types[1][name]:
+            raise TypeError(f"join column {name}: {types[0][name]} and {types[1][name]}")
 
-    At most ``1 / share`` keys can qualify, whatever the size of ``df``, and their
-    cells sum to at most ``2 / share``. Counting combines on the map side and is
-    exact, so every evaluation of this frame gives the same rows.
+
+@dataclass(frozen=True)
+class HotKeys:
+    """Hashes of the keys that hold a large share of some rows, with their cell counts."""
+
+    on: tuple[str, ...]
+    cells: dict[int, int]
+
+    def cells_of_row(self) -> Column:
+        """How many cells a row's key is cut into; 1 for all but the hot keys."""
+        known = F.create_map(*(F.lit(part) for item in self.cells.items() for part in item))
+        return F.coalesce(F.try_element_at(known, F.xxhash64(*self.on)), F.lit(1))
+
+
+def find_hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> HotKeys:
+    """The keys holding more than ``share`` of the rows of ``df``.
+
+    One pass with a frequent-items sketch: no shuffle by key, and what reaches the
+    driver has at most ``1 / share`` entries, as no more keys can be that frequent. The
+    sketch tracks many times that number, so its error is far below the share. Two keys
+    with one hash are treated alike, and a wrong estimate changes only the balance of a
+    join, never its result.
     """
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias(_ROWS))
-    limit = counts.agg((F.sum(_ROWS) * F.lit(share)).alias("limit")).scalar()
-    return counts.filter(F.col(_ROWS) > limit).select(
-        *on, F.ceil(F.col(_ROWS) / limit).cast("int").alias(_CELLS)
-    )
+    most = ceil(1 / share)
+    columns = ", ".join(f"`{name}`" for name in on)
+    found = df.agg(
+        F.expr(f"approx_top_k(xxhash64({columns}), {most}, {16 * most})").alias("keys"),
+        F.count(F.lit(1)).alias("rows"),
+    ).first()
+    limit = share * found["rows"]
+    frequent = {key["item"]: key["count"] for key in found["keys"] or [] if key["count"] > limit}
+    return HotKeys(tuple(on), {item: ceil(count / limit) for item, count in frequent.items()})
 
 
 def spread_join(
@@ -37,51 +65,63 @@ def spread_join(
     small: DataFrame,
     on: Sequence[str],
     how: str = "inner",
+    hot: HotKeys | None = None,
     share: float = HOT_SHARE,
 ) -> DataFrame:
     """``big.join(small, on, how)`` with the hot keys of ``big`` cut into cells.
 
-    A row of a hot key goes to the cell picked by the hash of its other columns;
+    A row of a hot key goes to the cell picked by the hash of its other columns, and
     the rows of ``small`` with that key are copied to each of its cells. So each row
-    of ``big`` still meets every partner exactly once, also when a lost task is run
-    again. Rows of ``big`` should be distinct: equal rows share a cell.
+    of ``big`` meets every partner exactly once, also when a lost task runs again. All
+    cells together number at most ``2 / share``, which bounds the copies. Rows of
+    ``big`` should be distinct: equal rows share a cell. Without hot keys this is the
+    plain join.
 
+    ``hot`` may come from the raw rows behind ``big``; by default ``big`` is examined.
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported join type: {how}")
     on = list(on)
-    hot = F.broadcast(hot_keys(big, on, share))
+    _require_same_types(big, small, on)
+    hot = find_hot_keys(big, on, share) if hot is None else hot
+    if not hot.cells:
+        return big.join(small, on, how)
     others = [name for name in big.columns if name not in on]
-    cell = F.pmod(F.xxhash64(*others), F.col(_CELLS)) if others else F.lit(0)
-    left = (
-        big.join(hot, on, "left")
-        .withColumn(_CELL, F.coalesce(cell.cast("int"), F.lit(0)))
-        .drop(_CELLS)
-    )
-    right = (
-        small.join(hot, on, "left")
-        .withColumn(_CELL, F.explode(F.sequence(F.lit(0), F.coalesce(_CELLS, F.lit(1)) - 1)))
-        .drop(_CELLS)
-    )
+    cells = hot.cells_of_row()
+    cell = F.pmod(F.xxhash64(*others), cells.cast("bigint")).cast("int") if others else F.lit(0)
+    left = big.withColumn(_CELL, cell)
+    right = small.withColumn(_CELL, F.explode(F.sequence(F.lit(0), cells - 1)))
     return left.join(right, [*on, _CELL], how).drop(_CELL)
 
 
+@dataclass(frozen=True)
+class Lookup:
+    """The smaller side of a join, computed once and measured."""
+
+    df: DataFrame
+    fits: bool
+
+    @classmethod
+    def of(cls, df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> Lookup:
+        staged = stage_measured(df, "lookup")
+        return cls(staged.df, staged.bytes <= max_bytes)
+
+
 def lookup_join(
     big: DataFrame,
-    small: DataFrame,
+    small: DataFrame | Lookup,
     on: Sequence[str],
-    max_bytes: int = BROADCAST_BYTES,
+    how: str = "inner",
     share: float = HOT_SHARE,
 ) -> DataFrame:
-    """Inner join to a side that is expected, but not known, to be small.
+    """Join to a side that is expected, but not known, to be small.
 
-    ``small`` is computed once, staged and measured. Up to ``max_bytes`` it is
-    broadcast and ``big`` is not shuffled at all; beyond, ``spread_join`` takes over.
+    ``small`` is staged and measured, unless it is a ``Lookup`` already. Up to
+    ``BROADCAST_BYTES`` it is broadcast and ``big`` is not shuffled at all; beyond,
+    ``spread_join`` takes over.
     """
-    small = stage(small, "lookup")
-    text = F.to_csv(F.struct(*small.columns))
-    size = small.agg(F.sum(F.octet_length(text)).alias("bytes")).first()["bytes"] or 0
-    if size <= max_bytes:
-        return big.join(F.broadcast(small), list(on))
-    return spread_join(big, small, on, share=share)
+    small = small if isinstance(small, Lookup) else Lookup.of(small)
+    if small.fits:
+        return big.join(F.broadcast(small.df), list(on), how)
+    return spread_join(big, small.df, on, how, share=share)

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palate.functions.numeric import cosine
-from palate.operators.joins import lookup_join, spread_join
+from palate.operators.joins import Lookup, find_hot_keys, lookup_join, spread_join
 
 
 def liked_items(ratings: DataFrame, min_rating: float) -> DataFrame:
@@ -34,13 +34,16 @@ def _summed_vectors(scores: DataFrame, *carried: str) -> DataFrame:
 
 def _likes_with_vectors(ratings: DataFrame, vectors: DataFrame, min_rating: float) -> DataFrame:
     """Each liked movie's vector entries per user, repeats folded into ``_sum`` and ``_n``."""
-    likes = (
-        liked_items(ratings, min_rating)
-        .groupBy("user_id", "movie_id")
-        .agg(F.count(F.lit(1)).alias("_likes"))
-    )
+    likes = liked_items(ratings, min_rating)
+    vectors = Lookup.of(vectors)
+    if vectors.fits:
+        return lookup_join(likes, vectors, ["movie_id"])
+    hot = find_hot_keys(likes, ["movie_id"])
+    if not hot.cells:
+        return likes.join(vectors.df, "movie_id")
+    folded = likes.groupBy("user_id", "movie_id").agg(F.count(F.lit(1)).alias("_likes"))
     return (
-        spread_join(likes, vectors, ["movie_id"])
+        spread_join(folded, vectors.df, ["movie_id"], hot=hot)
         .withColumn("_sum", F.col("_sum") * F.col("_likes"))
         .withColumn("_n", F.col("_n") * F.col("_likes"))
     )

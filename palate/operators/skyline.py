@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palate.operators.joins import HOT_SHARE, spread_join
-from palate.operators.staging import stage
+from palate.operators.staging import stage, stage_measured
 
 #: Up to this many distinct points are compared pair by pair.
 PAIRWISE_POINTS = 10_000
@@ -103,8 +103,8 @@ def _sweep_2d(points: DataFrame, x: str, y: str, cuts: dict) -> DataFrame:
     return stairs.filter(F.col("above").isNull() | (F.col(y) > F.col("above"))).select(x, y)
 
 
-def _with_rank(points: DataFrame, name: str, cuts: Sequence[float]) -> tuple[DataFrame, DataFrame]:
-    """Distinct values of ``name`` with their 0-based ascending ``rank``, staged."""
+def _with_rank(points: DataFrame, name: str, cuts: Sequence[float]) -> DataFrame:
+    """Distinct values of ``name`` with their 0-based ascending ``rank``."""
     values = points.select(name).distinct().withColumn("_bucket", _bucket(name, cuts))
     sizes = values.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     lower = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -131,9 +131,9 @@ def _sweep_3d(
     reach ``y`` and ``z``? Equal ranks form one more group each, compared strictly.
     """
     points = points.groupBy(x, y).agg(F.max(z).alias(z))
-    ranks = stage(_with_rank(points, x, cuts[x]), "ranks")
-    bits = max(ranks.count() - 1, 0).bit_length()
-    ranked = stage(spread_join(points, ranks, [x], share=share), "ranked")
+    ranks = stage_measured(_with_rank(points, x, cuts[x]), "ranks")
+    bits = max(ranks.rows - 1, 0).bit_length()
+    ranked = stage(spread_join(points, ranks.df, [x], share=share), "ranked")
 
     same_x = F.col("_bit") < 0
     split = ranked.withColumn("_bit", F.explode(F.sequence(F.lit(-1), F.lit(bits - 1))))
@@ -174,14 +174,14 @@ def skyline_points(
     dims = list(dims)
     if len(set(dims)) != len(dims) or len(dims) not in (2, 3):
         raise ValueError("a skyline takes two or three different dimensions")
-    points = stage(rows.filter(_comparable(rows, dims)).select(*dims).distinct(), "points")
-    n = points.count()
+    found = stage_measured(rows.filter(_comparable(rows, dims)).select(*dims).distinct(), "points")
+    points, n = found.df, found.rows
     if n > pairwise_points:
         cuts = _bounds(points, dims, n, bucket_rows)
         score = reduce(lambda a, b: a + b, (_bucket(name, cuts[name]) for name in dims))
         pivots = points.orderBy(score.desc(), *(F.desc(name) for name in dims)).limit(PIVOTS)
-        points = stage(_without_dominated(points, pivots, dims), "points")
-        n = points.count()
+        found = stage_measured(_without_dominated(points, pivots, dims), "points")
+        points, n = found.df, found.rows
     if n <= pairwise_points:
         return _without_dominated(points, points, dims), True
     cuts = _bounds(points, dims, n, bucket_rows)
@@ -200,7 +200,7 @@ def _split_by_skyline(df: DataFrame, maximize: Sequence[str], **tuning) -> tuple
             matched = comparable.join(F.broadcast(points), list(maximize), how)
         else:
             share = tuning.get("share", HOT_SHARE)
-            matched = spread_join(comparable, points, list(maximize), how, share)
+            matched = spread_join(comparable, points, list(maximize), how, share=share)
         return matched.select(*rows.columns)
 
     return rows, match

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -30,13 +32,34 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+@dataclass(frozen=True)
+class Staged:
+    """A staged table with the size that was counted while it was written."""
+
+    df: DataFrame
+    rows: int
+    bytes: int
+
+
+def stage_measured(df: DataFrame, label: str = "stage") -> Staged:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
-    The table cuts the lineage, is read by any number of later jobs, and gives the
-    optimizer its true size.
+    The table cuts the lineage and is read by any number of later jobs. Rows, and
+    bytes of the rows written as text, are counted in the same pass; work that was
+    repeated after a failure can only raise the counts.
     """
     spark = df.sparkSession
     path = staging_path(spark, label)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    size = Observation()
+    text = F.to_csv(F.struct(*df.columns))
+    df.observe(
+        size,
+        F.count(F.lit(1)).alias("rows"),
+        F.coalesce(F.sum(F.octet_length(text)), F.lit(0)).alias("bytes"),
+    ).write.parquet(path)
+    return Staged(spark.read.schema(df.schema).parquet(path), size.get["rows"], size.get["bytes"])
+
+
+def stage(df: DataFrame, label: str = "stage") -> DataFrame:
+    """``stage_measured`` where only the table is wanted."""
+    return stage_measured(df, label).df

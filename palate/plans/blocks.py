@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from palate.functions.genres import explode_genres
 from palate.operators.aggregates import argmax_per_group
-from palate.operators.joins import spread_join
+from palate.operators.joins import Lookup, find_hot_keys, lookup_join, spread_join
 
 
 def movie_tag_pairs(tags: DataFrame) -> DataFrame:
@@ -49,23 +49,49 @@ def movie_tag_uses(tags: DataFrame) -> DataFrame:
     return tags.groupBy("movie_id", "tag").agg(F.count(F.lit(1)).alias("n_uses"))
 
 
-def movie_tag_genre(
+def spread_applications(rows: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
+    """Join ``rows`` to ``other``, adding how many of ``rows`` each result stands for.
+
+    Only if some keys of ``rows`` are hot are equal rows folded into one with a count,
+    ``n_uses``, and the hot keys spread; otherwise every row counts 1 and is shuffled
+    once.
+    """
+    hot = find_hot_keys(rows, on)
+    if hot.cells:
+        counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n_uses"))
+    else:
+        counted = rows.withColumn("n_uses", F.lit(1).cast("bigint"))
+    return spread_join(counted, other, on, hot=hot)
+
+
+def tag_genre_uses(
     tags: DataFrame, movies: DataFrame, item_ratings: DataFrame | None = None
 ) -> DataFrame:
     """Tags and genres meeting on a movie: movie_id, tag, genre, n_uses.
 
-    With ``item_ratings`` (movie_id, avg_rating) every row also carries the movie's
-    average rating, NULL for an unrated movie. Genres are exploded after the join, so
-    only one row per movie and tag is shuffled.
+    A (movie_id, tag, genre) may come in several rows whose ``n_uses`` add up. With
+    ``item_ratings`` (movie_id, avg_rating) rows also carry the movie's average, NULL
+    for an unrated movie. While the movie side can be broadcast, tag applications
+    stream past it without a shuffle.
     """
-    items = movies.select("movie_id", "genres")
+    items = movie_genre_pairs(movies)
     if item_ratings is not None:
         items = items.join(item_ratings, "movie_id", "left")
-    return explode_genres(spread_join(movie_tag_uses(tags), items, ["movie_id"]))
+    items = Lookup.of(items)
+    uses = movie_tag_pairs(tags)
+    if items.fits:
+        return lookup_join(uses.withColumn("n_uses", F.lit(1).cast("bigint")), items, ["movie_id"])
+    return spread_applications(uses, items.df, ["movie_id"])
+
+
+def movie_tag_genre(tags: DataFrame, movies: DataFrame) -> DataFrame:
+    """Tags and genres meeting on a movie, one row each: movie_id, tag, genre, n_uses."""
+    joined = lookup_join(movie_tag_uses(tags), movie_genre_pairs(movies), ["movie_id"])
+    return joined.select("movie_id", "tag", "genre", "n_uses")
 
 
 def genre_tag_counts(uses: DataFrame) -> DataFrame:
-    """(genre, tag, n_uses) from ``movie_tag_genre`` rows; unrated movies count too."""
+    """(genre, tag, n_uses) from ``tag_genre_uses`` rows; unrated movies count too."""
     return uses.groupBy("genre", "tag").agg(F.sum("n_uses").alias("n_uses"))
 
 
@@ -76,9 +102,13 @@ def most_used_tag_per_genre(counts: DataFrame) -> DataFrame:
 
 def genre_tag_users(tags: DataFrame, movies: DataFrame) -> DataFrame:
     """Distinct (genre, tag, user_id)."""
-    applied = tags.select("user_id", "movie_id", "tag").distinct()
-    joined = spread_join(applied, movies.select("movie_id", "genres"), ["movie_id"])
-    return explode_genres(joined).select("genre", "tag", "user_id").distinct()
+    items = Lookup.of(movie_genre_pairs(movies))
+    applied = tags.select("user_id", "movie_id", "tag")
+    if items.fits:
+        joined = lookup_join(applied, items, ["movie_id"])
+    else:
+        joined = spread_applications(applied, items.df, ["movie_id"])
+    return joined.select("genre", "tag", "user_id").distinct()
 
 
 def users_per_genre_tag(tags: DataFrame, movies: DataFrame) -> DataFrame:
@@ -96,6 +126,6 @@ def tag_rating_pairs(tags: DataFrame, ratings: DataFrame) -> DataFrame:
     pair = ["user_id", "movie_id"]
     applied = tags.groupBy(*pair, "tag").agg(F.count(F.lit(1)).alias("_n_tags"))
     rated = ratings.groupBy(*pair, "rating").agg(F.count(F.lit(1)).alias("_n_ratings"))
-    return spread_join(applied, rated, pair).select(
+    return spread_join(applied, rated, pair, hot=find_hot_keys(tags, pair)).select(
         *pair, "tag", "rating", (F.col("_n_tags") * F.col("_n_ratings")).alias("n_pairs")
     )

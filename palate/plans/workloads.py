@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from palate.functions.numeric import fixed, pearson, weighted_mean
 from palate.operators.aggregates import iceberg
-from palate.operators.joins import lookup_join, spread_join
+from palate.operators.joins import lookup_join
 from palate.operators.profiles import cosine_components, cosine_to_target
 from palate.operators.ranking import topk_ranked
 from palate.operators.skyline import dominated, skyline
@@ -26,7 +26,7 @@ ANOMALY_TAGS = ("action", "classic", "thriller")
 
 def rated_uses(tags: DataFrame, movies: DataFrame, ratings: DataFrame) -> DataFrame:
     """movie_id, tag, n_uses, avg_rating, genre: the frame behind three of the queries."""
-    return blocks.movie_tag_genre(tags, movies, blocks.avg_rating_per_movie(ratings))
+    return blocks.tag_genre_uses(tags, movies, blocks.avg_rating_per_movie(ratings))
 
 
 def _rated_applications() -> Column:
@@ -108,23 +108,24 @@ def iceberg_relevant_tags(
 def tag_sentiment(tags: DataFrame, ratings: DataFrame, dedupe: bool = False) -> DataFrame:
     """Mean rating per tag, over ratings by the tagging user of the tagged movie.
 
-    Repeated applications count repeatedly unless ``dedupe``. Both sides are folded to
-    one row per user and movie (and tag) before they meet, so a pair with many tags
-    and many ratings costs their sum, not their product. Output: tag, avg_rating.
+    Repeated applications count repeatedly unless ``dedupe``. Ratings are folded to one
+    row per user and movie before they meet the tags, so a pair with many tags and many
+    ratings costs their sum, not their product. Output: tag, avg_rating.
     """
     pair = ["user_id", "movie_id"]
-    weight = F.lit(1) if dedupe else F.count(F.lit(1))
-    applied = tags.groupBy(*pair, "tag").agg(weight.cast("bigint").alias("_n_tags"))
+    applied = tags.select(*pair, "tag")
+    if dedupe:
+        applied = applied.distinct()
     rated = ratings.groupBy(*pair).agg(
         F.sum("rating").alias("_sum"), F.count("rating").alias("_n_ratings")
     )
     return (
-        spread_join(applied, rated, pair)
+        blocks.spread_applications(applied, rated, pair)
         .groupBy("tag")
         .agg(
             F.try_divide(
-                F.sum(F.col("_sum") * F.col("_n_tags")),
-                F.sum(F.col("_n_ratings") * F.col("_n_tags")),
+                F.sum(F.col("_sum") * F.col("n_uses")),
+                F.sum(F.col("_n_ratings") * F.col("n_uses")),
             ).alias("avg_rating")
         )
     )

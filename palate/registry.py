@@ -104,10 +104,10 @@ _BUILDERS: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     # aggregations
     "avg_rating_per_movie": lambda _, t: blocks.avg_rating_per_movie(t.ratings),
     "genre_tag_counts": lambda _, t: blocks.genre_tag_counts(
-        blocks.movie_tag_genre(t.tags, t.movies)
+        blocks.tag_genre_uses(t.tags, t.movies)
     ),
     "most_used_tag_per_genre": lambda _, t: blocks.most_used_tag_per_genre(
-        blocks.genre_tag_counts(blocks.movie_tag_genre(t.tags, t.movies))
+        blocks.genre_tag_counts(blocks.tag_genre_uses(t.tags, t.movies))
     ),
     "users_per_genre_tag": lambda _, t: blocks.users_per_genre_tag(t.tags, t.movies),
     "movie_rating_stats": lambda _, t: blocks.movie_rating_stats(t.ratings),

@@ -31,6 +31,10 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, orders = _scan(spark, sf_dir, "lineitem"), _scan(spark, sf_dir, "orders")
+    cores = spark.sparkContext.defaultParallelism
+    if lines.rdd.getNumPartitions() < cores:
+        # A table of few splits would leave most cores without work.
+        lines = lines.repartition(cores, "l_orderkey")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
 
