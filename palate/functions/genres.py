@@ -18,7 +18,8 @@ def genre_list(genres: str | Column) -> Column:
     text = F.col(genres) if isinstance(genres, str) else genres
     body = F.regexp_replace(text, r"\|+$", "")
     only_separators = (body == "") & (text != "")
-    items = F.when(~only_separators, F.split(body, r"\|"))
+    none = F.array().cast("array<string>")
+    items = F.when(only_separators, none).otherwise(F.split(body, r"\|"))
     return F.filter(items, lambda genre: genre != NO_GENRES)
 
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palate.functions.genres import explode_genres
+from palate.functions.numeric import fixed, weighted_mean
 from palate.operators.aggregates import argmax_per_group
 from palate.operators.joins import Lookup, find_hot_keys, lookup_join, spread_join
 
@@ -90,6 +91,22 @@ def movie_tag_genre(tags: DataFrame, movies: DataFrame) -> DataFrame:
     return joined.select("movie_id", "tag", "genre", "n_uses")
 
 
+def genre_tag_stats(uses: DataFrame, compare_scale: int | None = None) -> DataFrame:
+    """Everything the tag and genre queries ask of a pair, from rated ``tag_genre_uses``.
+
+    ``n_uses`` counts all applications, ``n_rated`` those on rated movies; ``avg_rating``
+    is the applications' mean of the movies' averages, and ``n_distinct`` the number of
+    different averages among them. A query that leaves a column out does not pay for it.
+    """
+    rated = F.when(F.col("avg_rating").isNotNull(), F.col("n_uses"))
+    return uses.groupBy("genre", "tag").agg(
+        F.sum("n_uses").alias("n_uses"),
+        F.coalesce(F.sum(rated), F.lit(0)).alias("n_rated"),
+        F.count_distinct("avg_rating").alias("n_distinct"),
+        fixed(weighted_mean("avg_rating", "n_uses"), compare_scale).alias("avg_rating"),
+    )
+
+
 def genre_tag_counts(uses: DataFrame) -> DataFrame:
     """(genre, tag, n_uses) from ``tag_genre_uses`` rows; unrated movies count too."""
     return uses.groupBy("genre", "tag").agg(F.sum("n_uses").alias("n_uses"))

@@ -9,10 +9,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palate.functions.numeric import fixed, pearson, weighted_mean
+from palate.functions.numeric import fixed, pearson
 from palate.operators.aggregates import iceberg
 from palate.operators.joins import lookup_join
 from palate.operators.profiles import cosine_components, cosine_to_target
@@ -24,13 +24,18 @@ from palate.plans import blocks
 ANOMALY_TAGS = ("action", "classic", "thriller")
 
 
-def rated_uses(tags: DataFrame, movies: DataFrame, ratings: DataFrame) -> DataFrame:
-    """movie_id, tag, n_uses, avg_rating, genre: the frame behind three of the queries."""
-    return blocks.tag_genre_uses(tags, movies, blocks.avg_rating_per_movie(ratings))
-
-
-def _rated_applications() -> Column:
-    return F.sum(F.when(F.col("avg_rating").isNotNull(), F.col("n_uses")))
+def genre_tag_stats(
+    tags: DataFrame,
+    movies: DataFrame,
+    ratings: DataFrame,
+    *,
+    compare_scale: int | None = None,
+    item_ratings: DataFrame | None = None,
+) -> DataFrame:
+    """The frame behind the three tag and genre queries; see ``blocks.genre_tag_stats``."""
+    if item_ratings is None:
+        item_ratings = blocks.avg_rating_per_movie(ratings)
+    return blocks.genre_tag_stats(blocks.tag_genre_uses(tags, movies, item_ratings), compare_scale)
 
 
 def iceberg_tag_genre(
@@ -41,40 +46,31 @@ def iceberg_tag_genre(
     min_avg: float = 4.0,
     *,
     compare_scale: int | None = None,
-    uses: DataFrame | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """Tag and genre pairs with many applications on well-rated movies.
 
     Support counts tag applications to rated movies, not movies, and the average of
     the movies' averages is weighted by applications too. Output: tag, genre, avg_rating.
     """
-    uses = rated_uses(tags, movies, ratings) if uses is None else uses
-    return iceberg(
-        uses,
-        ["tag", "genre"],
-        _rated_applications(),
-        min_count,
-        fixed(weighted_mean("avg_rating", "n_uses"), compare_scale),
-        min_avg,
-        measure_name="avg_rating",
-    )
+    if stats is None:
+        stats = genre_tag_stats(tags, movies, ratings, compare_scale=compare_scale)
+    frequent = stats.filter(F.col("n_rated") > min_count)
+    return frequent.filter(F.col("avg_rating") > min_avg).select("tag", "genre", "avg_rating")
 
 
 def dominant_tag_per_genre(
-    tags: DataFrame, movies: DataFrame, ratings: DataFrame, *, uses: DataFrame | None = None
+    tags: DataFrame, movies: DataFrame, ratings: DataFrame, *, stats: DataFrame | None = None
 ) -> DataFrame:
     """Each genre's most used tag with the average rating of the movies it is on.
 
     Uses on unrated movies count for the choice but not for the average; a genre whose
     tag has no rated movie drops out. Output: tag, genre, avg_rating.
     """
-    uses = rated_uses(tags, movies, ratings) if uses is None else uses
-    stats = uses.groupBy("genre", "tag").agg(
-        F.sum("n_uses").alias("n_uses"),
-        weighted_mean("avg_rating", "n_uses").alias("avg_rating"),
-    )
+    stats = genre_tag_stats(tags, movies, ratings) if stats is None else stats
+    counted = stats.select("genre", "tag", "n_uses", "avg_rating")
     return (
-        blocks.most_used_tag_per_genre(stats)
+        blocks.most_used_tag_per_genre(counted)
         .filter("avg_rating IS NOT NULL")
         .select("tag", "genre", "avg_rating")
     )
@@ -138,7 +134,7 @@ def genre_tag_points(
     min_distinct: int = 200,
     *,
     compare_scale: int | None = None,
-    uses: DataFrame | None = None,
+    stats: DataFrame | None = None,
 ) -> DataFrame:
     """The (genre, tag) pairs a skyline chooses from: genre, tag, avg_rating, user_count.
 
@@ -146,15 +142,9 @@ def genre_tag_points(
     count whether or not their movie is rated. Two frames are aggregated separately,
     which shuffles less than one with two distinct counts, and joined as groups.
     """
-    uses = rated_uses(tags, movies, ratings) if uses is None else uses
-    popular = iceberg(
-        uses,
-        ["genre", "tag"],
-        F.count_distinct("avg_rating"),
-        min_distinct,
-        fixed(weighted_mean("avg_rating", "n_uses"), compare_scale),
-        measure_name="avg_rating",
-    )
+    if stats is None:
+        stats = genre_tag_stats(tags, movies, ratings, compare_scale=compare_scale)
+    popular = stats.filter(F.col("n_distinct") > min_distinct).select("genre", "tag", "avg_rating")
     users = blocks.users_per_genre_tag(tags, movies)
     same_pair = popular["genre"].eqNullSafe(users["genre"]) & popular["tag"].eqNullSafe(users["tag"])
     return popular.join(users, same_pair).select(

@@ -16,7 +16,8 @@ def write_csv(
     """Write a CSV folder with a header line.
 
     ``mode`` is Spark's (``overwrite``, ``errorifexists``, ...). Quotes are doubled and
-    white space is kept, so ``read_csv`` gives back what was written. ``single_file`` is
+    white space is kept, so ``read_csv`` gives back what was written, save that an empty
+    string comes back as NULL. ``single_file`` is
     for reports: the rows are computed in parallel and counted before one task writes
     them, and more than ``SINGLE_FILE_ROWS`` is an error rather than one long task.
     """

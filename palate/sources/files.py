@@ -25,9 +25,9 @@ _TRAILING_TIMESTAMP = {"ratings", "tags"}
 def read_csv(spark: SparkSession, table: str, path: str, *, header: bool = True) -> DataFrame:
     """Scan one CSV table with its fixed schema; nothing is inferred.
 
-    Quotes inside quoted fields are doubled (``""``). A value that does not parse
-    as its column type becomes NULL. Files are split between tasks, so a quoted
-    field may not contain a line break.
+    Quotes inside quoted fields are doubled (``""``). An empty field, and a value that
+    does not parse as its column type, is NULL. Files are split between tasks, so a
+    quoted field may not contain a line break.
     """
     schema = SCHEMAS[table]
     on_disk = schema
