@@ -1,17 +1,25 @@
 """User profiles from liked items, and cosine similarity to a target item.
 
-Vectors stay in long form, one row per (item, dimension): no vector is ever
-collected into one row, so neither items nor dimensions have a bound.
+Vectors stay in long form, one row per (item, dimension), or in blocks of a fixed
+width: no vector is ever collected into one row, so neither items nor dimensions have
+a bound.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+from functools import reduce
+from operator import add
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palate.functions.numeric import cosine
 from palate.operators.joins import Lookup, find_hot_keys, lookup_join, spread_join
 
+#: Dimensions that travel side by side in one row of a blocked vector.
+BLOCK_WIDTH = 8
+
 
 def liked_items(ratings: DataFrame, min_rating: float) -> DataFrame:
     """(user_id, movie_id) of every rating above ``min_rating``, repeats kept."""
@@ -23,30 +31,21 @@ def target_vector(scores: DataFrame, target_movie_id: str) -> DataFrame:
     return scores.filter(F.col("movie_id") == target_movie_id).select("tag_id", "relevance")
 
 
-def _summed_vectors(scores: DataFrame, *carried: str) -> DataFrame:
-    """One row per (movie, tag): repeats of a pair become a sum and a count."""
-    return scores.groupBy("movie_id", "tag_id").agg(
-        F.sum("relevance").alias("_sum"),
-        F.count("relevance").alias("_n"),
-        *(F.max(name).alias(name) for name in carried),
-    )
-
-
 def _likes_with_vectors(ratings: DataFrame, vectors: DataFrame, min_rating: float) -> DataFrame:
-    """Each liked movie's vector entries per user, repeats folded into ``_sum`` and ``_n``."""
+    """Liked movies' vector rows per user, with ``likes``: how often the user liked the movie.
+
+    A (user, movie) may come in several rows whose ``likes`` add up.
+    """
     likes = liked_items(ratings, min_rating)
-    vectors = Lookup.of(vectors)
+    vectors, once = Lookup.of(vectors), F.lit(1).cast("bigint").alias("likes")
     if vectors.fits:
-        return lookup_join(likes, vectors, ["movie_id"])
+        return lookup_join(likes.select("*", once), vectors, ["movie_id"])
     hot = find_hot_keys(likes, ["movie_id"])
-    if not hot.cells:
-        return likes.join(vectors.df, "movie_id")
-    folded = likes.groupBy("user_id", "movie_id").agg(F.count(F.lit(1)).alias("_likes"))
-    return (
-        spread_join(folded, vectors.df, ["movie_id"], hot=hot)
-        .withColumn("_sum", F.col("_sum") * F.col("_likes"))
-        .withColumn("_n", F.col("_n") * F.col("_likes"))
-    )
+    if hot.cells:
+        likes = likes.groupBy("user_id", "movie_id").agg(F.count(F.lit(1)).alias("likes"))
+    else:
+        likes = likes.select("*", once)
+    return spread_join(likes, vectors.df, ["movie_id"], hot=hot)
 
 
 def user_profiles(ratings: DataFrame, scores: DataFrame, min_rating: float = 4.0) -> DataFrame:
@@ -54,49 +53,121 @@ def user_profiles(ratings: DataFrame, scores: DataFrame, min_rating: float = 4.0
 
     Output: user_id, tag_id, avg_tag_relevance_per_user.
     """
+    vectors = scores.groupBy("movie_id", "tag_id").agg(
+        F.sum("relevance").alias("_sum"), F.count("relevance").alias("_n")
+    )
+    mean = F.try_divide(F.sum(F.col("_sum") * F.col("likes")), F.sum(F.col("_n") * F.col("likes")))
     return (
-        _likes_with_vectors(ratings, _summed_vectors(scores), min_rating)
+        _likes_with_vectors(ratings, vectors, min_rating)
         .groupBy("user_id", "tag_id")
-        .agg(F.try_divide(F.sum("_sum"), F.sum("_n")).alias("avg_tag_relevance_per_user"))
+        .agg(mean.alias("avg_tag_relevance_per_user"))
     )
 
 
-def cosine_components(
-    ratings: DataFrame, scores: DataFrame, target_movie_id: str, min_rating: float = 4.0
-) -> DataFrame:
-    """Per user the three sums behind the cosine between profile and target.
-
-    Only dimensions present in both vectors count, in the target's norm too. The
-    target's entries join the item vectors *before* those meet the ratings: a
-    dimension the target lacks never enters the large join, and no user profile is
-    shuffled again by its few distinct tags.
-
-    Output: user_id, dot_product, user_norm_sqr, target_norm_sqr.
-    """
-    target = (
+def _folded_target(scores: DataFrame, target_movie_id: str) -> DataFrame:
+    """The target's entries, one row per tag: how many, their sum and sum of squares."""
+    relevance = F.col("relevance")
+    return (
         target_vector(scores, target_movie_id)
         .groupBy("tag_id")
         .agg(
-            F.count(F.lit(1)).alias("_t_rows"),
-            F.sum("relevance").alias("_t_sum"),
-            F.sum(F.col("relevance") * F.col("relevance")).alias("_t_sqr"),
+            F.count(F.lit(1)).alias("t_rows"),
+            F.sum(relevance).alias("t_sum"),
+            F.sum(relevance * relevance).alias("t_sqr"),
         )
     )
-    carried = ("_t_rows", "_t_sum", "_t_sqr")
-    shared = _summed_vectors(lookup_join(scores, target, ["tag_id"]), *carried)
-    profile = (
-        _likes_with_vectors(ratings, shared, min_rating)
-        .groupBy("user_id", "tag_id")
+
+
+def _long_sums(ratings: DataFrame, scores: DataFrame, target: Lookup, min_rating: float):
+    """The cosine sums from one row per user and tag, for a target of any length."""
+    shared = lookup_join(scores, target, ["tag_id"], "left_semi")
+    score = F.col("avg_tag_relevance_per_user")
+    return (
+        lookup_join(user_profiles(ratings, shared, min_rating), target, ["tag_id"])
+        .groupBy("user_id")
+        .agg(
+            F.sum(score * F.col("t_sum")).alias("dot_product"),
+            F.sum(score * score * F.col("t_rows")).alias("user_norm_sqr"),
+            F.sum("t_sqr").alias("target_norm_sqr"),
+        )
+    )
+
+
+def _sum_present(parts: Sequence[Column]) -> Column:
+    """Sum of the parts that are not NULL; NULL if none is."""
+    total = reduce(add, (F.coalesce(part, F.lit(0.0)) for part in parts))
+    return F.when(F.coalesce(*parts).isNotNull(), total)
+
+
+def _blocked_sums(ratings: DataFrame, scores: DataFrame, target: Lookup, min_rating: float):
+    """The cosine sums from one row per user and block of ``BLOCK_WIDTH`` tags.
+
+    The large join and the shuffle by user carry one row for what is ``BLOCK_WIDTH``
+    rows in long form. Numbering the target's tags sorts them in one task, which their
+    measured size allows.
+    """
+    slots, slot = range(BLOCK_WIDTH), F.col("_slot")
+    number = F.row_number().over(Window.orderBy("tag_id")) - 1
+    placed = target.df.withColumn("_number", number).select(
+        "*", F.expr(f"_number div {BLOCK_WIDTH}").alias("block"),
+        (F.col("_number") % BLOCK_WIDTH).alias("_slot"),
+    )
+    blocks = placed.groupBy("block").agg(
+        *(F.max(F.when(slot == i, F.col(name))).alias(f"{name}{i}")
+          for name in ("t_rows", "t_sum", "t_sqr") for i in slots)
+    )
+    places = placed.select("tag_id", "block", "_slot")
+    vectors = scores.join(F.broadcast(places), "tag_id").groupBy("movie_id", "block").agg(
+        *(F.sum(F.when(slot == i, F.col("relevance"))).alias(f"sum{i}") for i in slots),
+        *(F.count(F.when(slot == i, F.col("relevance"))).alias(f"n{i}") for i in slots),
+        # A tag whose scores are all NULL still counts in the target's norm.
+        F.bit_or(F.expr("shiftleft(1, _slot)")).alias("present"),
+    )
+    profiles = (
+        _likes_with_vectors(ratings, vectors, min_rating)
+        .groupBy("user_id", "block")
         .agg(
-            F.try_divide(F.sum("_sum"), F.sum("_n")).alias("_score"),
-            *(F.max(name).alias(name) for name in carried),
+            *(F.sum(F.col(f"sum{i}") * F.col("likes")).alias(f"sum{i}") for i in slots),
+            *(F.sum(F.col(f"n{i}") * F.col("likes")).alias(f"n{i}") for i in slots),
+            F.bit_or("present").alias("present"),
         )
     )
-    return profile.groupBy("user_id").agg(
-        F.sum(F.col("_score") * F.col("_t_sum")).alias("dot_product"),
-        F.sum(F.col("_score") * F.col("_score") * F.col("_t_rows")).alias("user_norm_sqr"),
-        F.sum("_t_sqr").alias("target_norm_sqr"),
+    scored = profiles.join(F.broadcast(blocks), "block").select(
+        "*", *(F.try_divide(f"sum{i}", f"n{i}").alias(f"score{i}") for i in slots)
     )
+    score = [F.col(f"score{i}") for i in slots]
+    return (
+        scored.select(
+            "user_id",
+            _sum_present([score[i] * F.col(f"t_sum{i}") for i in slots]).alias("dot"),
+            _sum_present([score[i] * score[i] * F.col(f"t_rows{i}") for i in slots]).alias("user"),
+            _sum_present(
+                [F.when(F.col("present").bitwiseAND(1 << i) != 0, F.col(f"t_sqr{i}")) for i in slots]
+            ).alias("target"),
+        )
+        .groupBy("user_id")
+        .agg(
+            F.sum("dot").alias("dot_product"),
+            F.sum("user").alias("user_norm_sqr"),
+            F.sum("target").alias("target_norm_sqr"),
+        )
+    )
+
+
+def cosine_components(
+    ratings: DataFrame, scores: DataFrame, target_movie_id: str, min_rating: float = 4.0
+) -> DataFrame:
+    """Per user the three sums behind the cosine between profile and target.
+
+    Only dimensions present in both vectors count, in the target's norm too, so scores
+    of other tags are dropped before the item vectors meet the ratings. While the
+    target's vector can be broadcast, vectors travel in blocks.
+
+    Output: user_id, dot_product, user_norm_sqr, target_norm_sqr.
+    """
+    target = Lookup.of(_folded_target(scores, target_movie_id))
+    sums = _blocked_sums if target.fits else _long_sums
+    return sums(ratings, scores, target, min_rating)
 
 
 def cosine_to_target(components: DataFrame) -> DataFrame:

@@ -20,8 +20,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from math import isfinite
 from operator import and_, or_
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -63,13 +65,18 @@ def _bounds(points: DataFrame, names: Sequence[str], rows: int, bucket_rows: int
     shares = [i / buckets for i in range(1, buckets)]
     cuts = points.select(*(F.col(name).cast("double").alias(name) for name in names))
     found = cuts.approxQuantile(list(names), shares, 1 / (4 * buckets))
-    return {name: sorted(set(values)) for name, values in zip(names, found, strict=True)}
+    return {
+        name: sorted({value for value in values if isfinite(value)})
+        for name, values in zip(names, found, strict=True)
+    }
 
 
-def _bucket(name: str, cuts: Sequence[float]) -> Column:
-    """Number of cut points below the value: a coarser value in the same order."""
-    cut_points = F.array(*(F.lit(cut) for cut in cuts))
-    return F.size(F.filter(cut_points, lambda cut: cut < F.col(name).cast("double")))
+def _with_bucket(df: DataFrame, name: str, cuts: Sequence[float], to: str) -> DataFrame:
+    """Add the number of the value's range between cut points: coarser, in the same order."""
+    if not cuts:
+        return df.withColumn(to, F.lit(0.0))
+    ranges = [float("-inf"), *cuts, float("inf")]
+    return Bucketizer(splits=ranges, inputCol=name, outputCol=to).transform(df)
 
 
 def _add_above(
@@ -80,7 +87,7 @@ def _add_above(
     ``(group, order)`` must be distinct. Each range bucket is sorted on its own; what
     lies in higher buckets comes from one maximum per bucket.
     """
-    cut = stairs.withColumn("_bucket", _bucket(order, cuts))
+    cut = _with_bucket(stairs, order, cuts, "_bucket")
     before = (Window.unboundedPreceding, -1)
     higher = Window.partitionBy(*group).orderBy(F.desc("_bucket")).rowsBetween(*before)
     tops = (
@@ -105,7 +112,7 @@ def _sweep_2d(points: DataFrame, x: str, y: str, cuts: dict) -> DataFrame:
 
 def _with_rank(points: DataFrame, name: str, cuts: Sequence[float]) -> DataFrame:
     """Distinct values of ``name`` with their 0-based ascending ``rank``."""
-    values = points.select(name).distinct().withColumn("_bucket", _bucket(name, cuts))
+    values = _with_bucket(points.select(name).distinct(), name, cuts, "_bucket")
     sizes = values.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     lower = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select(
@@ -178,8 +185,12 @@ def skyline_points(
     points, n = found.df, found.rows
     if n > pairwise_points:
         cuts = _bounds(points, dims, n, bucket_rows)
-        score = reduce(lambda a, b: a + b, (_bucket(name, cuts[name]) for name in dims))
-        pivots = points.orderBy(score.desc(), *(F.desc(name) for name in dims)).limit(PIVOTS)
+        placed = points
+        for name in dims:
+            placed = _with_bucket(placed, name, cuts[name], f"_at_{name}")
+        score = reduce(lambda a, b: a + b, (F.col(f"_at_{name}") for name in dims))
+        strongest = [score.desc(), *(F.desc(name) for name in dims)]
+        pivots = placed.orderBy(*strongest).limit(PIVOTS).select(*dims)
         found = stage_measured(_without_dominated(points, pivots, dims), "points")
         points, n = found.df, found.rows
     if n <= pairwise_points:

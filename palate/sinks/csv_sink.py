@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from palate.operators.staging import stage
+from palate.operators.staging import stage_measured
 
 #: Most rows that may go into a single file.
 SINGLE_FILE_ROWS = 1_000_000
@@ -17,16 +17,15 @@ def write_csv(
 
     ``mode`` is Spark's (``overwrite``, ``errorifexists``, ...). Quotes are doubled and
     white space is kept, so ``read_csv`` gives back what was written, save that an empty
-    string comes back as NULL. ``single_file`` is
-    for reports: the rows are computed in parallel and counted before one task writes
-    them, and more than ``SINGLE_FILE_ROWS`` is an error rather than one long task.
+    string comes back as NULL. ``single_file`` is for reports: the rows are computed in
+    parallel and counted before one task writes them, and more than
+    ``SINGLE_FILE_ROWS`` is an error rather than one long task.
     """
     if single_file:
-        df = stage(df, "report")
-        rows = df.count()
-        if rows > SINGLE_FILE_ROWS:
-            raise ValueError(f"{rows} rows are too many for a single file")
-        df = df.coalesce(1)
+        staged = stage_measured(df, "report")
+        if staged.rows > SINGLE_FILE_ROWS:
+            raise ValueError(f"{staged.rows} rows are too many for a single file")
+        df = staged.df.coalesce(1)
     (
         df.write.mode(mode)
         .option("header", True)

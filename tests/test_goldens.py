@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import math
+import random
 
 import pytest
 from conftest import rows
 
 from palate.operators import argmax_per_group, iceberg, topk_ranked
+from palate.operators.joins import Lookup
 from palate.operators.profiles import cosine_components, cosine_to_target, user_profiles
 from palate.plans import blocks, workloads
 from palate.sources.schemas import GENOME_SCORES, GENOME_TAGS, MOVIES, RATINGS, TAGS
@@ -184,6 +186,31 @@ def test_cosine_with_repeated_likes_scores_and_target_entries(make):
     assert all(math.isclose(x, y) for x, y in zip(got[1:], want, strict=True))
 
 
+def test_blocked_and_long_vectors_agree(make, monkeypatch):
+    """With gaps, repeats and NULL scores, for more tags than one block holds."""
+    rng = random.Random(7)
+    ratings = make(
+        "ratings", [(f"u{rng.randrange(30)}", f"m{rng.randrange(20)}", 5.0) for _ in range(200)]
+    )
+    scores = make(
+        "scores",
+        [(f"m{rng.randrange(21)}", f"t{rng.randrange(25)}",
+          None if rng.random() < 0.2 else rng.randrange(100) / 64) for _ in range(600)],
+    )
+
+    def sums():
+        return {r[0]: tuple(r[1:]) for r in cosine_components(ratings, scores, "m3").collect()}
+
+    blocked = sums()
+    original = Lookup.of.__func__
+    monkeypatch.setattr(Lookup, "of", classmethod(lambda cls, df: original(cls, df, 0)))
+    long = sums()
+    assert set(long) == set(blocked) and len(long) > 20
+    for user in long:
+        for x, y in zip(long[user], blocked[user], strict=True):
+            assert x == y or math.isclose(x, y)
+
+
 def test_overhyped_matches_labels_exactly_and_averages_the_present_tags(make):
     labels = make("labels", [("1", "action"), ("2", "Action"), ("3", "thriller")])
     scores = make(
