@@ -6,12 +6,13 @@ dimension is incomparable: it stays and dominates nothing.
 
 The textbook form compares all pairs. Here:
 
-1. Rows are staged once and reduced to their distinct points, so any number of equal
-   rows costs one point.
-2. A fixed number of strong points removes everything they dominate, without a shuffle.
-3. Up to ``pairwise_points`` points are compared directly, against a broadcast whose
-   size has just been counted.
-4. More points go through a sort-based sweep, exact and without pairs: for two
+1. Rows are staged once. Up to ``pairwise_points`` rows are compared directly, against a
+   broadcast whose size has just been counted.
+2. More rows are reduced to their distinct points, so that any number of equal rows
+   costs one point.
+3. A fixed number of strong points removes everything they dominate, without a shuffle;
+   often so few points remain that they can be compared directly.
+4. Otherwise they go through a sort-based sweep, exact and without pairs: for two
    dimensions a running maximum; for three, one such sweep per bit of the first
    dimension's rank. The work is ``n log n``, in range buckets of bounded size.
 """
@@ -27,7 +28,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palate.operators.joins import HOT_SHARE, spread_join
+from palate.operators.joins import HOT_SHARE, Lookup, lookup_join, spread_join
 from palate.operators.staging import stage, stage_measured
 
 #: Up to this many distinct points are compared pair by pair.
@@ -52,11 +53,14 @@ def _comparable(df: DataFrame, dims: Sequence[str]) -> Column:
     return F.coalesce(reduce(and_, present), F.lit(False))
 
 
-def _without_dominated(points: DataFrame, by: DataFrame, dims: Sequence[str]) -> DataFrame:
-    """``points`` that nothing in ``by`` dominates; ``by`` must have a counted bound."""
-    return points.alias("a").join(
-        F.broadcast(by).alias("b"), dominates("b", "a", dims), "left_anti"
-    )
+def _without_dominated(
+    rows: DataFrame, by: DataFrame, dims: Sequence[str], how: str = "left_anti"
+) -> DataFrame:
+    """Comparable rows that nothing in ``by`` dominates, or (``left_semi``) the others.
+
+    ``by`` is broadcast and must have a counted bound.
+    """
+    return rows.alias("a").join(F.broadcast(by).alias("b"), dominates("b", "a", dims), how)
 
 
 def _bounds(points: DataFrame, names: Sequence[str], rows: int, bucket_rows: int) -> dict:
@@ -169,62 +173,61 @@ def _sweep_3d(
     return ranked.select(x, y, z).join(beaten, [x, y], "left_anti")
 
 
-def skyline_points(
-    rows: DataFrame,
-    dims: Sequence[str],
-    *,
-    pairwise_points: int = PAIRWISE_POINTS,
-    bucket_rows: int = BUCKET_ROWS,
-    share: float = HOT_SHARE,
-) -> tuple[DataFrame, bool]:
-    """Distinct undominated points, and whether at most ``pairwise_points`` remain."""
-    dims = list(dims)
-    if len(set(dims)) != len(dims) or len(dims) not in (2, 3):
-        raise ValueError("a skyline takes two or three different dimensions")
-    found = stage_measured(rows.filter(_comparable(rows, dims)).select(*dims).distinct(), "points")
-    points, n = found.df, found.rows
-    if n > pairwise_points:
-        cuts = _bounds(points, dims, n, bucket_rows)
-        placed = points
+def _skyline_points(
+    rows: DataFrame, dims: list[str], pairwise_points: int, bucket_rows: int, share: float
+) -> Lookup:
+    """Distinct undominated points of comparable rows."""
+    found = stage_measured(rows.select(*dims).distinct(), "points")
+    if found.rows > pairwise_points:
+        cuts = _bounds(found.df, dims, found.rows, bucket_rows)
+        placed = found.df
         for name in dims:
             placed = _with_bucket(placed, name, cuts[name], f"_at_{name}")
         score = reduce(lambda a, b: a + b, (F.col(f"_at_{name}") for name in dims))
         strongest = [score.desc(), *(F.desc(name) for name in dims)]
         pivots = placed.orderBy(*strongest).limit(PIVOTS).select(*dims)
-        found = stage_measured(_without_dominated(points, pivots, dims), "points")
-        points, n = found.df, found.rows
-    if n <= pairwise_points:
-        return _without_dominated(points, points, dims), True
-    cuts = _bounds(points, dims, n, bucket_rows)
+        found = stage_measured(_without_dominated(found.df, pivots, dims), "points")
+    if found.rows <= pairwise_points:
+        return Lookup(_without_dominated(found.df, found.df, dims), True)
+    cuts = _bounds(found.df, dims, found.rows, bucket_rows)
     if len(dims) == 2:
-        return stage(_sweep_2d(points, *dims, cuts), "skyline"), False
-    return stage(_sweep_3d(points, *dims, cuts, share), "skyline"), False
+        return Lookup.of(_sweep_2d(found.df, *dims, cuts))
+    return Lookup.of(_sweep_3d(found.df, *dims, cuts, share))
 
 
-def _split_by_skyline(df: DataFrame, maximize: Sequence[str], **tuning) -> tuple:
-    rows = stage(df, "skyline-rows")
-    points, bounded = skyline_points(rows, maximize, **tuning)
-
-    def match(how: str) -> DataFrame:
-        comparable = rows.filter(_comparable(rows, maximize))
-        if bounded:
-            matched = comparable.join(F.broadcast(points), list(maximize), how)
-        else:
-            share = tuning.get("share", HOT_SHARE)
-            matched = spread_join(comparable, points, list(maximize), how, share=share)
-        return matched.select(*rows.columns)
-
-    return rows, match
+def _split_by_skyline(
+    df: DataFrame,
+    maximize: Sequence[str],
+    kept: bool,
+    *,
+    pairwise_points: int = PAIRWISE_POINTS,
+    bucket_rows: int = BUCKET_ROWS,
+    share: float = HOT_SHARE,
+) -> DataFrame:
+    """The comparable rows on the skyline and all incomparable ones, or the other rows."""
+    dims = list(maximize)
+    if len(set(dims)) != len(dims) or len(dims) not in (2, 3):
+        raise ValueError("a skyline takes two or three different dimensions")
+    staged = stage_measured(df, "skyline-rows")
+    comparable = staged.df.filter(_comparable(staged.df, dims))
+    if staged.rows <= pairwise_points:
+        points = comparable.select(*dims)
+        found = _without_dominated(comparable, points, dims, "left_anti" if kept else "left_semi")
+    else:
+        points = _skyline_points(comparable, dims, pairwise_points, bucket_rows, share)
+        how = "left_semi" if kept else "left_anti"
+        found = lookup_join(comparable, points, dims, how, share)
+    found = found.select(*df.columns)
+    if kept:
+        return found.unionByName(staged.df.filter(~_comparable(staged.df, dims)))
+    return found
 
 
 def skyline(df: DataFrame, maximize: Sequence[str], **tuning) -> DataFrame:
     """Rows of ``df`` that no row dominates; see the module text for the rules."""
-    rows, match = _split_by_skyline(df, maximize, **tuning)
-    incomparable = rows.filter(~_comparable(rows, maximize))
-    return match("left_semi").unionByName(incomparable)
+    return _split_by_skyline(df, maximize, True, **tuning)
 
 
 def dominated(df: DataFrame, maximize: Sequence[str], **tuning) -> DataFrame:
     """Rows of ``df`` that some row dominates: the complement of ``skyline``."""
-    _, match = _split_by_skyline(df, maximize, **tuning)
-    return match("left_anti")
+    return _split_by_skyline(df, maximize, False, **tuning)

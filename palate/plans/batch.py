@@ -31,10 +31,8 @@ def run_all(
         write_csv(df, written[name], mode, single_file=single_file)
 
     item_ratings = stage(blocks.avg_rating_per_movie(t.ratings), "item-ratings")
-    stats = stage(
-        workloads.genre_tag_stats(t.tags, t.movies, t.ratings, item_ratings=item_ratings),
-        "genre-tag-stats",
-    )
+    items = blocks.genre_items(t.movies, item_ratings)
+    stats = stage(workloads.genre_tag_stats(t.tags, items), "genre-tag-stats")
     save("iceberg_tag_genre", workloads.iceberg_tag_genre(t.tags, t.movies, t.ratings, stats=stats))
     save(
         "dominant_tag_per_genre",
@@ -42,7 +40,10 @@ def run_all(
     )
     save("iceberg_relevant_tags", workloads.iceberg_relevant_tags(t.genome_scores, t.genome_tags))
     save("tag_sentiment", workloads.tag_sentiment(t.tags, t.ratings))
-    save("skyline_tag_genre", workloads.skyline_tag_genre(t.tags, t.movies, t.ratings, stats=stats))
+    save(
+        "skyline_tag_genre",
+        workloads.skyline_tag_genre(t.tags, t.movies, t.ratings, items=items, stats=stats),
+    )
 
     movie_stats = stage(blocks.movie_stats(t.ratings, t.genome_scores), "movie-stats")
     save("skyline_movies", workloads.skyline_movies(t.ratings, t.genome_scores, stats=movie_stats))

@@ -65,20 +65,24 @@ def spread_applications(rows: DataFrame, other: DataFrame, on: list[str]) -> Dat
     return spread_join(counted, other, on, hot=hot)
 
 
-def tag_genre_uses(
-    tags: DataFrame, movies: DataFrame, item_ratings: DataFrame | None = None
-) -> DataFrame:
-    """Tags and genres meeting on a movie: movie_id, tag, genre, n_uses.
-
-    A (movie_id, tag, genre) may come in several rows whose ``n_uses`` add up. With
-    ``item_ratings`` (movie_id, avg_rating) rows also carry the movie's average, NULL
-    for an unrated movie. While the movie side can be broadcast, tag applications
-    stream past it without a shuffle.
+def genre_items(movies: DataFrame, item_ratings: DataFrame | None = None) -> Lookup:
+    """(movie_id, genre), staged and measured to be met by tag applications.
+
+    With ``item_ratings`` (movie_id, avg_rating) rows also carry the movie's average,
+    NULL for an unrated movie.
     """
     items = movie_genre_pairs(movies)
     if item_ratings is not None:
         items = items.join(item_ratings, "movie_id", "left")
-    items = Lookup.of(items)
+    return Lookup.of(items)
+
+
+def tag_genre_uses(tags: DataFrame, items: Lookup) -> DataFrame:
+    """Tags and genres meeting on a movie: movie_id, tag, n_uses and the columns of ``items``.
+
+    A (movie_id, tag, genre) may come in several rows whose ``n_uses`` add up. While the
+    movie side can be broadcast, tag applications stream past it without a shuffle.
+    """
     uses = movie_tag_pairs(tags)
     if items.fits:
         return lookup_join(uses.withColumn("n_uses", F.lit(1).cast("bigint")), items, ["movie_id"])
@@ -87,7 +91,7 @@ def tag_genre_uses(
 
 def movie_tag_genre(tags: DataFrame, movies: DataFrame) -> DataFrame:
     """Tags and genres meeting on a movie, one row each: movie_id, tag, genre, n_uses."""
-    joined = lookup_join(movie_tag_uses(tags), movie_genre_pairs(movies), ["movie_id"])
+    joined = lookup_join(movie_tag_uses(tags), genre_items(movies), ["movie_id"])
     return joined.select("movie_id", "tag", "genre", "n_uses")
 
 
@@ -117,9 +121,8 @@ def most_used_tag_per_genre(counts: DataFrame) -> DataFrame:
     return argmax_per_group(counts, ["genre"], "n_uses", ["tag"])
 
 
-def genre_tag_users(tags: DataFrame, movies: DataFrame) -> DataFrame:
+def genre_tag_users(tags: DataFrame, items: Lookup) -> DataFrame:
     """Distinct (genre, tag, user_id)."""
-    items = Lookup.of(movie_genre_pairs(movies))
     applied = tags.select("user_id", "movie_id", "tag")
     if items.fits:
         joined = lookup_join(applied, items, ["movie_id"])
@@ -128,9 +131,9 @@ def genre_tag_users(tags: DataFrame, movies: DataFrame) -> DataFrame:
     return joined.select("genre", "tag", "user_id").distinct()
 
 
-def users_per_genre_tag(tags: DataFrame, movies: DataFrame) -> DataFrame:
+def users_per_genre_tag(tags: DataFrame, items: Lookup) -> DataFrame:
     """(genre, tag, user_count): how many different users applied the tag."""
-    users = genre_tag_users(tags, movies)
+    users = genre_tag_users(tags, items)
     return users.groupBy("genre", "tag").agg(F.count("user_id").alias("user_count"))
 
 

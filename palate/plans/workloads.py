@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from palate.functions.numeric import fixed, pearson
 from palate.operators.aggregates import iceberg
-from palate.operators.joins import lookup_join
+from palate.operators.joins import Lookup, lookup_join
 from palate.operators.profiles import cosine_components, cosine_to_target
 from palate.operators.ranking import topk_ranked
 from palate.operators.skyline import dominated, skyline
@@ -24,18 +24,16 @@ from palate.plans import blocks
 ANOMALY_TAGS = ("action", "classic", "thriller")
 
 
+def rated_items(movies: DataFrame, ratings: DataFrame) -> Lookup:
+    """The movie side of the three tag and genre queries: movie_id, genre, avg_rating."""
+    return blocks.genre_items(movies, blocks.avg_rating_per_movie(ratings))
+
+
 def genre_tag_stats(
-    tags: DataFrame,
-    movies: DataFrame,
-    ratings: DataFrame,
-    *,
-    compare_scale: int | None = None,
-    item_ratings: DataFrame | None = None,
+    tags: DataFrame, items: Lookup, *, compare_scale: int | None = None
 ) -> DataFrame:
     """The frame behind the three tag and genre queries; see ``blocks.genre_tag_stats``."""
-    if item_ratings is None:
-        item_ratings = blocks.avg_rating_per_movie(ratings)
-    return blocks.genre_tag_stats(blocks.tag_genre_uses(tags, movies, item_ratings), compare_scale)
+    return blocks.genre_tag_stats(blocks.tag_genre_uses(tags, items), compare_scale)
 
 
 def iceberg_tag_genre(
@@ -54,7 +52,7 @@ def iceberg_tag_genre(
     the movies' averages is weighted by applications too. Output: tag, genre, avg_rating.
     """
     if stats is None:
-        stats = genre_tag_stats(tags, movies, ratings, compare_scale=compare_scale)
+        stats = genre_tag_stats(tags, rated_items(movies, ratings), compare_scale=compare_scale)
     frequent = stats.filter(F.col("n_rated") > min_count)
     return frequent.filter(F.col("avg_rating") > min_avg).select("tag", "genre", "avg_rating")
 
@@ -67,7 +65,7 @@ def dominant_tag_per_genre(
     Uses on unrated movies count for the choice but not for the average; a genre whose
     tag has no rated movie drops out. Output: tag, genre, avg_rating.
     """
-    stats = genre_tag_stats(tags, movies, ratings) if stats is None else stats
+    stats = genre_tag_stats(tags, rated_items(movies, ratings)) if stats is None else stats
     counted = stats.select("genre", "tag", "n_uses", "avg_rating")
     return (
         blocks.most_used_tag_per_genre(counted)
@@ -134,6 +132,7 @@ def genre_tag_points(
     min_distinct: int = 200,
     *,
     compare_scale: int | None = None,
+    items: Lookup | None = None,
     stats: DataFrame | None = None,
 ) -> DataFrame:
     """The (genre, tag) pairs a skyline chooses from: genre, tag, avg_rating, user_count.
@@ -142,10 +141,11 @@ def genre_tag_points(
     count whether or not their movie is rated. Two frames are aggregated separately,
     which shuffles less than one with two distinct counts, and joined as groups.
     """
+    items = rated_items(movies, ratings) if items is None else items
     if stats is None:
-        stats = genre_tag_stats(tags, movies, ratings, compare_scale=compare_scale)
+        stats = genre_tag_stats(tags, items, compare_scale=compare_scale)
     popular = stats.filter(F.col("n_distinct") > min_distinct).select("genre", "tag", "avg_rating")
-    users = blocks.users_per_genre_tag(tags, movies)
+    users = blocks.users_per_genre_tag(tags, items)
     same_pair = popular["genre"].eqNullSafe(users["genre"]) & popular["tag"].eqNullSafe(users["tag"])
     return popular.join(users, same_pair).select(
         popular["genre"], popular["tag"], "avg_rating", "user_count"

@@ -104,12 +104,14 @@ _BUILDERS: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     # aggregations
     "avg_rating_per_movie": lambda _, t: blocks.avg_rating_per_movie(t.ratings),
     "genre_tag_counts": lambda _, t: blocks.genre_tag_counts(
-        blocks.tag_genre_uses(t.tags, t.movies)
+        blocks.tag_genre_uses(t.tags, blocks.genre_items(t.movies))
     ),
     "most_used_tag_per_genre": lambda _, t: blocks.most_used_tag_per_genre(
-        blocks.genre_tag_counts(blocks.tag_genre_uses(t.tags, t.movies))
+        blocks.genre_tag_counts(blocks.tag_genre_uses(t.tags, blocks.genre_items(t.movies)))
+    ),
+    "users_per_genre_tag": lambda _, t: blocks.users_per_genre_tag(
+        t.tags, blocks.genre_items(t.movies)
     ),
-    "users_per_genre_tag": lambda _, t: blocks.users_per_genre_tag(t.tags, t.movies),
     "movie_rating_stats": lambda _, t: blocks.movie_rating_stats(t.ratings),
     "avg_relevance_per_movie": lambda _, t: blocks.avg_relevance_per_movie(t.genome_scores),
     "user_tag_profile": lambda _, t: profiles.user_profiles(
@@ -119,7 +121,7 @@ _BUILDERS: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
         t.ratings, t.genome_scores, P.TARGET, P.MIN_LIKED
     ),
     # set-like
-    "genre_tag_users": lambda _, t: blocks.genre_tag_users(t.tags, t.movies),
+    "genre_tag_users": lambda _, t: blocks.genre_tag_users(t.tags, blocks.genre_items(t.movies)),
 }
 
 
