@@ -5,11 +5,17 @@ from __future__ import annotations
 import tempfile
 import uuid
 from dataclasses import dataclass
+from functools import cache
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
+@cache
+def _local_root() -> str:
+    return tempfile.mkdtemp(prefix="palate-")
+
+
 def staging_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -22,9 +28,7 @@ def staging_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder that every node shares")
-    root = tempfile.mkdtemp(prefix="palate-")
-    spark.conf.set("spark.checkpoint.dir", root)
-    return root
+    return _local_root()
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
