@@ -224,19 +224,23 @@ def overhyped_movies(
     """Movies that suit the chosen tags but are rated badly.
 
     Tag labels match case-sensitively; the average runs over those of the tags that
-    have a score. Output: movie_id, avg_relevance_to_tags, avg_rating_per_movie.
+    have a score. The few movies that suit the tags are known first: while they can be
+    broadcast, ratings of other movies are dropped where they are read. Output:
+    movie_id, avg_relevance_to_tags, avg_rating_per_movie.
     """
-    if item_ratings is None:
-        item_ratings = blocks.avg_rating_per_movie(ratings)
     chosen = genome_tags.filter(F.col("tag").isin(*tags)).select("tag_id")
-    relevant = (
+    relevant = Lookup.of(
         lookup_join(genome_scores, chosen, ["tag_id"])
         .groupBy("movie_id")
         .agg(F.avg("relevance").alias("avg_relevance_to_tags"))
         .filter(F.col("avg_relevance_to_tags") >= min_relevance)
     )
+    if item_ratings is None:
+        if relevant.fits:
+            ratings = lookup_join(ratings, relevant, ["movie_id"], "left_semi")
+        item_ratings = blocks.avg_rating_per_movie(ratings)
     badly_rated = item_ratings.filter(F.col("avg_rating") < max_rating)
-    return relevant.join(badly_rated, "movie_id").select(
+    return relevant.df.join(badly_rated, "movie_id").select(
         "movie_id", "avg_relevance_to_tags", F.col("avg_rating").alias("avg_rating_per_movie")
     )
 
