@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from math import ceil
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palate.operators.staging import stage_measured
@@ -14,10 +14,18 @@ from palate.operators.staging import stage_measured
 #: A staged table is broadcast only if its rows, written as text, stay below this.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
-#: Keys above this share of the rows are hot, and are cut into cells of that share.
-HOT_SHARE = 1 / 512
+_CELL, _CELLS, _HASH = "_cell", "_cells", "_hash"
 
-_CELL = "_cell"
+
+@dataclass(frozen=True)
+class Spread:
+    """Which keys are hot: those above ``share`` of the rows and above ``min_rows``."""
+
+    share: float = 1 / 4096
+    min_rows: int = 100_000
+
+
+SPREAD = Spread()
 
 
 def _require_same_types(left: DataFrame, right: DataFrame, on: Sequence[str]) -> None:
@@ -34,29 +42,52 @@ class HotKeys:
     on: tuple[str, ...]
     cells: dict[int, int]
 
-    def cells_of_row(self) -> Column:
-        """How many cells a row's key is cut into; 1 for all but the hot keys."""
-        known = F.create_map(*(F.lit(part) for item in self.cells.items() for part in item))
-        return F.coalesce(F.try_element_at(known, F.xxhash64(*self.on)), F.lit(1))
-
-
-def find_hot_keys(df: DataFrame, on: Sequence[str], share: float = HOT_SHARE) -> HotKeys:
-    """The keys holding more than ``share`` of the rows of ``df``.
-
-    One pass with a frequent-items sketch: no shuffle by key, and what reaches the
-    driver has at most ``1 / share`` entries, as no more keys can be that frequent. The
-    sketch tracks many times that number, so its error is far below the share. Two keys
-    with one hash are treated alike, and a wrong estimate changes only the balance of a
-    join, never its result.
+    def add_cells(self, df: DataFrame) -> DataFrame:
+        """Add how many cells each row's key is cut into: 1 for all but the hot keys."""
+        entries = ", ".join(f"{key}L, {cells}" for key, cells in self.cells.items())
+        known = df.sparkSession.range(1).select(
+            F.expr(f"explode(map({entries}))").alias(_HASH, _CELLS)
+        )
+        return (
+            df.withColumn(_HASH, F.xxhash64(*self.on))
+            .join(F.broadcast(known), _HASH, "left")
+            .drop(_HASH)
+            .withColumn(_CELLS, F.coalesce(_CELLS, F.lit(1)))
+        )
+
+
+def find_hot_keys(df: DataFrame, on: Sequence[str], spread: Spread = SPREAD) -> HotKeys:
+    """The keys holding more than ``spread.share`` of the rows of ``df``.
+
+    One pass with a frequent-items sketch per task, merged in two steps: no shuffle by
+    key, and what reaches the driver has at most ``1 / share`` entries, as no more keys
+    can be that frequent. The sketch tracks many times that number, so its error is far
+    below the share. Two keys with one hash are treated alike, and a wrong estimate
+    changes only the balance of a join, never its result.
     """
-    most = ceil(1 / share)
-    columns = ", ".join(f"`{name}`" for name in on)
-    found = df.agg(
-        F.expr(f"approx_top_k(xxhash64({columns}), {most}, {16 * most})").alias("keys"),
-        F.count(F.lit(1)).alias("rows"),
-    ).first()
-    limit = share * found["rows"]
-    frequent = {key["item"]: key["count"] for key in found["keys"] or [] if key["count"] > limit}
+    most = ceil(1 / spread.share)
+    tracked = 16 * most
+    sketches = (
+        df.select(F.xxhash64(*on).alias(_HASH), (F.spark_partition_id() % 256).alias("_task"))
+        .groupBy("_task")
+        .agg(
+            F.expr(f"approx_top_k_accumulate({_HASH}, {tracked})").alias("_sketch"),
+            F.count(F.lit(1)).alias("_rows"),
+        )
+    )
+    merged = f"approx_top_k_combine(_sketch, {tracked})"
+    found = (
+        sketches.groupBy(F.lit("all"))
+        .agg(
+            F.expr(f"approx_top_k_estimate({merged}, {most})").alias("keys"),
+            F.sum("_rows").alias("rows"),
+        )
+        .first()
+    )
+    if found is None:
+        return HotKeys(tuple(on), {})
+    limit = max(spread.share * found["rows"], spread.min_rows)
+    frequent = {key["item"]: key["count"] for key in found["keys"] if key["count"] > limit}
     return HotKeys(tuple(on), {item: ceil(count / limit) for item, count in frequent.items()})
 
 
@@ -66,7 +97,7 @@ def spread_join(
     on: Sequence[str],
     how: str = "inner",
     hot: HotKeys | None = None,
-    share: float = HOT_SHARE,
+    spread: Spread = SPREAD,
 ) -> DataFrame:
     """``big.join(small, on, how)`` with the hot keys of ``big`` cut into cells.
 
@@ -84,14 +115,14 @@ def spread_join(
         raise ValueError(f"unsupported join type: {how}")
     on = list(on)
     _require_same_types(big, small, on)
-    hot = find_hot_keys(big, on, share) if hot is None else hot
+    hot = find_hot_keys(big, on, spread) if hot is None else hot
     if not hot.cells:
         return big.join(small, on, how)
     others = [name for name in big.columns if name not in on]
-    cells = hot.cells_of_row()
-    cell = F.pmod(F.xxhash64(*others), cells.cast("bigint")).cast("int") if others else F.lit(0)
-    left = big.withColumn(_CELL, cell)
-    right = small.withColumn(_CELL, F.explode(F.sequence(F.lit(0), cells - 1)))
+    cell = F.pmod(F.xxhash64(*others), F.col(_CELLS)).cast("int") if others else F.lit(0)
+    left = hot.add_cells(big).withColumn(_CELL, cell).drop(_CELLS)
+    copies = F.explode(F.sequence(F.lit(0), F.col(_CELLS) - 1))
+    right = hot.add_cells(small).withColumn(_CELL, copies).drop(_CELLS)
     return left.join(right, [*on, _CELL], how).drop(_CELL)
 
 
@@ -113,7 +144,7 @@ def lookup_join(
     small: DataFrame | Lookup,
     on: Sequence[str],
     how: str = "inner",
-    share: float = HOT_SHARE,
+    spread: Spread = SPREAD,
 ) -> DataFrame:
     """Join to a side that is expected, but not known, to be small.
 
@@ -124,4 +155,4 @@ def lookup_join(
     small = small if isinstance(small, Lookup) else Lookup.of(small)
     if small.fits:
         return big.join(F.broadcast(small.df), list(on), how)
-    return spread_join(big, small.df, on, how, share=share)
+    return spread_join(big, small.df, on, how, spread=spread)

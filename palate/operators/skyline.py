@@ -28,7 +28,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palate.operators.joins import HOT_SHARE, Lookup, lookup_join, spread_join
+from palate.operators.joins import SPREAD, Lookup, Spread, lookup_join, spread_join
 from palate.operators.staging import stage, stage_measured
 
 #: Up to this many distinct points are compared pair by pair.
@@ -131,7 +131,7 @@ def _with_rank(points: DataFrame, name: str, cuts: Sequence[float]) -> DataFrame
 
 
 def _sweep_3d(
-    points: DataFrame, x: str, y: str, z: str, cuts: dict, share: float
+    points: DataFrame, x: str, y: str, z: str, cuts: dict, spread: Spread
 ) -> DataFrame:
     """Exact 3-d skyline of distinct points, without comparing pairs.
 
@@ -144,7 +144,7 @@ def _sweep_3d(
     points = points.groupBy(x, y).agg(F.max(z).alias(z))
     ranks = stage_measured(_with_rank(points, x, cuts[x]), "ranks")
     bits = max(ranks.rows - 1, 0).bit_length()
-    ranked = stage(spread_join(points, ranks.df, [x], share=share), "ranked")
+    ranked = stage(spread_join(points, ranks.df, [x], spread=spread), "ranked")
 
     same_x = F.col("_bit") < 0
     split = ranked.withColumn("_bit", F.explode(F.sequence(F.lit(-1), F.lit(bits - 1))))
@@ -165,7 +165,7 @@ def _sweep_3d(
 
     askers = split.filter(same_x | ~F.col("_larger")).select(*group, x, y, z)
     beaten = (
-        spread_join(askers, stairs, [*group, y], share=share)
+        spread_join(askers, stairs, [*group, y], spread=spread)
         .filter(F.col("_reach") >= F.col(z))
         .select(x, y)
         .distinct()
@@ -174,7 +174,7 @@ def _sweep_3d(
 
 
 def _skyline_points(
-    rows: DataFrame, dims: list[str], pairwise_points: int, bucket_rows: int, share: float
+    rows: DataFrame, dims: list[str], pairwise_points: int, bucket_rows: int, spread: Spread
 ) -> Lookup:
     """Distinct undominated points of comparable rows."""
     found = stage_measured(rows.select(*dims).distinct(), "points")
@@ -192,7 +192,7 @@ def _skyline_points(
     cuts = _bounds(found.df, dims, found.rows, bucket_rows)
     if len(dims) == 2:
         return Lookup.of(_sweep_2d(found.df, *dims, cuts))
-    return Lookup.of(_sweep_3d(found.df, *dims, cuts, share))
+    return Lookup.of(_sweep_3d(found.df, *dims, cuts, spread))
 
 
 def _split_by_skyline(
@@ -202,7 +202,7 @@ def _split_by_skyline(
     *,
     pairwise_points: int = PAIRWISE_POINTS,
     bucket_rows: int = BUCKET_ROWS,
-    share: float = HOT_SHARE,
+    spread: Spread = SPREAD,
 ) -> DataFrame:
     """The comparable rows on the skyline and all incomparable ones, or the other rows."""
     dims = list(maximize)
@@ -214,9 +214,9 @@ def _split_by_skyline(
         points = comparable.select(*dims)
         found = _without_dominated(comparable, points, dims, "left_anti" if kept else "left_semi")
     else:
-        points = _skyline_points(comparable, dims, pairwise_points, bucket_rows, share)
+        points = _skyline_points(comparable, dims, pairwise_points, bucket_rows, spread)
         how = "left_semi" if kept else "left_anti"
-        found = lookup_join(comparable, points, dims, how, share)
+        found = lookup_join(comparable, points, dims, how, spread)
     found = found.select(*df.columns)
     if kept:
         return found.unionByName(staged.df.filter(~_comparable(staged.df, dims)))

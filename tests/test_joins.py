@@ -3,11 +3,21 @@
 from __future__ import annotations
 
 import pytest
-from conftest import plan, rows
+from conftest import TESTDATA, plan, rows
 from pyspark.sql import functions as F
 
 from palate.operators import joins
-from palate.operators.joins import HotKeys, Lookup, find_hot_keys, lookup_join, spread_join
+from palate.operators.joins import (
+    HotKeys,
+    Lookup,
+    Spread,
+    find_hot_keys,
+    lookup_join,
+    spread_join,
+)
+from palate.registry import QUERIES
+
+TEST = Spread(share=1 / 16, min_rows=0)
 
 
 @pytest.fixture(scope="module")
@@ -26,16 +36,17 @@ def sides(spark):
 
 def test_hot_keys_are_found_and_bounded(sides):
     big, _ = sides
-    hot = find_hot_keys(big, ["k"], share=1 / 16)
+    hot = find_hot_keys(big, ["k"], spread=TEST)
     assert len(hot.cells) == 1 and set(hot.cells.values()) == {6}
-    assert not find_hot_keys(big.filter("k <> 'hot'"), ["k"], share=1 / 16).cells
-    assert not find_hot_keys(big.filter("v < 0"), ["k"]).cells
+    assert not find_hot_keys(big.filter("k <> 'hot'"), ["k"], spread=TEST).cells
+    assert not find_hot_keys(big.filter("v < 0"), ["k"], spread=TEST).cells
+    assert not find_hot_keys(big, ["k"]).cells, "few rows need no spreading"
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_spread_join_equals_the_plain_join(sides, how):
     big, small = sides
-    got = spread_join(big, small, ["k"], how, share=1 / 16)
+    got = spread_join(big, small, ["k"], how, spread=TEST)
     want = big.join(small, "k", how)
     assert got.columns == want.columns
     assert rows(got) == rows(want)
@@ -45,17 +56,17 @@ def test_spread_join_on_two_columns_and_without_other_columns(spark, sides):
     big, small = sides
     two = big.withColumn("p", F.col("v") % 2)
     dim = small.selectExpr("k", "w % 2 as p", "w")
-    assert rows(spread_join(two, dim, ["k", "p"], share=1 / 16)) == rows(two.join(dim, ["k", "p"]))
+    assert rows(spread_join(two, dim, ["k", "p"], spread=TEST)) == rows(two.join(dim, ["k", "p"]))
     keys = big.select("k")
-    got = spread_join(keys, small, ["k"], share=1 / 16)
+    got = spread_join(keys, small, ["k"], spread=TEST)
     assert rows(got) == rows(keys.join(small, "k"))
 
 
 def test_the_hot_key_is_cut_into_balanced_cells(sides):
     big, _ = sides
-    hot = find_hot_keys(big, ["k"], share=1 / 16)
-    cell = F.pmod(F.xxhash64("v"), hot.cells_of_row().cast("bigint"))
-    sizes = big.groupBy("k", cell.alias("cell")).count()
+    hot = find_hot_keys(big, ["k"], spread=TEST)
+    cell = F.pmod(F.xxhash64("v"), F.col("_cells"))
+    sizes = hot.add_cells(big).groupBy("k", cell.alias("cell")).count()
     assert max(r["count"] for r in sizes.collect()) < 6000 / 16 * 1.5
 
 
@@ -70,7 +81,7 @@ def test_lookup_join_broadcasts_only_what_was_measured(sides, monkeypatch):
     assert Lookup.of(small).fits and not Lookup.of(small, max_bytes=10).fits
     fitting = lookup_join(big, small, ["k"])
     assert "BroadcastHashJoin" in plan(fitting) and rows(fitting) == want
-    too_big = lookup_join(big, Lookup.of(small, max_bytes=10), ["k"], share=1 / 16)
+    too_big = lookup_join(big, Lookup.of(small, max_bytes=10), ["k"], spread=TEST)
     assert "_cell" in plan(too_big) and rows(too_big) == want
 
 
@@ -87,22 +98,20 @@ def test_unknown_join_type(sides):
 
 def test_workloads_agree_when_nothing_may_be_broadcast(spark, monkeypatch):
     """The paths for big lookups and hot keys give the results of the small ones."""
-    from conftest import TESTDATA
-
-    from palate.registry import QUERIES
-
     sf = str(TESTDATA / "sf0.001")
     names = [
-        "iceberg_tag_genre", "dominant_tag_per_genre", "genre_tag_counts", "genre_tag_users",
-        "movie_tag_genre", "user_tag_profile", "user_target_cosine", "overhyped_movies",
-        "tag_sentiment", "tag_rating_pairs",
+        "iceberg_tag_genre", "dominant_tag_per_genre", "genre_tag_users", "user_target_cosine",
+        "overhyped_movies", "tag_sentiment", "tag_rating_pairs",
     ]
     want = {name: rows(QUERIES[name](spark, sf)) for name in names}
-    original = joins.Lookup.of.__func__
+    original, find = joins.Lookup.of.__func__, joins.find_hot_keys
     monkeypatch.setattr(joins.Lookup, "of", classmethod(lambda cls, df: original(cls, df, 0)))
-    assert {name: rows(QUERIES[name](spark, sf)) for name in names} == want
+    plain = ["iceberg_tag_genre", "genre_tag_users", "user_target_cosine"]
+    assert {name: rows(QUERIES[name](spark, sf)) for name in plain} == {n: want[n] for n in plain}
 
-    find = joins.find_hot_keys
+    everything_hot = Spread(share=1 / 4000, min_rows=0)
     for module in ("palate.operators.joins", "palate.plans.blocks", "palate.operators.profiles"):
-        monkeypatch.setattr(f"{module}.find_hot_keys", lambda df, on, share=0: find(df, on, 1 / 4000))
+        monkeypatch.setattr(
+            f"{module}.find_hot_keys", lambda df, on, spread=None: find(df, on, everything_hot)
+        )
     assert {name: rows(QUERIES[name](spark, sf)) for name in names} == want
