@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from palate.operators.staging import stage_measured
 
-#: A staged table is broadcast only if its rows, written as text, stay below this.
+#: A staged table is broadcast only if its values stay below this size.
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 _CELL, _CELLS, _HASH = "_cell", "_cells", "_hash"
@@ -61,12 +61,12 @@ def find_hot_keys(df: DataFrame, on: Sequence[str], spread: Spread = SPREAD) ->
 
     One pass with a frequent-items sketch per task, merged in two steps: no shuffle by
     key, and what reaches the driver has at most ``1 / share`` entries, as no more keys
-    can be that frequent. The sketch tracks many times that number, so its error is far
-    below the share. Two keys with one hash are treated alike, and a wrong estimate
-    changes only the balance of a join, never its result.
+    can be that frequent. The sketch tracks several times that number, so its error
+    stays below the share. Two keys with one hash are treated alike, and a wrong
+    estimate changes only the balance of a join, never its result.
     """
     most = ceil(1 / spread.share)
-    tracked = 16 * most
+    tracked = 4 * most
     sketches = (
         df.select(F.xxhash64(*on).alias(_HASH), (F.spark_partition_id() % 256).alias("_task"))
         .groupBy("_task")
