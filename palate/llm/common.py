@@ -145,3 +145,37 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         small = large.join(lower, "a").select(b.alias("x"), a.alias("y"), "m")
         small = small.select(F.explode(F.array(F.struct(F.col("x").alias("a"), F.col("m").alias("b")), F.struct(F.col("y").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
         now = stage(small.filter(a != b).distinct(), f"{label}-star")
+
+
+class KeyTable:
+    """An immutable open hash table in arrays: 64-bit keys to their index, -1 for others."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys = np.append(keys.astype(np.uint64), np.uint64(0))
+        self.bits = max(10, int(len(keys)).bit_length() + 4)
+        self.slots = np.full(1 << self.bits, -1, np.int32)
+        for i, at in enumerate(self._home(keys.astype(np.uint64)).tolist()):
+            while self.slots[at] >= 0:
+                at = (at + 1) & ((1 << self.bits) - 1)
+            self.slots[at] = i
+
+    def _home(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * MIX_A) >> np.uint64(64 - self.bits)).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        shape, keys = keys.shape, keys.ravel()
+        at = self._home(keys)
+        out = self.slots[at]
+        open_ = np.flatnonzero((out >= 0) & (self.keys[out] != keys))
+        while len(open_):
+            at[open_] = (at[open_] + 1) & ((1 << self.bits) - 1)
+            out[open_] = got = self.slots[at[open_]]
+            open_ = open_[(got >= 0) & (self.keys[got] != keys[open_])]
+        return out.reshape(shape)
+
+
+def gather(offsets: np.ndarray, values: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The value lists of codes one after another, and their new offsets."""
+    lengths = (offsets[1:] - offsets[:-1])[codes]
+    ends = np.concatenate([[0], np.cumsum(lengths)])
+    return values[np.repeat(offsets[codes] - ends[:-1], lengths) + np.arange(ends[-1])], ends

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm import sharding, warc
+from palate.llm import langid, packing, sharding, token_counts, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +17,31 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
+def tokenizer_file(name: str) -> str:
+    """Where the public tokenizer file is; PALATE_TOKENIZERS names another folder."""
+    if folder := os.environ.get("PALATE_TOKENIZERS"):
+        return f"{folder}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = packing.pack(_read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return done.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op2_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(_read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
+
+
+def op9_piece_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    done = langid.identify(docs, tokenizer_file("piece_bpe_32k.model"))
+    remainder = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4))
+    return done.select("doc_id", F.coalesce(remainder == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 def op4_virtual_slots(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = sharding.shard_documents(_read(spark, sf_dir, "documents"), n_shards=16)
     return done.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"), "virtual_slot")
@@ -27,7 +53,10 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_bm25_packing": op1_bm25_packing,
+    "op2_piece_counts": op2_piece_counts,
     "op4_virtual_slots": op4_virtual_slots,
+    "op9_piece_unigrams": op9_piece_unigrams,
     "op10_warc": op10_warc,
 }
 
