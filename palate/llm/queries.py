@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm import langid, packing, sharding, token_counts, warc
+from palate.llm import html_text, langid, line_dedup, packing, sharding, token_counts, vafile, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -35,6 +35,19 @@ def op2_piece_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(_read(spark, sf_dir, "documents"), tokenizer_file("piece_bpe_32k.model"))
 
 
+def op3_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.top_k(_read(spark, sf_dir, "embeddings"))
+
+
+def op6_boosted_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_read(spark, sf_dir, "pages"))
+
+
+def op7_minhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedup_lines(_read(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "text", "n_lines", "n_dropped")
+
+
 def op9_piece_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     done = langid.identify(docs, tokenizer_file("piece_bpe_32k.model"))
@@ -55,12 +68,25 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_bm25_packing": op1_bm25_packing,
     "op2_piece_counts": op2_piece_counts,
+    "op3_va_file": op3_va_file,
     "op4_virtual_slots": op4_virtual_slots,
+    "op6_boosted_dom": op6_boosted_dom,
+    "op7_minhash_lines": op7_minhash_lines,
     "op9_piece_unigrams": op9_piece_unigrams,
     "op10_warc": op10_warc,
 }
 
 ORACLE: dict[str, str] = {
+    "op3_va_file": """
+        WITH u AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v
+                   FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+             s AS (SELECT q.vec_id AS query_id, c.vec_id AS vec_id,
+                          CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
+                   FROM u q JOIN u c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+        SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+        FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+        WHERE rank <= 10""",
     "op10_warc": """
         WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
              d AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS payload_digest FROM p),
