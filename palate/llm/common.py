@@ -54,8 +54,11 @@ def mix(x: np.ndarray) -> np.ndarray:
 
 
 def strings(column: pa.Array) -> pa.Array:
-    """The column as strings without nulls (null: empty)."""
-    return pc.fill_null(column.cast(pa.large_string()), "")
+    """The column as strings without nulls (null: empty), copied if it is a part of a longer one:
+    the ASCII case kernel reads such parts wrongly."""
+    values = pc.fill_null(column.cast(pa.large_string()), "")
+    first = np.frombuffer(values.buffers()[1], np.int64, 1, 8 * values.offset) if len(values) else [0]
+    return values.take(pa.array(range(len(values)), pa.int64())) if first[0] else values
 
 
 def split_words(texts: pa.Array, ascii_only: bool = False) -> tuple[np.ndarray, np.ndarray, pa.Array]:

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm import html_text, langid, line_dedup, packing, sharding, token_counts, vafile, warc
+from palate.llm import html_text, jaccard_join, langid, line_dedup, packing, sharding, token_counts, vafile, warc
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -39,6 +39,10 @@ def op3_va_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vafile.top_k(_read(spark, sf_dir, "embeddings"))
 
 
+def op5_count_vector_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(_read(spark, sf_dir, "documents"), words=4, similarity=(85, 100))
+
+
 def op6_boosted_dom(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(_read(spark, sf_dir, "pages"))
 
@@ -70,6 +74,7 @@ QUERIES: dict[str, Query] = {
     "op2_piece_counts": op2_piece_counts,
     "op3_va_file": op3_va_file,
     "op4_virtual_slots": op4_virtual_slots,
+    "op5_count_vector_join": op5_count_vector_join,
     "op6_boosted_dom": op6_boosted_dom,
     "op7_minhash_lines": op7_minhash_lines,
     "op9_piece_unigrams": op9_piece_unigrams,
