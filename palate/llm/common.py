@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -17,6 +18,15 @@ MIX_A = np.uint64(0x9E3779B97F4A7C15)
 MIX_B = np.uint64(0xD6E8FEB86659FD93)
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a public tokenizer file is; PALATE_TOKENIZERS names another folder."""
+    if folder := os.environ.get("PALATE_TOKENIZERS"):
+        return f"{folder}/{name}"
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all machines share: spark.checkpoint.dir, or the context's checkpoint
     folder. Only a local session without either gets a temporary one."""

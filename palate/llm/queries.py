@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm import html_text, jaccard_join, langid, line_dedup, packing, sharding, token_counts, vafile, warc
+import corpus_pipeline
+from palate.llm import decontamination, html_text, jaccard_join, langid, line_dedup, packing, sharding, token_counts, vafile, warc
+from palate.llm.common import tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,15 +18,6 @@ def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def tokenizer_file(name: str) -> str:
-    """Where the public tokenizer file is; PALATE_TOKENIZERS names another folder."""
-    if folder := os.environ.get("PALATE_TOKENIZERS"):
-        return f"{folder}/{name}"
-    import public_tokenizers
-
-    return public_tokenizers.path(name)
-
-
 def op1_bm25_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = packing.pack(_read(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
     return done.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -52,6 +44,10 @@ def op7_minhash_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "text", "n_lines", "n_dropped")
 
 
+def op8_rare_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.contaminated(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
 def op9_piece_unigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     done = langid.identify(docs, tokenizer_file("piece_bpe_32k.model"))
@@ -77,8 +73,10 @@ QUERIES: dict[str, Query] = {
     "op5_count_vector_join": op5_count_vector_join,
     "op6_boosted_dom": op6_boosted_dom,
     "op7_minhash_lines": op7_minhash_lines,
+    "op8_rare_seeds": op8_rare_seeds,
     "op9_piece_unigrams": op9_piece_unigrams,
     "op10_warc": op10_warc,
+    "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
