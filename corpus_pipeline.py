@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palate.llm import decontamination, jaccard_join, langid, line_dedup, packing
-from palate.llm.common import stage, tokenizer_file
+from palate.llm.common import package_path, stage, tokenizer_file
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -57,6 +57,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over documents."""
+    package_path(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, function in STAGES[:-1]:
         docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")

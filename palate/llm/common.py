@@ -6,6 +6,7 @@ import os
 import tempfile
 import uuid
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -27,6 +28,14 @@ def tokenizer_file(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def package_path(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver has it, unless it is installed there."""
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder that all machines share: spark.checkpoint.dir, or the context's checkpoint
     folder. Only a local session without either gets a temporary one."""

@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from palate.llm import decontamination, html_text, jaccard_join, langid, line_dedup, packing, sharding, token_counts, vafile, warc
-from palate.llm.common import tokenizer_file
+from palate.llm.common import package_path, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
 def _read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    package_path(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
