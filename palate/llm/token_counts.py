@@ -13,9 +13,9 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -25,7 +25,7 @@ from palate.llm.common import batches, hash_strings, stage, strings
 SPACE = "▁"
 #: A pre-token that this share of a block's documents holds is dealt by its block too.
 COMMON = 1 / 16
-BLOCK = "block long, bucket int, words binary, word_ends binary, n_docs binary, docs binary, freqs binary, ids array<long>, sizes array<long>"
+BLOCK = "block long, bucket int, words binary, word_sizes binary, n_docs binary, docs binary, freqs binary, ids array<long>, sizes array<long>"
 _BLOCK_TYPES = [pa.int64(), pa.int32(), *[pa.binary()] * 5, pa.list_(pa.int64()), pa.list_(pa.int64())]
 _BLOCK_NAMES = [x.split()[0] for x in BLOCK.split(", ")]
 
@@ -57,26 +57,38 @@ class PieceCounter:
         return counts
 
 
+def squeeze(values: bytes | np.ndarray) -> bytes:
+    return zstandard.compress(values if isinstance(values, bytes) else values.tobytes(), 3)
+
+
+def spread(value: pa.Scalar) -> bytes:
+    return zstandard.decompress(value.as_py())
+
+
 def _blocks(docs: DataFrame, path: str, buckets: int) -> DataFrame:
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counter = PieceCounter(path)
         task = TaskContext.get().partitionId() << 32
-        for number, part in enumerate(batches(parts, 32768, 48 << 20)):
+        for number, part in enumerate(batches(parts, 8192, 16 << 20)):
             block = task | number
             texts = strings(part.column(1))
-            lists = [counter.cut(t) for t in texts.to_pylist()]
-            lengths = np.fromiter(map(len, lists), np.int64, len(lists))
-            coded = pa.array(chain.from_iterable(lists), pa.large_string()).dictionary_encode()
-            del lists
+            lengths, found = [], []
+            for few in range(0, len(texts), 256):  # Python strings of a few texts at a time
+                lists = [counter.cut(t) for t in texts.slice(few, 256).to_pylist()]
+                lengths += map(len, lists)
+                found.append(pa.array(chain.from_iterable(lists), pa.large_string()))
+            lengths = np.array(lengths, np.int64)
+            coded = pa.concat_arrays(found).dictionary_encode()
+            del found, lists
             words, n = coded.dictionary, len(lengths)
             held, freq = np.unique(np.asarray(coded.indices).astype(np.int64) * n + np.repeat(np.arange(n), lengths), return_counts=True)
             word, doc = np.divmod(held, n)
-            spread = np.bincount(word, minlength=len(words))
-            bucket = hash_strings(words) + np.where(spread > COMMON * n, hash_strings(pa.array([str(block)]))[0], np.uint64(0))
+            held_by = np.bincount(word, minlength=len(words))
+            bucket = hash_strings(words) + np.where(held_by > COMMON * n, hash_strings(pa.array([str(block)]))[0], np.uint64(0))
             bucket = (bucket % np.uint64(buckets)).astype(np.int64)
             order = np.argsort(bucket, kind="stable")
             postings = np.argsort(bucket[word], kind="stable")  # by bucket, then in the words' order
-            words, sizes = words.take(pa.array(order)), spread[order]
+            words, sizes = words.take(pa.array(order)), held_by[order]
             doc, freq = doc[postings].astype("<u2"), freq[postings].astype("<u4")
             firsts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             ends = np.concatenate([[0], np.cumsum(sizes)])
@@ -84,7 +96,8 @@ def _blocks(docs: DataFrame, path: str, buckets: int) -> DataFrame:
             for k in np.flatnonzero(np.diff(firsts)).tolist():
                 a, b = firsts[k], firsts[k + 1]
                 own = words.slice(a, b - a)
-                rows.append((block, k, "".join(own.to_pylist()).encode(), np.cumsum(np.asarray(pc.utf8_length(own))).astype("<u4").tobytes(), sizes[a:b].astype("<u4").tobytes(), doc[ends[a] : ends[b]].tobytes(), freq[ends[a] : ends[b]].tobytes(), None, None))
+                listed = "".join(own.to_pylist()).encode(), np.asarray(pc.utf8_length(own)).astype("<u4"), sizes[a:b].astype("<u4"), doc[ends[a] : ends[b]], freq[ends[a] : ends[b]]
+                rows.append((block, k, *map(squeeze, listed), None, None))
             rows.append((block, None, None, None, None, None, None, part.column(0).to_pylist(), np.asarray(pc.binary_length(texts)).tolist()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _BLOCK_TYPES, strict=True)], _BLOCK_NAMES)
 
@@ -105,20 +118,20 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, id_col: st
     def count(table: pa.Table) -> pa.Table:
         counter = PieceCounter(model_path)
         lists = []
-        for words, ends in zip(table.column("words"), table.column("word_ends"), strict=True):
-            text, ends = words.as_py().decode(), np.frombuffer(ends.as_py(), "<u4").tolist()
+        for words, ends in zip(table.column("words"), table.column("word_sizes"), strict=True):
+            text, ends = spread(words).decode(), np.cumsum(np.frombuffer(spread(ends), "<u4"), dtype=np.int64).tolist()
             lists.append([text[a:b] for a, b in zip([0, *ends], ends, strict=False)])
         coded = pa.array(chain.from_iterable(lists), pa.large_string()).dictionary_encode()
         pieces = counter.count(coded.dictionary.to_pylist())[np.asarray(coded.indices)]
         out, at = [], 0
-        for words, block, spread, docs_, freqs in zip(lists, *(table.column(c) for c in ("block", "n_docs", "docs", "freqs")), strict=True):
+        for words, block, n_docs, docs_, freqs in zip(lists, *(table.column(c) for c in ("block", "n_docs", "docs", "freqs")), strict=True):
             own = pieces[at : at + len(words)]
             at += len(words)
-            value = np.repeat(own, np.frombuffer(spread.as_py(), "<u4")) * np.frombuffer(freqs.as_py(), "<u4")
-            doc, where = np.unique(np.frombuffer(docs_.as_py(), "<u2"), return_inverse=True)
+            value = np.repeat(own, np.frombuffer(spread(n_docs), "<u4")) * np.frombuffer(spread(freqs), "<u4")
+            doc, where = np.unique(np.frombuffer(spread(docs_), "<u2"), return_inverse=True)
             total = np.zeros(len(doc), np.int64)
             np.add.at(total, where, value)
-            out.append((block.as_py(), doc.astype("<u2").tobytes(), total.astype("<i8").tobytes()))
+            out.append((block.as_py(), squeeze(doc.astype("<u2")), squeeze(total.astype("<i8"))))
         return pa.table([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.binary(), pa.binary()), strict=True)], ["block", "docs", "sums"])
 
     def add(table: pa.Table) -> pa.Table:
@@ -127,10 +140,10 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, id_col: st
         total = np.zeros(len(sizes), np.int64)
         for docs_, sums in zip(table.column("docs"), table.column("sums"), strict=True):
             if docs_.is_valid:
-                total[np.frombuffer(docs_.as_py(), "<u2")] += np.frombuffer(sums.as_py(), "<i8")
+                total[np.frombuffer(spread(docs_), "<u2")] += np.frombuffer(spread(sums), "<i8")
         return pa.table([ids, sizes, pa.array(total), pa.array(total > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
-    lists = staged.filter("bucket is not null").select("block", "bucket", "words", "word_ends", "n_docs", "docs", "freqs")
+    lists = staged.filter("bucket is not null").select("block", "bucket", "words", "word_sizes", "n_docs", "docs", "freqs")
     sums = lists.groupBy("bucket").applyInArrow(count, "block long, docs binary, sums binary")
     rows = staged.filter("bucket is null").select("block", F.lit(None).cast("binary").alias("docs"), F.lit(None).cast("binary").alias("sums"), "ids", "sizes")
     back = sums.select("*", F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<long>").alias("sizes")).unionByName(rows)
