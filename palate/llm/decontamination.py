@@ -160,13 +160,15 @@ def _scores(docs: DataFrame, seeds: list[tuple[int, int, int, int]], items: dict
             text, item, at, place = np.concatenate(hits, axis=1)
             order = np.lexsort([at, item, text])
             text, item, at, place = text[order], item[order], at[order], place[order]
-            edges = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1]))) if len(text) else []
+            if not len(text):
+                continue
+            edges = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1])))
             pairs = []
             for a, b in zip(edges, [*edges[1:], len(text)], strict=True):
                 own = items[int(item[a])]
                 doc = words[offsets[text[a]] : offsets[text[a] + 1]]
                 pairs += [(int(text[a]), int(item[a]), own, doc[x:y]) for x, y in passages(len(doc), at[a:b], place[a:b], len(own))]
-            score = align([p[2] for p in pairs], [p[3] for p in pairs]) if pairs else np.zeros(0)
+            score = align([p[2] for p in pairs], [p[3] for p in pairs])
             good = np.flatnonzero(score >= keep)
             uid = part.column(0).take(pa.array([pairs[i][0] for i in good], pa.int64()))
             yield pa.RecordBatch.from_arrays([uid, pa.array([pairs[i][1] for i in good], pa.int64()), pa.array(score[good])], ["uid", "item", "score"])

@@ -1,15 +1,21 @@
+"""Fixtures of the llm tests, imported by each of them."""
+
 from __future__ import annotations
 
+import os
+from pathlib import Path
+
 import pytest
-from conftest import TESTDATA
+from pyspark.sql import functions as F
 
 from palate.llm.common import package_path
 
+TESTDATA = Path(os.environ.get("TESTDATA", "/root/testdata"))
 TINY = str(TESTDATA / "sf0.001")
 
 
 @pytest.fixture(autouse=True)
-def _workers_find_the_package(spark):
+def workers_find_the_package(spark):
     package_path(spark)
 
 
@@ -31,8 +37,6 @@ def odd_docs(spark):
         (8, "x", "en", None, 1),
     ]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
-    from pyspark.sql import functions as F
-
     for name in ("uid", "key", "node", "size", "shard", "slot", "start", "ids", "kind", "keys", "line", "root", "lang_pred", "score", "n_lines"):
         docs = docs.withColumn(name, F.lit("clash"))
     return docs

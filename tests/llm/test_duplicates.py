@@ -8,14 +8,14 @@ import re
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import TESTDATA
+from llm_cases import *  # noqa: F403
+from llm_cases import TINY
 
 import __spark_entry__ as entry_point
 import corpus_pipeline
 from palate.llm import decontamination, jaccard_join, line_dedup, queries
 from palate.llm.common import components
 
-TINY = str(TESTDATA / "sf0.001")
 
 
 class Union:

@@ -11,12 +11,12 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import TESTDATA
+from llm_cases import *  # noqa: F403
+from llm_cases import TESTDATA, TINY
 
 from palate.llm import html_text, langid, queries, sharding, vafile, warc
 from palate.llm.common import stage, tokenizer_file
 
-TINY = str(TESTDATA / "sf0.001")
 PIECES = tokenizer_file("piece_bpe_32k.model")
 
 

@@ -8,7 +8,8 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
-from conftest import TESTDATA
+from llm_cases import *  # noqa: F403
+from llm_cases import TINY
 from sentencepiece import SentencePieceProcessor
 from tokenizers import Tokenizer
 
@@ -16,7 +17,6 @@ from palate.llm import packing, queries, token_counts
 from palate.llm.bpe import WordBpe
 from palate.llm.common import KeyTable, batches, hash_strings, strings, tokenizer_file
 
-TINY = str(TESTDATA / "sf0.001")
 WORDS, PIECES = tokenizer_file("word_bpe_49k.json"), tokenizer_file("piece_bpe_32k.model")
 ODD = ["", "Hello World's it's A.B--c 12³ ½ don't", "<|endoftext|> x <|ENDOFTEXT|>", "Œuvre ﬁ 漢字 \x1c a", "a b é É ÀÖ×÷ªº µ _x_ 'S", "x" * 1000 + " y", "ÿ ß İ", "  lead\n\ttrail ", "a\x00b", "''s'sx 'll", "\xad \u0085x", "a  b\n\n c\r\nd", "▁x ▁▁", "<s> <0x0A>"]
 
