@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 # How far above the exact half the last digit is cut, in units of that digit.
 TIE_SHIFT = 2.0**-16
+# Doubles below this have a half and therefore digits to cut.
+EXACT = 2.0**52
 
 
 def fixed(value: Column, scale: int | None) -> Column:
@@ -15,12 +17,14 @@ def fixed(value: Column, scale: int | None) -> Column:
 
     A sum of doubles depends on its order in the last bit. Ratios of counts often lie
     exactly half-way between two decimals, where that bit would decide, so the cut is
-    moved slightly off the half. Plain double arithmetic, for finite values.
+    moved slightly off the half. Plain double arithmetic. A value whose digits at that
+    scale are beyond what a double holds comes back as it is, as do NaN and infinity.
     """
     if scale is None:
         return value
     unit = float(10**scale)
-    return F.floor(value * unit + (0.5 + TIE_SHIFT)) / unit
+    cut = F.floor(value * unit + (0.5 + TIE_SHIFT)) / unit
+    return F.when(F.abs(value * unit) < EXACT, cut).otherwise(value.cast("double"))
 
 
 def weighted_mean(value: str, weight: str) -> Column:

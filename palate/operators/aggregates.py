@@ -37,16 +37,22 @@ def argmax_per_group(
 
     Ties go to the smallest ``tie_break`` values, NULL last. An aggregate rather
     than a window: partial results combine before the shuffle, so a group may be of
-    any size. ``measure`` must be numeric and ``tie_break`` must make rows distinct.
+    any size. ``measure`` must be numeric and ``tie_break`` must make rows distinct; the
+    other columns may be of any type.
     """
-    first = [F.col(measure).isNull().alias("_absent"), (-F.col(measure)).alias("_order")]
+    whole = dict(df.dtypes)[measure] in ("tinyint", "smallint", "int", "bigint")
+    # The complement turns the order of whole numbers round and never overflows.
+    falling = F.bitwise_not(F.col(measure)) if whole else -F.col(measure)
+    first = [F.col(measure).isNull().alias("_absent"), falling.alias("_order")]
     ties = [
         part
         for name in tie_break
         for part in (F.col(name).isNull().alias(f"_null_{name}"), F.col(name).alias(f"_by_{name}"))
     ]
     payload = [F.col(name).alias(f"_out_{name}") for name in df.columns if name not in keys]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*first, *ties, *payload)).alias("_best"))
+    best = df.groupBy(*keys).agg(
+        F.min_by(F.struct(*payload), F.struct(*first, *ties)).alias("_best")
+    )
     return best.select(
         *(
             F.col(name) if name in keys else F.col(f"_best._out_{name}").alias(name)

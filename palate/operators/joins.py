@@ -19,10 +19,15 @@ _CELL, _CELLS, _HASH = "_cell", "_cells", "_hash"
 
 @dataclass(frozen=True)
 class Spread:
-    """Which keys are hot: those above ``share`` of the rows and above ``min_rows``."""
+    """Which keys are hot: those above ``share`` of the rows and above ``min_rows``, or
+    above ``max_rows`` in any case. A cell holds about as many rows as make a key hot."""
 
     share: float = 1 / 4096
     min_rows: int = 100_000
+    max_rows: int = 20_000_000
+
+    def limit(self, rows: int) -> float:
+        return min(max(self.share * rows, self.min_rows), self.max_rows)
 
 
 SPREAD = Spread()
@@ -86,7 +91,7 @@ def find_hot_keys(df: DataFrame, on: Sequence[str], spread: Spread = SPREAD) ->
     )
     if found is None:
         return HotKeys(tuple(on), {})
-    limit = max(spread.share * found["rows"], spread.min_rows)
+    limit = spread.limit(found["rows"])
     frequent = {key["item"]: key["count"] for key in found["keys"] if key["count"] > limit}
     return HotKeys(tuple(on), {item: ceil(count / limit) for item, count in frequent.items()})
 
@@ -103,11 +108,14 @@ def spread_join(
 
     A row of a hot key goes to the cell picked by the hash of its other columns, and
     the rows of ``small`` with that key are copied to each of its cells. So each row
-    of ``big`` meets every partner exactly once, also when a lost task runs again. All
-    cells together number at most ``2 / share``, which bounds the copies. Rows of
+    of ``big`` meets every partner exactly once, also when a lost task runs again. Rows of
     ``big`` should be distinct: equal rows share a cell. Without hot keys this is the
     plain join.
 
+    Adaptive execution splits skewed joins by itself, at no extra pass, and the queries
+    rely on it. It can not where the join's output must keep its partitioning for a later
+    step, or where a hot key's rows come out of one task; that is what this is for.
+
     ``hot`` may come from the raw rows behind ``big``; by default ``big`` is examined.
     ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
     """
@@ -140,19 +148,15 @@ class Lookup:
 
 
 def lookup_join(
-    big: DataFrame,
-    small: DataFrame | Lookup,
-    on: Sequence[str],
-    how: str = "inner",
-    spread: Spread = SPREAD,
+    big: DataFrame, small: DataFrame | Lookup, on: Sequence[str], how: str = "inner"
 ) -> DataFrame:
     """Join to a side that is expected, but not known, to be small.
 
     ``small`` is staged and measured, unless it is a ``Lookup`` already. Up to
-    ``BROADCAST_BYTES`` it is broadcast and ``big`` is not shuffled at all; beyond,
-    ``spread_join`` takes over.
+    ``BROADCAST_BYTES`` it is broadcast and ``big`` is not shuffled at all; beyond, this is
+    the plain join.
     """
     small = small if isinstance(small, Lookup) else Lookup.of(small)
     if small.fits:
         return big.join(F.broadcast(small.df), list(on), how)
-    return spread_join(big, small.df, on, how, spread=spread)
+    return big.join(small.df, list(on), how)

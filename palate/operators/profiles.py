@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palate.functions.numeric import cosine
-from palate.operators.joins import Lookup, find_hot_keys, lookup_join, spread_join
+from palate.operators.joins import BROADCAST_BYTES, Lookup, lookup_join
 
 #: Dimensions that travel side by side in one row of a blocked vector.
 BLOCK_WIDTH = 8
@@ -36,16 +36,8 @@ def _likes_with_vectors(ratings: DataFrame, vectors: DataFrame, min_rating: floa
 
     A (user, movie) may come in several rows whose ``likes`` add up.
     """
-    likes = liked_items(ratings, min_rating)
-    vectors, once = Lookup.of(vectors), F.lit(1).cast("bigint").alias("likes")
-    if vectors.fits:
-        return lookup_join(likes.select("*", once), vectors, ["movie_id"])
-    hot = find_hot_keys(likes, ["movie_id"])
-    if hot.cells:
-        likes = likes.groupBy("user_id", "movie_id").agg(F.count(F.lit(1)).alias("likes"))
-    else:
-        likes = likes.select("*", once)
-    return spread_join(likes, vectors.df, ["movie_id"], hot=hot)
+    likes = liked_items(ratings, min_rating).withColumn("likes", F.lit(1).cast("bigint"))
+    return likes.join(vectors, "movie_id")
 
 
 def user_profiles(ratings: DataFrame, scores: DataFrame, min_rating: float = 4.0) -> DataFrame:
@@ -155,7 +147,11 @@ def _blocked_sums(ratings: DataFrame, scores: DataFrame, target: Lookup, min_rat
 
 
 def cosine_components(
-    ratings: DataFrame, scores: DataFrame, target_movie_id: str, min_rating: float = 4.0
+    ratings: DataFrame,
+    scores: DataFrame,
+    target_movie_id: str,
+    min_rating: float = 4.0,
+    max_target_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Per user the three sums behind the cosine between profile and target.
 
@@ -165,7 +161,7 @@ def cosine_components(
 
     Output: user_id, dot_product, user_norm_sqr, target_norm_sqr.
     """
-    target = Lookup.of(_folded_target(scores, target_movie_id))
+    target = Lookup.of(_folded_target(scores, target_movie_id), max_target_bytes)
     sums = _blocked_sums if target.fits else _long_sums
     return sums(ratings, scores, target, min_rating)
 

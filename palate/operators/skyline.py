@@ -14,7 +14,7 @@ The textbook form compares all pairs. Here:
    often so few points remain that they can be compared directly.
 4. Otherwise they go through a sort-based sweep, exact and without pairs: for two
    dimensions a running maximum; for three, one such sweep per bit of the first
-   dimension's rank. The work is ``n log n``, in range buckets of bounded size.
+   dimension's rank. The work is ``n log n``, in range buckets.
 """
 
 from __future__ import annotations
@@ -29,15 +29,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palate.operators.joins import SPREAD, Lookup, Spread, lookup_join, spread_join
+from palate.operators.ranking import numbered
 from palate.operators.staging import stage, stage_measured
 
+#: Types whose values can be cut into ranges as they are.
+NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 #: Up to this many distinct points are compared pair by pair.
 PAIRWISE_POINTS = 10_000
 #: Points used for the first pruning pass.
 PIVOTS = 128
-#: Aimed-for rows per range bucket of a sweep, and the most buckets it may use.
+#: Aimed-for rows per range bucket of a sweep. The cuts between buckets reach the driver and the
+#: plan, so beyond ``MAX_BUCKETS`` buckets grow instead; their sorts spill.
 BUCKET_ROWS = 250_000
-MAX_BUCKETS = 2048
+MAX_BUCKETS = 16384
 
 
 def dominates(better: str, worse: str, dims: Sequence[str]) -> Column:
@@ -210,13 +214,23 @@ def _split_by_skyline(
         raise ValueError("a skyline takes two or three different dimensions")
     staged = stage_measured(df, "skyline-rows")
     comparable = staged.df.filter(_comparable(staged.df, dims))
-    if staged.rows <= pairwise_points:
+    other = [name for name in dims if dict(df.dtypes)[name] not in NUMERIC]
+    if staged.rows > pairwise_points and other:
+        # Places in the order stand for values that have no number, such as dates and texts.
+        ranked, places = comparable, [f"_place_{name}" for name in other]
+        for name, place in zip(other, places, strict=True):
+            values = comparable.select(name).distinct()
+            ranked = ranked.join(numbered(values, [F.col(name)], place), name)
+        stand_in = [f"_place_{name}" if name in other else name for name in dims]
+        tuning = {"pairwise_points": pairwise_points, "bucket_rows": bucket_rows, "spread": spread}
+        found = _split_by_skyline(ranked, stand_in, kept, **tuning)
+    elif staged.rows <= pairwise_points:
         points = comparable.select(*dims)
         found = _without_dominated(comparable, points, dims, "left_anti" if kept else "left_semi")
     else:
         points = _skyline_points(comparable, dims, pairwise_points, bucket_rows, spread)
         how = "left_semi" if kept else "left_anti"
-        found = lookup_join(comparable, points, dims, how, spread)
+        found = lookup_join(comparable, points, dims, how)
     found = found.select(*df.columns)
     if kept:
         return found.unionByName(staged.df.filter(~_comparable(staged.df, dims)))

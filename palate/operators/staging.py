@@ -7,8 +7,11 @@ import uuid
 from dataclasses import dataclass
 from functools import cache
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+_written: list[str] = []
 
 
 @cache
@@ -19,11 +22,14 @@ def _local_root() -> str:
 def staging_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    A session that runs on this machine only and names no folder gets a temporary
-    one; on a cluster a machine-local folder would be invisible to other nodes, so
-    there the setting is required.
+    The context's checkpoint folder will do too. A session that runs on this machine only
+    and names neither gets a temporary one; on a cluster a machine-local folder would be
+    invisible to other nodes, so there the setting is required.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        named = spark.sparkContext._jsc.sc().getCheckpointDir()
+        root = named.get() if named.isDefined() else None
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
@@ -33,7 +39,32 @@ def staging_root(spark: SparkSession) -> str:
 
 def staging_path(spark: SparkSession, label: str) -> str:
     """A fresh path under the shared folder."""
-    return f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    path = f"{staging_root(spark)}/{label}-{uuid.uuid4().hex}"
+    _written.append(path)
+    return path
+
+
+def clear_staged(spark: SparkSession) -> None:
+    """Delete all tables that this process has staged. Frames that read them are void then, so
+    call it when their results are written."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    while _written:
+        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
+        path.getFileSystem(conf).delete(path, True)
+
+
+def _width(df: DataFrame) -> Column:
+    """Bytes that a row takes in a hashed table, roughly from above: its header and map entry, eight a
+    value, and the padded length of what does not fit in eight."""
+    total = F.lit(64 + 8 * len(df.columns))
+    for field in df.schema.fields:
+        value = F.col(f"`{field.name}`")
+        if not isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            if not isinstance(field.dataType, (T.ArrayType, T.MapType, T.StructType)):
+                continue
+            value = value.cast("string")  # no shorter than its eight bytes a number, but for small ones
+        total = total + F.coalesce(8 * F.ceil(F.octet_length(value) / 8), F.lit(0))
+    return total
 
 
 @dataclass(frozen=True)
@@ -48,21 +79,17 @@ class Staged:
 def stage_measured(df: DataFrame, label: str = "stage") -> Staged:
     """Write ``df`` as a Parquet table in the shared folder and read it back.
 
-    The table cuts the lineage and is read by any number of later jobs. Rows and bytes
-    (of text, and eight for any other value) are counted in the same pass; work that
-    was repeated after a failure can only raise the counts.
+    The table cuts the lineage and is read by any number of later jobs. Rows and their
+    size in a hashed table are counted in the same pass; work that was repeated after a
+    failure can only raise the counts.
     """
     spark = df.sparkSession
     path = staging_path(spark, label)
     size = Observation()
-    text = [name for name, kind in df.dtypes if kind == "string"]
-    width = F.lit(8 * (len(df.columns) - len(text)))
-    for name in text:
-        width = width + F.coalesce(F.octet_length(name), F.lit(0))
     df.observe(
         size,
         F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(width), F.lit(0)).alias("bytes"),
+        F.coalesce(F.sum(_width(df)), F.lit(0)).alias("bytes"),
     ).write.parquet(path)
     return Staged(spark.read.schema(df.schema).parquet(path), size.get["rows"], size.get["bytes"])
 

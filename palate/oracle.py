@@ -7,7 +7,7 @@ none of the library's rewrites (folded repeats, spread joins, two-phase skyline)
 from __future__ import annotations
 
 from palate import parameters as P
-from palate.functions.numeric import TIE_SHIFT
+from palate.functions.numeric import EXACT, TIE_SHIFT
 
 CANONICAL = """
 movies AS (
@@ -62,7 +62,9 @@ tag_genre_rating AS (
 def fixed(value: str, scale: int) -> str:
     """Twin of ``functions.fixed``."""
     unit, half = f"1e{scale}", f"CAST({0.5 + TIE_SHIFT} AS DOUBLE)"
-    return f"(floor(CAST({value} AS DOUBLE) * {unit} + {half}) / {unit})"
+    value = f"CAST({value} AS DOUBLE)"
+    cut = f"floor({value} * {unit} + {half}) / {unit}"
+    return f"(CASE WHEN abs({value} * {unit}) < {EXACT:.0f} THEN {cut} ELSE {value} END)"
 
 
 def _r(value: str) -> str:
@@ -77,7 +79,7 @@ GENRE_TAG_POINTS = f"""
 popular AS (
   SELECT genre, tag, {_c('avg(avg_rating)')} AS avg_rating
   FROM tag_genre_rating GROUP BY genre, tag
-  HAVING count(DISTINCT avg_rating) > {P.MIN_DISTINCT}),
+  HAVING count(DISTINCT {_c('avg_rating')}) > {P.MIN_DISTINCT}),
 tag_users AS (
   SELECT genre, tag, count(DISTINCT user_id) AS user_count
   FROM tag_genre GROUP BY genre, tag),
@@ -115,6 +117,30 @@ def _with(body: str, *parts: str) -> str:
     return "WITH " + ",".join([CANONICAL, *parts]) + "\n" + body.strip()
 
 
+PAIRS = """
+pairs AS (
+  SELECT user_id, movie_id, avg(rating) AS avg_rating, count(rating) AS n_ratings, avg_relevance
+  FROM ratings JOIN item_relevance USING (movie_id)
+  GROUP BY user_id, movie_id, avg_relevance)"""
+
+
+def _skyline_sql(*dims: str) -> str:
+    """Pairs that no pair beats, found on their distinct points."""
+    names = ", ".join(dims)
+    weak = " AND ".join(f"b.{d} >= a.{d}" for d in dims)
+    strict = " OR ".join(f"b.{d} > a.{d}" for d in dims)
+    same = " AND ".join(f"beaten.{d} = pairs.{d}" for d in dims)
+    shown = [f"{_r(d)} AS {d}" if d == "avg_rating" else d for d in dims if d != "avg_relevance"]
+    shown.append(f"{_r(f'avg_relevance / {P.RELEVANCE_SCALE}')} AS avg_relevance")
+    return f"""
+        SELECT user_id, movie_id, {', '.join(shown)} FROM pairs
+        WHERE NOT EXISTS (
+          SELECT 1 FROM (SELECT a.* FROM (SELECT DISTINCT {names} FROM pairs) a
+                         WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT {names} FROM pairs) b
+                                       WHERE {weak} AND ({strict}))) beaten
+          WHERE {same})"""
+
+
 _TAG_LIST = ", ".join(f"'{tag}'" for tag in P.ANOMALY_TAGS)
 _SCALED = f"{P.RELEVANCE_SCALE}"
 _SQUARE = f"{P.RELEVANCE_SCALE * P.RELEVANCE_SCALE}"
@@ -214,6 +240,27 @@ ORACLE: dict[str, str] = {
     "movie_genre_pairs": _with("SELECT movie_id, genre FROM movie_genre", GENRES),
     "liked_movies": _with("SELECT user_id, movie_id FROM liked", LIKED),
     "target_tag_profile": _with("SELECT tag_id, relevance FROM target", LIKED, COSINE),
+    "scan_csv_genome_tags": _with("SELECT tag_id, tag FROM genome_tags"),
+    "scan_csv_reordered": _with("SELECT movie_id, title, genres FROM movies"),
+    # the forms for large inputs
+    "skyline_pairs_2d": _with(_skyline_sql("avg_rating", "avg_relevance"), AVERAGES, PAIRS),
+    "skyline_pairs_3d": _with(
+        _skyline_sql("avg_rating", "n_ratings", "avg_relevance"), AVERAGES, PAIRS
+    ),
+    "cosine_components_long": _with(
+        f"""
+        SELECT user_id, {_r(f'dot_product / {_SQUARE}')} AS dot_product,
+               {_r(f'user_norm_sqr / {_SQUARE}')} AS user_norm_sqr,
+               {_r(f'target_norm_sqr / {_SQUARE}')} AS target_norm_sqr
+        FROM components""",
+        LIKED, COSINE,
+    ),
+    "tag_uses_cut_join": _with(
+        """
+        SELECT movie_id, tag, n_uses, n_all
+        FROM (SELECT movie_id, tag, count(*) AS n_uses FROM tags GROUP BY movie_id, tag)
+        JOIN (SELECT tag, count(*) AS n_all FROM tags GROUP BY tag) USING (tag)"""
+    ),
     # joins
     "movie_tag_genre": _with(
         """

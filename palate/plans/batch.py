@@ -31,7 +31,7 @@ def run_all(
         write_csv(df, written[name], mode, single_file=single_file)
 
     item_ratings = stage(blocks.avg_rating_per_movie(t.ratings), "item-ratings")
-    items = blocks.genre_items(t.movies, item_ratings)
+    items = stage(blocks.genre_items(t.movies, item_ratings), "genre-items")
     stats = stage(workloads.genre_tag_stats(t.tags, items), "genre-tag-stats")
     save("iceberg_tag_genre", workloads.iceberg_tag_genre(t.tags, t.movies, t.ratings, stats=stats))
     save(

@@ -1,8 +1,9 @@
 """Building blocks shared by the workloads: DataFrames in, one lazy DataFrame out.
 
-Where a join can meet many equal rows, they are folded into one row with a count
-column first. The counts keep the result whole, bag semantics included, while a pair
-repeated a billion times costs one row.
+Building a frame runs no job. Joins are plain: adaptive execution broadcasts a side that
+turns out small and splits the partitions of a hot key. Where both sides of a join can
+hold many equal rows, they are folded into one row with a count column first, so that a
+pair repeated a billion times costs one row.
 """
 
 from __future__ import annotations
@@ -13,7 +14,6 @@ from pyspark.sql import functions as F
 from palate.functions.genres import explode_genres
 from palate.functions.numeric import fixed, weighted_mean
 from palate.operators.aggregates import argmax_per_group
-from palate.operators.joins import Lookup, find_hot_keys, lookup_join, spread_join
 
 
 def movie_tag_pairs(tags: DataFrame) -> DataFrame:
@@ -50,23 +50,8 @@ def movie_tag_uses(tags: DataFrame) -> DataFrame:
     return tags.groupBy("movie_id", "tag").agg(F.count(F.lit(1)).alias("n_uses"))
 
 
-def spread_applications(rows: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
-    """Join ``rows`` to ``other``, adding how many of ``rows`` each result stands for.
-
-    Only if some keys of ``rows`` are hot are equal rows folded into one with a count,
-    ``n_uses``, and the hot keys spread; otherwise every row counts 1 and is shuffled
-    once.
-    """
-    hot = find_hot_keys(rows, on)
-    if hot.cells:
-        counted = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n_uses"))
-    else:
-        counted = rows.withColumn("n_uses", F.lit(1).cast("bigint"))
-    return spread_join(counted, other, on, hot=hot)
-
-
-def genre_items(movies: DataFrame, item_ratings: DataFrame | None = None) -> Lookup:
-    """(movie_id, genre), staged and measured to be met by tag applications.
+def genre_items(movies: DataFrame, item_ratings: DataFrame | None = None) -> DataFrame:
+    """(movie_id, genre), to be met by tag applications.
 
     With ``item_ratings`` (movie_id, avg_rating) rows also carry the movie's average,
     NULL for an unrated movie.
@@ -74,24 +59,21 @@ def genre_items(movies: DataFrame, item_ratings: DataFrame | None = None) -> Loo
     items = movie_genre_pairs(movies)
     if item_ratings is not None:
         items = items.join(item_ratings, "movie_id", "left")
-    return Lookup.of(items)
+    return items
 
 
-def tag_genre_uses(tags: DataFrame, items: Lookup) -> DataFrame:
+def tag_genre_uses(tags: DataFrame, items: DataFrame) -> DataFrame:
     """Tags and genres meeting on a movie: movie_id, tag, n_uses and the columns of ``items``.
 
-    A (movie_id, tag, genre) may come in several rows whose ``n_uses`` add up. While the
-    movie side can be broadcast, tag applications stream past it without a shuffle.
+    A (movie_id, tag, genre) may come in several rows whose ``n_uses`` add up.
     """
-    uses = movie_tag_pairs(tags)
-    if items.fits:
-        return lookup_join(uses.withColumn("n_uses", F.lit(1).cast("bigint")), items, ["movie_id"])
-    return spread_applications(uses, items.df, ["movie_id"])
+    uses = movie_tag_pairs(tags).withColumn("n_uses", F.lit(1).cast("bigint"))
+    return uses.join(items, "movie_id")
 
 
 def movie_tag_genre(tags: DataFrame, movies: DataFrame) -> DataFrame:
     """Tags and genres meeting on a movie, one row each: movie_id, tag, genre, n_uses."""
-    joined = lookup_join(movie_tag_uses(tags), genre_items(movies), ["movie_id"])
+    joined = movie_tag_uses(tags).join(genre_items(movies), "movie_id")
     return joined.select("movie_id", "tag", "genre", "n_uses")
 
 
@@ -106,7 +88,7 @@ def genre_tag_stats(uses: DataFrame, compare_scale: int | None = None) -> DataFr
     return uses.groupBy("genre", "tag").agg(
         F.sum("n_uses").alias("n_uses"),
         F.coalesce(F.sum(rated), F.lit(0)).alias("n_rated"),
-        F.count_distinct("avg_rating").alias("n_distinct"),
+        F.count_distinct(fixed(F.col("avg_rating"), compare_scale)).alias("n_distinct"),
         fixed(weighted_mean("avg_rating", "n_uses"), compare_scale).alias("avg_rating"),
     )
 
@@ -121,22 +103,31 @@ def most_used_tag_per_genre(counts: DataFrame) -> DataFrame:
     return argmax_per_group(counts, ["genre"], "n_uses", ["tag"])
 
 
-def genre_tag_users(tags: DataFrame, items: Lookup) -> DataFrame:
+def genre_tag_users(tags: DataFrame, items: DataFrame) -> DataFrame:
     """Distinct (genre, tag, user_id)."""
-    applied = tags.select("user_id", "movie_id", "tag")
-    if items.fits:
-        joined = lookup_join(applied, items, ["movie_id"])
-    else:
-        joined = spread_applications(applied, items.df, ["movie_id"])
+    joined = tags.select("user_id", "movie_id", "tag").join(items, "movie_id")
     return joined.select("genre", "tag", "user_id").distinct()
 
 
-def users_per_genre_tag(tags: DataFrame, items: Lookup) -> DataFrame:
+def users_per_genre_tag(tags: DataFrame, items: DataFrame) -> DataFrame:
     """(genre, tag, user_count): how many different users applied the tag."""
     users = genre_tag_users(tags, items)
     return users.groupBy("genre", "tag").agg(F.count("user_id").alias("user_count"))
 
 
+def user_movie_points(ratings: DataFrame, scores: DataFrame) -> DataFrame:
+    """user_id, movie_id and what a skyline of such pairs compares: avg_rating, n_ratings, avg_relevance."""
+    rated = ratings.groupBy("user_id", "movie_id").agg(
+        F.avg("rating").alias("avg_rating"), F.count("rating").alias("n_ratings")
+    )
+    return rated.join(avg_relevance_per_movie(scores), "movie_id")
+
+
+def tag_totals(tags: DataFrame) -> DataFrame:
+    """(tag, n_all): all applications of each tag."""
+    return tags.groupBy("tag").agg(F.count(F.lit(1)).alias("n_all"))
+
+
 def tag_rating_pairs(tags: DataFrame, ratings: DataFrame) -> DataFrame:
     """Tags meeting ratings of the same user and movie.
 
@@ -146,6 +137,6 @@ def tag_rating_pairs(tags: DataFrame, ratings: DataFrame) -> DataFrame:
     pair = ["user_id", "movie_id"]
     applied = tags.groupBy(*pair, "tag").agg(F.count(F.lit(1)).alias("_n_tags"))
     rated = ratings.groupBy(*pair, "rating").agg(F.count(F.lit(1)).alias("_n_ratings"))
-    return spread_join(applied, rated, pair, hot=find_hot_keys(tags, pair)).select(
+    return applied.join(rated, pair).select(
         *pair, "tag", "rating", (F.col("_n_tags") * F.col("_n_ratings")).alias("n_pairs")
     )

@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from palate.functions.numeric import fixed, pearson
 from palate.operators.aggregates import iceberg
-from palate.operators.joins import Lookup, lookup_join
 from palate.operators.profiles import cosine_components, cosine_to_target
 from palate.operators.ranking import topk_ranked
 from palate.operators.skyline import dominated, skyline
@@ -24,13 +23,13 @@ from palate.plans import blocks
 ANOMALY_TAGS = ("action", "classic", "thriller")
 
 
-def rated_items(movies: DataFrame, ratings: DataFrame) -> Lookup:
+def rated_items(movies: DataFrame, ratings: DataFrame) -> DataFrame:
     """The movie side of the three tag and genre queries: movie_id, genre, avg_rating."""
     return blocks.genre_items(movies, blocks.avg_rating_per_movie(ratings))
 
 
 def genre_tag_stats(
-    tags: DataFrame, items: Lookup, *, compare_scale: int | None = None
+    tags: DataFrame, items: DataFrame, *, compare_scale: int | None = None
 ) -> DataFrame:
     """The frame behind the three tag and genre queries; see ``blocks.genre_tag_stats``."""
     return blocks.genre_tag_stats(blocks.tag_genre_uses(tags, items), compare_scale)
@@ -113,15 +112,9 @@ def tag_sentiment(tags: DataFrame, ratings: DataFrame, dedupe: bool = False) ->
     rated = ratings.groupBy(*pair).agg(
         F.sum("rating").alias("_sum"), F.count("rating").alias("_n_ratings")
     )
-    return (
-        blocks.spread_applications(applied, rated, pair)
-        .groupBy("tag")
-        .agg(
-            F.try_divide(
-                F.sum(F.col("_sum") * F.col("n_uses")),
-                F.sum(F.col("_n_ratings") * F.col("n_uses")),
-            ).alias("avg_rating")
-        )
+    joined = applied.join(rated, pair)
+    return joined.groupBy("tag").agg(
+        F.try_divide(F.sum("_sum"), F.sum("_n_ratings")).alias("avg_rating")
     )
 
 
@@ -132,7 +125,7 @@ def genre_tag_points(
     min_distinct: int = 200,
     *,
     compare_scale: int | None = None,
-    items: Lookup | None = None,
+    items: DataFrame | None = None,
     stats: DataFrame | None = None,
 ) -> DataFrame:
     """The (genre, tag) pairs a skyline chooses from: genre, tag, avg_rating, user_count.
@@ -224,23 +217,19 @@ def overhyped_movies(
     """Movies that suit the chosen tags but are rated badly.
 
     Tag labels match case-sensitively; the average runs over those of the tags that
-    have a score. The few movies that suit the tags are known first: while they can be
-    broadcast, ratings of other movies are dropped where they are read. Output:
-    movie_id, avg_relevance_to_tags, avg_rating_per_movie.
+    have a score. Output: movie_id, avg_relevance_to_tags, avg_rating_per_movie.
     """
     chosen = genome_tags.filter(F.col("tag").isin(*tags)).select("tag_id")
-    relevant = Lookup.of(
-        lookup_join(genome_scores, chosen, ["tag_id"])
+    relevant = (
+        genome_scores.join(chosen, "tag_id")
         .groupBy("movie_id")
         .agg(F.avg("relevance").alias("avg_relevance_to_tags"))
         .filter(F.col("avg_relevance_to_tags") >= min_relevance)
     )
     if item_ratings is None:
-        if relevant.fits:
-            ratings = lookup_join(ratings, relevant, ["movie_id"], "left_semi")
         item_ratings = blocks.avg_rating_per_movie(ratings)
     badly_rated = item_ratings.filter(F.col("avg_rating") < max_rating)
-    return relevant.df.join(badly_rated, "movie_id").select(
+    return relevant.join(badly_rated, "movie_id").select(
         "movie_id", "avg_relevance_to_tags", F.col("avg_rating").alias("avg_rating_per_movie")
     )
 

@@ -14,7 +14,8 @@ from pyspark.sql import functions as F
 
 from palate import parameters as P
 from palate.functions.numeric import fixed
-from palate.operators import profiles
+from palate.operators import profiles, skyline, spread_join
+from palate.operators.joins import Spread
 from palate.operators.staging import staging_path
 from palate.oracle import ORACLE
 from palate.plans import blocks, workloads
@@ -53,6 +54,18 @@ def _csv_roundtrip(spark: SparkSession, table: str, df: DataFrame) -> DataFrame:
     return read_csv(spark, table, path)
 
 
+def _csv_reordered(spark: SparkSession, t: Tables) -> DataFrame:
+    path = staging_path(spark, "csv-reordered")
+    write_csv(t.movies.select("genres", F.lit("x").alias("year"), "movie_id", "title"), path)
+    return read_csv(spark, "movies", path)
+
+
+def _pairs_skyline(t: Tables, dims: list[str]) -> DataFrame:
+    points = blocks.user_movie_points(t.ratings, t.genome_scores)
+    points = points.select("user_id", "movie_id", *dims)
+    return skyline(points, dims, pairwise_points=0, bucket_rows=1000)
+
+
 def _cosines(t: Tables) -> DataFrame:
     return workloads.user_target_cosine(t.ratings, t.genome_scores, P.TARGET, P.MIN_LIKED)
 
@@ -88,6 +101,8 @@ _BUILDERS: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     "scan_csv_movies": lambda s, t: _csv_roundtrip(s, "movies", t.movies),
     "scan_csv_ratings": lambda s, t: _csv_roundtrip(s, "ratings", t.ratings),
     "scan_csv_tags": lambda s, t: _csv_roundtrip(s, "tags", t.tags),
+    "scan_csv_genome_tags": lambda s, t: _csv_roundtrip(s, "genome_tags", t.genome_tags),
+    "scan_csv_reordered": _csv_reordered,
     "sink_csv_roundtrip": lambda s, t: _csv_roundtrip(s, "genome_scores", t.genome_scores),
     # projections and filters
     "movie_tag_pairs": lambda _, t: blocks.movie_tag_pairs(t.tags),
@@ -120,6 +135,18 @@ _BUILDERS: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     "cosine_components": lambda _, t: profiles.cosine_components(
         t.ratings, t.genome_scores, P.TARGET, P.MIN_LIKED
     ),
+    # the forms for large inputs, on any input
+    "skyline_pairs_2d": lambda _, t: _pairs_skyline(t, ["avg_rating", "avg_relevance"]),
+    "skyline_pairs_3d": lambda _, t: _pairs_skyline(
+        t, ["avg_rating", "n_ratings", "avg_relevance"]
+    ),
+    "cosine_components_long": lambda _, t: profiles.cosine_components(
+        t.ratings, t.genome_scores, P.TARGET, P.MIN_LIKED, max_target_bytes=0
+    ),
+    "tag_uses_cut_join": lambda _, t: spread_join(
+        blocks.movie_tag_uses(t.tags), blocks.tag_totals(t.tags), ["tag"],
+        spread=Spread(share=1 / 64, min_rows=0),
+    ).select("movie_id", "tag", "n_uses", "n_all"),
     # set-like
     "genre_tag_users": lambda _, t: blocks.genre_tag_users(t.tags, blocks.genre_items(t.movies)),
 }

@@ -3,11 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from palate.operators.staging import stage_measured
-
-#: Most rows that may go into a single file.
-SINGLE_FILE_ROWS = 1_000_000
+from palate.operators.staging import stage
 
 
 def write_csv(
@@ -15,17 +13,19 @@ def write_csv(
 ) -> None:
     """Write a CSV folder with a header line.
 
-    ``mode`` is Spark's (``overwrite``, ``errorifexists``, ...). Quotes are doubled and
-    white space is kept, so ``read_csv`` gives back what was written, save that an empty
-    string comes back as NULL. ``single_file`` is for reports: the rows are computed in
-    parallel and counted before one task writes them, and more than
-    ``SINGLE_FILE_ROWS`` is an error rather than one long task.
+    ``mode`` is Spark's (``overwrite``, ``errorifexists``, ...). Quotes are doubled, white
+    space is kept, NULL is an empty field and an empty string two quotes, so ``read_csv``
+    gives back what was written. A text with a line break fails the job: readers that split
+    files between tasks could not tell it from the end of a row. ``single_file`` is for
+    reports: the rows are computed in parallel, and one task, however many they are, writes
+    them.
     """
+    for name, kind in df.dtypes:
+        if kind == "string":
+            text, error = F.col(f"`{name}`"), F.raise_error(F.lit(f"line break in column {name}"))
+            df = df.withColumn(name, F.when(text.rlike(r"[\r\n]"), error).otherwise(text))
     if single_file:
-        staged = stage_measured(df, "report")
-        if staged.rows > SINGLE_FILE_ROWS:
-            raise ValueError(f"{staged.rows} rows are too many for a single file")
-        df = staged.df.coalesce(1)
+        df = stage(df, "report").coalesce(1)
     (
         df.write.mode(mode)
         .option("header", True)
@@ -33,5 +33,7 @@ def write_csv(
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("nullValue", None)
+        .option("emptyValue", '""')
         .csv(path)
     )

@@ -1,21 +1,33 @@
 """The five input tables derived from the supplied star-schema Parquet files.
 
 Every row of ``part``, ``lineitem``, ``orders``, ``embeddings`` and ``nation`` is
-used: nothing is filtered, sampled or cut. The SQL twin is ``oracle.CANONICAL``.
+used: nothing is filtered, sampled or cut. The SQL twin is ``oracle.CANONICAL``. A table
+is built when it is first asked for, and no job runs for it: the scans name the columns
+they need.
 """
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palate.functions.genres import NO_GENRES
-from palate.sources.schemas import Tables
 
+# The columns that are read, with the types that the files have.
+_COLUMNS = {
+    "part": "p_partkey bigint, p_name string, p_size int",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_quantity double, l_returnflag string, "
+    "l_linestatus string",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderpriority string",
+    "embeddings": "vec_id bigint, embedding array<float>",
+    "nation": "n_nationkey int, n_name string",
+}
 
 
 def _scan(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.schema(_COLUMNS[name]).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -30,11 +42,10 @@ def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, orders = _scan(spark, sf_dir, "lineitem"), _scan(spark, sf_dir, "orders")
-    cores = spark.sparkContext.defaultParallelism
-    if lines.rdd.getNumPartitions() < cores:
-        # A table of few splits would leave most cores without work.
-        lines = lines.repartition(cores, "l_orderkey")
+    # Dealt by the join's key, as the join would deal a large table itself; a table of
+    # few splits is so spread over the cores too.
+    lines = _scan(spark, sf_dir, "lineitem").repartition("l_orderkey")
+    orders = _scan(spark, sf_dir, "orders")
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
 
@@ -76,11 +87,32 @@ def genome_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def canonical(spark: SparkSession, sf_dir: str) -> Tables:
-    return Tables(
-        movies=movies(spark, sf_dir),
-        ratings=ratings(spark, sf_dir),
-        tags=tags(spark, sf_dir),
-        genome_scores=genome_scores(spark, sf_dir),
-        genome_tags=genome_tags(spark, sf_dir),
-    )
+class CanonicalTables:
+    """The five tables, under the names of ``sources.Tables``, each built on first use."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str) -> None:
+        self._at = spark, sf_dir
+
+    @cached_property
+    def movies(self) -> DataFrame:
+        return movies(*self._at)
+
+    @cached_property
+    def ratings(self) -> DataFrame:
+        return ratings(*self._at)
+
+    @cached_property
+    def tags(self) -> DataFrame:
+        return tags(*self._at)
+
+    @cached_property
+    def genome_scores(self) -> DataFrame:
+        return genome_scores(*self._at)
+
+    @cached_property
+    def genome_tags(self) -> DataFrame:
+        return genome_tags(*self._at)
+
+
+def canonical(spark: SparkSession, sf_dir: str) -> CanonicalTables:
+    return CanonicalTables(spark, sf_dir)

@@ -21,23 +21,51 @@ CSV_FILES = {
 # same, because the reader fills missing trailing columns with NULL.
 _TRAILING_TIMESTAMP = {"ratings", "tags"}
 
+# These two are read by the names in their header, the others by position.
+_BY_NAME = {"movies", "genome_tags"}
+
+# No text holds this character; so no text is taken for NULL but the empty field.
+_NO_TEXT = "\ufffe"
+
+
+def _plain(name: str) -> str:
+    return name.strip().lower().replace("_", "")
+
+
+def _schema_on_disk(spark: SparkSession, table: str, path: str, header: bool) -> T.StructType:
+    """The columns as they lie in the file; any but the table's own are unnamed texts."""
+    schema = SCHEMAS[table]
+    if header and table in _BY_NAME:
+        by_name = {_plain(field.name): field for field in schema.fields}
+        first = spark.read.option("header", False).option("quote", '"').option("escape", '"')
+        found = first.csv(path).head()  # the reader takes each file's first line for its header
+        names = [_plain(value or "") for value in (found or [])]
+        if missing := [name for name in by_name if names.count(name) != 1]:
+            raise ValueError(f"{path}: the header has {names}, not one each of {missing}")
+        return T.StructType(
+            [by_name.get(name, T.StructField(f"_unused{i}", T.StringType())) for i, name in enumerate(names)]
+        )
+    if table in _TRAILING_TIMESTAMP:
+        return T.StructType([*schema.fields, T.StructField("timestamp", T.StringType(), True)])
+    return schema
+
 
 def read_csv(spark: SparkSession, table: str, path: str, *, header: bool = True) -> DataFrame:
-    """Scan one CSV table with its fixed schema; nothing is inferred.
+    """Scan one CSV table with its fixed schema; no type is inferred.
 
-    Quotes inside quoted fields are doubled (``""``). An empty field, and a value that
-    does not parse as its column type, is NULL. Files are split between tasks, so a
-    quoted field may not contain a line break.
+    Movies and genome tags are read by the names in the header, in any order and among
+    other columns, ignoring case and underscores; a missing name is an error. All files of a
+    folder must have one header. Quotes inside quoted fields are doubled (``""``). An empty
+    field, and a value that does not parse as its column type, is NULL; two quotes are an
+    empty string. Files are split between tasks, so a quoted field may not contain a line break.
     """
     schema = SCHEMAS[table]
-    on_disk = schema
-    if table in _TRAILING_TIMESTAMP:
-        on_disk = T.StructType([*schema.fields, T.StructField("timestamp", T.StringType(), True)])
     return (
-        spark.read.schema(on_disk)
+        spark.read.schema(_schema_on_disk(spark, table, path, header))
         .option("header", header)
         .option("quote", '"')
         .option("escape", '"')
+        .option("nullValue", _NO_TEXT)
         .option("mode", "PERMISSIVE")
         .csv(path)
         .select(*schema.fieldNames())

@@ -36,3 +36,17 @@ def rows(df) -> list[tuple]:
 
 def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
+
+
+def executed_plans(spark, after: int = -1) -> list[str]:
+    """The final physical plans of all queries that ran, from the execution after that number."""
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    found = spark._jsparkSession.sharedState().statusStore().executionsList()
+    runs = [found.apply(i) for i in range(found.size())]
+    return [x.physicalPlanDescription() for x in sorted(runs, key=lambda x: x.executionId()) if x.executionId() > after]
+
+
+def last_execution(spark) -> int:
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    found = spark._jsparkSession.sharedState().statusStore().executionsList()
+    return max((found.apply(i).executionId() for i in range(found.size())), default=-1)

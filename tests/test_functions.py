@@ -37,6 +37,15 @@ def test_fixed(spark):
     ]
 
 
+def test_fixed_leaves_alone_what_has_no_digits_to_cut(spark):
+    values = [1e14, -1e14, 2e10, 1e300, float("inf"), float("-inf")]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for scale in (6, 9):
+        assert [r[0] for r in df.select(fixed(F.col("v"), scale)).collect()] == values
+    nan = spark.createDataFrame([(float("nan"),)], "v double").select(fixed(F.col("v"), 6))
+    assert nan.first()[0] != nan.first()[0]
+
+
 def test_weighted_mean_ignores_nulls(spark):
     df = spark.createDataFrame(
         [("a", 1.0, 3), ("a", 5.0, 1), ("a", None, 9), ("b", None, 2)], "k string, v double, n long"

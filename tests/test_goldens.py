@@ -9,7 +9,6 @@ import pytest
 from conftest import rows
 
 from palate.operators import argmax_per_group, iceberg, topk_ranked
-from palate.operators.joins import Lookup
 from palate.operators.profiles import cosine_components, cosine_to_target, user_profiles
 from palate.plans import blocks, workloads
 from palate.sources.schemas import GENOME_SCORES, GENOME_TAGS, MOVIES, RATINGS, TAGS
@@ -186,7 +185,7 @@ def test_cosine_with_repeated_likes_scores_and_target_entries(make):
     assert all(math.isclose(x, y) for x, y in zip(got[1:], want, strict=True))
 
 
-def test_blocked_and_long_vectors_agree(make, monkeypatch):
+def test_blocked_and_long_vectors_agree(make):
     """With gaps, repeats and NULL scores, for more tags than one block holds."""
     rng = random.Random(7)
     ratings = make(
@@ -198,13 +197,11 @@ def test_blocked_and_long_vectors_agree(make, monkeypatch):
           None if rng.random() < 0.2 else rng.randrange(100) / 64) for _ in range(600)],
     )
 
-    def sums():
-        return {r[0]: tuple(r[1:]) for r in cosine_components(ratings, scores, "m3").collect()}
+    def sums(**limit):
+        found = cosine_components(ratings, scores, "m3", **limit).collect()
+        return {r[0]: tuple(r[1:]) for r in found}
 
-    blocked = sums()
-    original = Lookup.of.__func__
-    monkeypatch.setattr(Lookup, "of", classmethod(lambda cls, df: original(cls, df, 0)))
-    long = sums()
+    blocked, long = sums(), sums(max_target_bytes=0)
     assert set(long) == set(blocked) and len(long) > 20
     for user in long:
         for x, y in zip(long[user], blocked[user], strict=True):
@@ -223,6 +220,25 @@ def test_overhyped_matches_labels_exactly_and_averages_the_present_tags(make):
     assert [(m, round(s, 9), r) for m, s, r in rows(found)] == [("m", 0.8, 2.0), ("p", 0.8, 2.4)]
 
 
+def test_argmax_takes_any_payload_and_the_least_number(spark):
+    df = spark.sql(
+        "select * from values ('a', -9223372036854775808L, 'x', map('k', 1)), "
+        "('a', null, 'y', map('k', 2)), ('b', 5L, 'y', map('k', 3)), ('b', 5L, 'x', map('k', 4)) "
+        "as t(k, n, t, m)"
+    )
+    found = argmax_per_group(df, ["k"], "n", ["t"]).orderBy("k").collect()
+    assert [(r.k, r.n, r.m["k"]) for r in found] == [("a", -(2**63), 1), ("b", 5, 4)]
+
+
+def test_topk_numbered_by_ranges(spark, monkeypatch):
+    df = spark.range(500).selectExpr("cast(id as string) as user_id", "nullif(pmod(hash(id), 40), 3) / 7D as c")
+    want = topk_ranked(df.repartition(5), "c", 300, ["user_id"]).collect()
+    monkeypatch.setattr("palate.operators.ranking.ONE_TASK_ROWS", 10)
+    found = topk_ranked(df.repartition(5), "c", 300, ["user_id"])
+    assert found.columns == ["user_id", "c", "rank"]
+    assert sorted(map(tuple, found.collect()), key=lambda r: r[2]) == [tuple(r) for r in want]
+
+
 def test_topk_ties_and_nulls(spark):
     df = spark.createDataFrame(
         [("b", 0.5), ("a", 0.5), ("c", 0.9), ("d", None)], "user_id string, cosine_similarity double"

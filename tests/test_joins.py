@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 import pytest
-from conftest import TESTDATA, plan, rows
+from conftest import TESTDATA, executed_plans, plan, rows
 from pyspark.sql import functions as F
 
-from palate.operators import joins
 from palate.operators.joins import (
     HotKeys,
     Lookup,
@@ -41,6 +40,8 @@ def test_hot_keys_are_found_and_bounded(sides):
     assert not find_hot_keys(big.filter("k <> 'hot'"), ["k"], spread=TEST).cells
     assert not find_hot_keys(big.filter("v < 0"), ["k"], spread=TEST).cells
     assert not find_hot_keys(big, ["k"]).cells, "few rows need no spreading"
+    capped = find_hot_keys(big, ["k"], spread=Spread(share=1 / 16, min_rows=0, max_rows=100))
+    assert max(capped.cells.values()) >= 20, "a cell is bounded in rows too"
 
 
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
@@ -81,8 +82,8 @@ def test_lookup_join_broadcasts_only_what_was_measured(sides, monkeypatch):
     assert Lookup.of(small).fits and not Lookup.of(small, max_bytes=10).fits
     fitting = lookup_join(big, small, ["k"])
     assert "BroadcastHashJoin" in plan(fitting) and rows(fitting) == want
-    too_big = lookup_join(big, Lookup.of(small, max_bytes=10), ["k"], spread=TEST)
-    assert "_cell" in plan(too_big) and rows(too_big) == want
+    too_big = lookup_join(big, Lookup.of(small, max_bytes=10), ["k"])
+    assert "broadcast(" not in plan(too_big) and rows(too_big) == want
 
 
 def test_join_columns_must_have_one_type(spark):
@@ -96,22 +97,42 @@ def test_unknown_join_type(sides):
         spread_join(*sides, ["k"], "full")
 
 
-def test_workloads_agree_when_nothing_may_be_broadcast(spark, monkeypatch):
-    """The paths for big lookups and hot keys give the results of the small ones."""
+def test_workloads_agree_when_nothing_may_be_broadcast(spark):
+    """Joins of two shuffled sides give the results of broadcast ones."""
     sf = str(TESTDATA / "sf0.001")
     names = [
         "iceberg_tag_genre", "dominant_tag_per_genre", "genre_tag_users", "user_target_cosine",
         "overhyped_movies", "tag_sentiment", "tag_rating_pairs",
     ]
     want = {name: rows(QUERIES[name](spark, sf)) for name in names}
-    original, find = joins.Lookup.of.__func__, joins.find_hot_keys
-    monkeypatch.setattr(joins.Lookup, "of", classmethod(lambda cls, df: original(cls, df, 0)))
-    plain = ["iceberg_tag_genre", "genre_tag_users", "user_target_cosine"]
-    assert {name: rows(QUERIES[name](spark, sf)) for name in plain} == {n: want[n] for n in plain}
-
-    everything_hot = Spread(share=1 / 4000, min_rows=0)
-    for module in ("palate.operators.joins", "palate.plans.blocks", "palate.operators.profiles"):
-        monkeypatch.setattr(
-            f"{module}.find_hot_keys", lambda df, on, spread=None: find(df, on, everything_hot)
-        )
-    assert {name: rows(QUERIES[name](spark, sf)) for name in names} == want
+    size = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert {name: rows(QUERIES[name](spark, sf)) for name in names} == want
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", size)
+
+
+def test_adaptive_execution_splits_a_hot_key(spark):
+    """The plain join of the queries: a third of the rows on one key is dealt to many tasks."""
+    big = spark.range(400_000).selectExpr("if(id % 3 = 0, 0, id) as k", "id as v", "uuid() as text")
+    small = spark.range(400_000).selectExpr("id as k", "id as w")
+    kept = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.shuffle.partitions": "16",
+    }
+    before = {name: spark.conf.get(name) for name in kept}
+    for name, value in kept.items():
+        spark.conf.set(name, value)
+    try:
+        joined = big.join(small, "k")
+        assert joined.agg(F.count("*")).first()[0] == 400_000
+        joined.write.format("noop").mode("overwrite").save()
+        done = executed_plans(spark)[-1]
+        assert "skew=true" in done
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)

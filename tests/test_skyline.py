@@ -78,6 +78,22 @@ def test_tiny_inputs(spark, data, tuning):
     assert rows(dominated(df, ["x", "y", "z"], **tuning)) == []
 
 
+@pytest.mark.parametrize("dims", [["d", "s"], ["d", "s", "n"], ["t", "b", "n"]])
+def test_other_orderable_types_on_both_paths(spark, dims):
+    df = spark.range(400).selectExpr(
+        "id",
+        "if(id % 50 = 7, null, date_add(date'2020-01-01', int(pmod(hash(id), 40)))) as d",
+        "concat('k', lpad(string(pmod(hash(id, 1), 60)), 2, '0')) as s",
+        "pmod(hash(id, 2), 30) as n",
+        "timestamp_seconds(pmod(hash(id, 3), 25)) as t",
+        "cast(pmod(hash(id, 4), 70) as decimal(20, 3)) as b",
+    )
+    got = rows(skyline(df, dims, **SWEEP))
+    assert got == rows(skyline(df, dims)) and len(got) < 300
+    assert skyline(df, dims, **SWEEP).columns == df.columns
+    assert rows(dominated(df, dims, **SWEEP)) == rows(dominated(df, dims))
+
+
 def test_idempotent_and_independent_of_buckets(spark):
     df = spark.createDataFrame(cloud("front", 400, 3, 5), ["id", "x", "y", "z"])
     once = skyline(df, ["x", "y", "z"])

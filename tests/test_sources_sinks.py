@@ -4,7 +4,7 @@ import pytest
 from conftest import rows
 
 from palate.__main__ import main
-from palate.operators.staging import stage_measured, staging_path, staging_root
+from palate.operators.staging import clear_staged, stage_measured, staging_path, staging_root
 from palate.sinks import write_csv
 from palate.sources import SCHEMAS, read_csv, read_csv_tables, read_parquet_tables
 
@@ -37,8 +37,24 @@ def test_csv_roundtrip(spark, tmp_path, table):
     write_csv(df, str(tmp_path / "t"))
     back = read_csv(spark, table, str(tmp_path / "t"))
     assert back.schema == SCHEMAS[table]
-    # An empty field, quoted or not, is NULL to Spark's CSV reader.
-    assert rows(back) == rows(df.replace("", None))
+    assert rows(back) == rows(df)
+
+
+@pytest.mark.parametrize("text", ["a\nb", "x\ry"])
+def test_line_breaks_are_rejected(spark, tmp_path, text):
+    df = spark.createDataFrame([("1", "2", text)], SCHEMAS["tags"])
+    with pytest.raises(Exception, match="line break in column tag"):
+        write_csv(df, str(tmp_path / "t"))
+
+
+def test_columns_by_header_name(spark, tmp_path):
+    (tmp_path / "m.csv").write_text('year,GENRES,movieId,title\n1995,Comedy|Drama,7,"Heat, The"\n')
+    assert rows(read_csv(spark, "movies", str(tmp_path / "m.csv"))) == [("7", "Heat, The", "Comedy|Drama")]
+    (tmp_path / "g.csv").write_text("tag,tagId\nfunny,1\n")
+    assert rows(read_csv(spark, "genome_tags", str(tmp_path / "g.csv"))) == [("1", "funny")]
+    (tmp_path / "bad.csv").write_text("movieId,name,genres\n1,x,y\n")
+    with pytest.raises(ValueError, match="title"):
+        read_csv(spark, "movies", str(tmp_path / "bad.csv"))
 
 
 def test_published_layout(spark, tmp_path):
@@ -61,7 +77,7 @@ def test_published_layout(spark, tmp_path):
     assert rows(tables.genome_tags) == [("1", "007"), ("2", "007, (series)")]
 
 
-def test_modes_and_single_file(spark, tmp_path, monkeypatch):
+def test_modes_and_single_file(spark, tmp_path):
     df = spark.range(100).selectExpr("id", "id % 7 as k").repartition(5)
     path = tmp_path / "out"
     write_csv(df, str(path), "errorifexists")
@@ -70,14 +86,11 @@ def test_modes_and_single_file(spark, tmp_path, monkeypatch):
     write_csv(df, str(path), single_file=True)
     assert len(list(path.glob("part-*.csv"))) == 1
     assert spark.read.option("header", True).csv(str(path)).count() == 100
-    monkeypatch.setattr("palate.sinks.csv_sink.SINGLE_FILE_ROWS", 99)
-    with pytest.raises(ValueError, match="too many"):
-        write_csv(df, str(path), single_file=True)
 
 
 def test_staging_measures_and_uses_the_named_folder(spark):
     staged = stage_measured(spark.createDataFrame([("ab", 1), (None, 22)], "s string, n int"))
-    assert (staged.rows, staged.bytes) == (2, len("ab") + 2 * 8)
+    assert (staged.rows, staged.bytes) == (2, 2 * (64 + 2 * 8) + 8)
     assert rows(staged.df) == [("ab", 1), (None, 22)]
     assert staging_path(spark, "x").startswith(staging_root(spark) + "/x-")
     assert staging_root(spark) == spark.conf.get("spark.checkpoint.dir")
@@ -85,6 +98,24 @@ def test_staging_measures_and_uses_the_named_folder(spark):
     assert (empty.rows, empty.bytes) == (0, 0) and rows(empty.df) == []
 
 
+def test_short_texts_arrays_and_binaries_are_not_small(spark):
+    short = stage_measured(spark.range(1000).selectExpr("'a' as s"))
+    assert short.bytes >= 64 * 1000
+    arrays = stage_measured(spark.range(100).selectExpr("transform(sequence(1, 1000), x -> x + 0.123456789D) as a"))
+    assert arrays.bytes >= 100 * 1000 * 8
+    binary = stage_measured(spark.range(10).selectExpr("cast(repeat('x', 5000) as binary) as b"))
+    assert binary.bytes >= 10 * 5000
+
+
+def test_staged_tables_are_deleted(spark):
+    import os
+
+    path = stage_measured(spark.range(3)).df.inputFiles()[0].removeprefix("file:")
+    assert os.path.exists(path)
+    clear_staged(spark)
+    assert not os.path.exists(path)
+
+
 @pytest.fixture
 def table_folder(spark, tmp_path):
     """A small world in which every query of the batch finds something."""
