@@ -39,10 +39,11 @@ def training_rows(docs: DataFrame, held_out: str, sample_texts: int = SAMPLE_TEX
     a hash. Rows without text or language are left out, and repeated texts count once."""
     rows = docs.filter(F.coalesce(~F.expr(held_out), F.lit(True)) & F.col(lang_col).isNotNull() & F.col(text_col).isNotNull())
     rows = rows.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(id_col).alias("h"))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    share = (F.lit(float(sample_texts)) / F.col("n")) * F.lit(2.0**32)
-    picked = rows.join(sizes, "lang").filter(F.pmod("h", F.lit(1 << 32)) < share)
-    return picked.select("text", "lang").distinct()
+    sizes = rows.groupBy("lang").count().collect()  # a row per language, as many as the model has columns
+    share = F.lit(0.0)
+    for row in sizes:
+        share = F.when(F.col("lang") == row["lang"], F.lit(sample_texts / row["count"] * 2.0**32)).otherwise(share)
+    return rows.filter(F.pmod("h", F.lit(1 << 32)) < share).select("text", "lang").distinct()
 
 
 class PieceUnigrams:
