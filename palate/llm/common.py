@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import os
-import tempfile
-import uuid
 from collections.abc import Iterator
 from pathlib import Path
 
@@ -14,6 +12,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from palate.operators.staging import staging_path
+
 #: Odd 64-bit multipliers of the mixing steps.
 MIX_A = np.uint64(0x9E3779B97F4A7C15)
 MIX_B = np.uint64(0xD6E8FEB86659FD93)
@@ -36,29 +36,10 @@ def package_path(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that all machines share: spark.checkpoint.dir, or the context's checkpoint
-    folder. Only a local session without either gets a temporary one."""
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        set_dir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        path = set_dir.get() if set_dir.isDefined() else None
-    if not path:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-        path = tempfile.mkdtemp(prefix="palate-llm-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
-
-
-def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/palate-llm/{label}-{uuid.uuid4().hex}"
-
-
 def stage(df: DataFrame, label: str) -> DataFrame:
     """df, written once below the shared folder and read back: cuts the lineage, survives the loss
     of executors and is computed once however often it is read."""
-    path = fresh_path(df.sparkSession, label)
+    path = staging_path(df.sparkSession, f"llm-{label}")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 

@@ -96,7 +96,8 @@ ORACLE: dict[str, str] = {
              d AS (SELECT page_id, octet_length(body) AS payload_bytes, sha1(body) AS payload_digest FROM p),
              w AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top_id FROM d)
         SELECT page_id, payload_bytes, payload_digest,
-               CASE WHEN payload_bytes >= 1000 AND page_id <> top_id THEN 'revisit' ELSE 'response' END AS record_type,
-               CASE WHEN payload_bytes >= 1000 AND page_id <> top_id THEN top_id END AS refers_to
+               CASE WHEN payload_bytes >= 1000 AND top_id IS NOT NULL AND page_id IS DISTINCT FROM top_id
+                    THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN payload_bytes >= 1000 AND page_id IS DISTINCT FROM top_id THEN top_id END AS refers_to
         FROM w""",
 }

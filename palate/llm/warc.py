@@ -21,10 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.llm.common import batches, fresh_path, stage
+from palate.llm.common import batches, stage
+from palate.operators.staging import staging_path
 
 #: The smallest payload that a revisit record may stand for.
 MIN_REVISIT_BYTES = 1000
+#: Payload of one archive file, uncompressed.
+FILE_BYTES = 48 << 20
 #: The fixed 20 bytes of an empty gzip member.
 EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000ff03000000000000000000")
 GZIP_MAGIC = b"\x1f\x8b\x08"
@@ -63,14 +66,17 @@ def record(page_id: int | None, url: str | None, html: str | None, digest: bytes
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
-def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", records_per_file: int = 8192) -> None:
+def write_archives(pages: DataFrame, path: str, date: str = "2024-01-01T00:00:00Z", file_bytes: int = FILE_BYTES) -> None:
     """Write every row of pages (page_id, url, html) as one record below path.
 
     Rows with equal payloads of MIN_REVISIT_BYTES or more: those with the largest page_id
     are response records, the others revisit it (of repeated rows, all with the largest id are
     responses). A group without any id has responses only. Digests decide equality. Other columns are ignored. An empty
-    table writes no record."""
+    table writes no record. A file takes as many records as make up file_bytes of payload at the
+    table's mean, as it is read by one task."""
     html = F.coalesce("html", F.lit(""))
+    mean = pages.agg(F.avg(F.octet_length(html))).first()[0] or 0
+    records_per_file = max(1, int(file_bytes / (mean + 1000)))
     rows = pages.select("page_id", "url", "html", F.sha1(html).alias("digest"), (F.octet_length(html) >= MIN_REVISIT_BYTES).alias("long_enough"))
     shared = rows.filter("long_enough").groupBy("digest").agg(F.max("page_id").alias("first_id"), F.min("page_id").alias("least_id"), F.count("*").alias("n"))
     shared = shared.filter("n > 1").select("digest", "first_id")
@@ -213,7 +219,7 @@ def archive_and_read(pages: DataFrame) -> DataFrame:
     (page_id, payload_bytes, payload_digest, record_type, refers_to, url, path, at). Revisits get
     the length of the response that they refer to, from the archive too."""
     spark = pages.sparkSession
-    path = fresh_path(spark, "warc")
+    path = staging_path(spark, "llm-warc")
     write_archives(pages, path)
     back = read_archives(spark, path).filter("kind = 'record'")
     back = stage(back.select("page_id", "payload_bytes", "payload_digest", F.col("warc_type").alias("record_type"), "refers_to", "url", "path", "at"), "warc-records")
