@@ -44,13 +44,31 @@ def staging_path(spark: SparkSession, label: str) -> str:
     return path
 
 
-def clear_staged(spark: SparkSession) -> None:
-    """Delete all tables that this process has staged. Frames that read them are void then, so
-    call it when their results are written."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    while _written:
-        path = jvm.org.apache.hadoop.fs.Path(_written.pop())
-        path.getFileSystem(conf).delete(path, True)
+def _delete(spark: SparkSession, path: str) -> None:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete staged tables that no frame reads any more."""
+    for df in staged:
+        read = {file.rpartition("/")[0].rpartition("/")[2] for file in df.inputFiles()}
+        for path in [path for path in _written if path.rpartition("/")[2] in read]:
+            _delete(df.sparkSession, path)
+            _written.remove(path)
+
+
+def clear_staged(spark: SparkSession, keep: DataFrame | None = None, label: str = "") -> None:
+    """Delete the tables that this process has staged under labels that begin so, but for those
+    that ``keep`` reads. Other frames that read them are void then, so call it when their
+    results are written."""
+    found = [path for path in _written if path.rpartition("/")[2].startswith(label)]
+    if not found:
+        return
+    read = {file.rpartition("/")[0].rpartition("/")[2] for file in keep.inputFiles()} if keep else ()
+    for path in [path for path in found if path.rpartition("/")[2] not in read]:
+        _delete(spark, path)
+        _written.remove(path)
 
 
 def _width(df: DataFrame) -> Column:

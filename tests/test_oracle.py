@@ -7,8 +7,9 @@ import pytest
 from conftest import TESTDATA
 
 import __spark_entry__ as entry_point
+from palate.registry import QUERIES
 
-NAMES = sorted(entry_point.queries())
+NAMES = sorted(entry_point.oracle_sql())
 SF_DIR = TESTDATA / "sf0.01"
 
 pytestmark = pytest.mark.skipif(not SF_DIR.exists(), reason="no test tables")
@@ -23,8 +24,9 @@ def db():
 
 
 def test_every_query_has_an_oracle():
-    assert set(entry_point.oracle_sql()) == set(NAMES)
-    assert len(NAMES) == 32
+    """All but some of the training-data operators, which SQL can not express."""
+    assert set(QUERIES) <= set(NAMES) <= set(entry_point.queries())
+    assert len(QUERIES) == 38
 
 
 _DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
