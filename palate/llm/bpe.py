@@ -54,7 +54,7 @@ class WordBpe:
         """(offsets, ids) of words without white space, each of one byte at least."""
         words = words.cast(pa.large_string())
         if not len(words):
-            return np.zeros(1, np.int64), np.zeros(0, np.int64)
+            return np.zeros(1, np.int64), np.zeros(0, np.int32)
         ends = np.frombuffer(words.buffers()[1], np.int64)[words.offset : words.offset + len(words) + 1]
         data = np.frombuffer(words.buffers()[2], np.uint8)[ends[0] : ends[-1]]
         ends = ends - ends[0]
@@ -85,7 +85,7 @@ class WordBpe:
         owner = np.concatenate([o for o, _ in done])
         order = np.argsort(owner, kind="stable")
         counts = np.bincount(owner, minlength=len(words))
-        return np.concatenate([[0], np.cumsum(counts)]), np.concatenate([s for _, s in done])[order]
+        return np.concatenate([[0], np.cumsum(counts)]), np.concatenate([s for _, s in done])[order].astype(np.int32)
 
     def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(offsets, ids) of texts without nulls."""
@@ -104,7 +104,7 @@ class WordBpe:
         coded = pa.concat_arrays([chunks.filter(pa.array(pure)), pa.array(chain.from_iterable(cut), pa.large_string())]).dictionary_encode()
         first = np.zeros(chunk_ends[-1], bool)
         first[chunk_ends[:-1][pure]] = True
-        word_codes = np.empty(chunk_ends[-1], np.int64)
+        word_codes = np.empty(chunk_ends[-1], np.int32)
         word_codes[first], word_codes[~first] = np.split(np.asarray(coded.indices), [int(pure.sum())])
         words = coded.dictionary
         long = np.flatnonzero(np.asarray(pc.greater(pc.binary_length(words), LONGEST)))
@@ -123,6 +123,6 @@ class WordBpe:
     def _replace(ends: np.ndarray, ids: np.ndarray, new: dict[int, list[int]]) -> tuple[np.ndarray, np.ndarray]:
         parts, at, lengths = [], 0, np.diff(ends)
         for i, own in sorted(new.items()):
-            parts += [ids[at : ends[i]], np.array(own, np.int64)]
+            parts += [ids[at : ends[i]], np.array(own, np.int32)]
             at, lengths[i] = ends[i + 1], len(own)
         return np.concatenate([[0], np.cumsum(lengths)]), np.concatenate([*parts, ids[at:]])

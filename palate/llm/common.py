@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from palate.operators.staging import staging_path
+from palate.operators.staging import discard, staging_path
 
 #: Odd 64-bit multipliers of the mixing steps.
 MIX_A = np.uint64(0x9E3779B97F4A7C15)
@@ -29,11 +29,14 @@ def tokenizer_file(name: str) -> str:
 
 
 def package_path(spark: SparkSession) -> None:
-    """Let Python workers find this package where the driver has it, unless it is installed there."""
+    """Let Python workers find this package where the driver has it, unless it is installed there,
+    and let them give large arrays back to the machine as soon as they are freed."""
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     known = env.get("PYTHONPATH", "").split(os.pathsep)
     if root not in known:
         env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+    env.setdefault("MALLOC_MMAP_THRESHOLD_", str(1 << 20))
+    env.setdefault("ARROW_DEFAULT_MEMORY_POOL", "system")
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
@@ -76,43 +79,29 @@ def encode_lists(lists: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
         kept = np.concatenate([[0], np.cumsum(full)])
         offsets, words = kept[offsets], words.filter(pa.array(full))
     coded = words.dictionary_encode()
-    return offsets.astype(np.int64), np.asarray(coded.indices).astype(np.int64), coded.dictionary
+    return offsets.astype(np.int64), np.asarray(coded.indices), coded.dictionary
 
 
 def hash_strings(values: pa.Array) -> np.ndarray:
-    """A 64-bit hash of each string, the same on every machine: polynomial over its bytes, mixed."""
+    """A 64-bit hash of each string, the same on every machine: its words of eight bytes, mixed with
+    their places, added up and mixed again."""
     values = values.cast(pa.large_string())
     if not len(values):
         return np.zeros(0, np.uint64)
     offsets = np.frombuffer(values.buffers()[1], np.int64)[values.offset : values.offset + len(values) + 1]
     lengths = np.diff(offsets)
-    buffer = values.buffers()[2]
-    data = np.frombuffer(buffer, np.uint8) if buffer is not None else np.zeros(0, np.uint8)
-    out = mix(lengths.astype(np.uint64) + MIX_A)
-    order = np.argsort(-lengths, kind="stable")
-    sorted_lengths, starts = lengths[order], offsets[:-1][order]
-    state = out[order]
-    step, alive = 0, int(np.searchsorted(-sorted_lengths, 0, "left"))
-    while alive:  # eight bytes of every string that is long enough, per step
-        rest = np.minimum(sorted_lengths[:alive] - step, 8)
-        word = np.zeros(alive, np.uint64)
-        for k in range(8):
-            has = int(np.searchsorted(-rest, -k, "left"))  # rest is descending
-            if not has:
-                break
-            word[:has] |= data[starts[:has] + step + k].astype(np.uint64) << np.uint64(8 * k)
-        state[:alive] = mix(state[:alive] * MIX_A + word)
-        step += 8
-        alive = int(np.searchsorted(-sorted_lengths, -step, "left"))
-        if 0 < alive <= 4 and sorted_lengths[0] - step > 4096:  # a few very long ones: one by one
-            for i in range(alive):
-                tail = data[starts[i] + step : starts[i] + sorted_lengths[i]]
-                tail = np.pad(tail, (0, -len(tail) % 8)).view(np.uint64)
-                powers = mix(np.arange(len(tail), dtype=np.uint64) * MIX_B + MIX_A)
-                state[i] = mix(state[i : i + 1] + (mix(tail + powers) * (powers | np.uint64(1))).sum(dtype=np.uint64))[0]
-            break
-    out[order] = state
-    return out
+    data = np.zeros(offsets[-1] - offsets[0] + 8, np.uint8)  # eight more, so that every byte starts a word
+    if offsets[-1] > offsets[0]:
+        data[:-8] = np.frombuffer(values.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    words = np.ndarray((len(data) - 7,), "<u8", data, 0, (1,))
+    counts = lengths // 8 + 1
+    ends = np.cumsum(counts)
+    place = np.arange(ends[-1]) - np.repeat(ends - counts, counts)
+    word = words[np.repeat(offsets[:-1] - offsets[0], counts) + 8 * place]
+    rest = (8 * (lengths % 8)).astype(np.uint64)
+    word[ends - 1] &= (np.uint64(1) << rest) - np.uint64(1)
+    total = np.add.reduceat(mix(word + (place + 1).astype(np.uint64) * MIX_A), ends - counts)
+    return mix(total + lengths.astype(np.uint64) * MIX_B)
 
 
 def batches(parts: Iterator[pa.RecordBatch], rows: int = 4096, size: int = 16 << 20) -> Iterator[pa.RecordBatch]:
@@ -124,9 +113,35 @@ def batches(parts: Iterator[pa.RecordBatch], rows: int = 4096, size: int = 16 <<
             while n > 1 and part.slice(start, n).nbytes > size:
                 n //= 2
             yield part.slice(start, n)
+            pa.default_memory_pool().release_unused()
             start += n
 
 
+#: Bits of a filter of hashes: its size is fixed, 8 MB, so it may be broadcast whatever it holds.
+FILTER_BITS = 26
+
+
+def hash_filter(hashes: DataFrame, name: str) -> np.ndarray:
+    """A Bloom filter of a column of 64-bit hashes, two bits each, as 64-bit words; at most 2^20 rows
+    reach the driver. The more hashes, the more others pass it."""
+    mask = (1 << FILTER_BITS) - 1
+    places = F.explode(F.array(F.col(name).bitwiseAND(F.lit(mask)), F.shiftrightunsigned(name, 32).bitwiseAND(F.lit(mask))))
+    bits = hashes.select(places.alias("at")).select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit"))
+    found = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
+    out[found["word"].to_numpy()] = found["bits"].to_numpy().view(np.uint64)
+    return out
+
+
+def in_filter(bits: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    """Which hashes may be in the filter; all that are pass."""
+    hashes, mask = hashes.view(np.uint64), np.uint64((1 << FILTER_BITS) - 1)
+    passed = np.ones(len(hashes), bool)
+    for at in (hashes & mask, (hashes >> np.uint64(32)) & mask):
+        passed &= (bits[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) == 1
+    return passed
+
+
 def components(edges: DataFrame, label: str) -> DataFrame:
     """Connected components of a graph with edges (a long, b long): (node, root), root being the
     smallest node reachable. Nodes without an edge to another node are not listed.
@@ -147,7 +162,8 @@ def components(edges: DataFrame, label: str) -> DataFrame:
         lower = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(lower, "a").select(b.alias("x"), a.alias("y"), "m")
         small = small.select(F.explode(F.array(F.struct(F.col("x").alias("a"), F.col("m").alias("b")), F.struct(F.col("y").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.*")
-        now = stage(small.filter(a != b).distinct(), f"{label}-star")
+        before, now = now, stage(small.filter(a != b).distinct(), f"{label}-star")
+        discard(before)
 
 
 class KeyTable:
@@ -181,4 +197,9 @@ def gather(offsets: np.ndarray, values: np.ndarray, codes: np.ndarray) -> tuple[
     """The value lists of codes one after another, and their new offsets."""
     lengths = (offsets[1:] - offsets[:-1])[codes]
     ends = np.concatenate([[0], np.cumsum(lengths)])
-    return values[np.repeat(offsets[codes] - ends[:-1], lengths) + np.arange(ends[-1])], ends
+    out = np.empty(ends[-1], values.dtype)
+    for a in range(0, len(codes), 1 << 17):  # some at a time, for the sake of memory
+        own, from_, to = codes[a : a + (1 << 17)], ends[a], ends[min(a + (1 << 17), len(codes))]
+        first = ends[a : a + len(own)] - from_
+        out[from_:to] = values[np.repeat(offsets[own] - first, lengths[a : a + len(own)]) + np.arange(to - from_)]
+    return out, ends

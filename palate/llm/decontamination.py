@@ -186,7 +186,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
     blocks = max(1, -(-distinct.count() // BLOCK_GRAMS))
     counts = None
     for k in range(blocks):
-        wanted = distinct.filter(F.pmod(F.xxhash64("gram"), F.lit(blocks)) == k).toPandas()  # about BLOCK_GRAMS rows
+        wanted = distinct.filter(F.pmod(F.xxhash64("gram"), F.lit(blocks)) == k).toArrow().to_pandas()  # about BLOCK_GRAMS rows
         tables = {int(s): KeyTable(g["gram"].to_numpy(np.int64).view(np.uint64)) for s, g in wanted.groupby("size")}
         seen = _seen_grams(docs, tables)
         counts = seen if counts is None else counts.unionByName(seen)
@@ -200,7 +200,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD,
     blocks = max(1, -(-seeds.count() // BLOCK_GRAMS))
     found = None
     for k in range(blocks):
-        own = seeds.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k).select("gram", "size", "item", "place", "words").toPandas()
+        own = seeds.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k).select("gram", "size", "item", "place", "words").toArrow().to_pandas()
         items = {int(i): np.frombuffer(w, np.uint64) for i, w in zip(own["item"], own["words"], strict=True)}
         rows = list(zip(own["gram"].tolist(), own["size"].tolist(), own["item"].tolist(), own["place"].tolist(), strict=True))
         scored = _scores(docs, rows, items, threshold)

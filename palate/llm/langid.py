@@ -136,7 +136,7 @@ def train(rows: DataFrame, vocabulary_path: str) -> tuple[list[str], list[str],
 
     from sentencepiece import SentencePieceProcessor
 
-    counts = rows.mapInArrow(count, "lang string, piece long, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n")).toPandas()
+    counts = rows.mapInArrow(count, "lang string, piece long, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     library = SentencePieceProcessor(model_file=vocabulary_path)
     size = library.get_piece_size()
     langs = sorted(counts["lang"].unique())
@@ -168,7 +168,7 @@ def identify(docs: DataFrame, vocabulary_path: str, held_out: str = "pmod(crc32(
 
     def label(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unigrams = PieceUnigrams(*model.value) if langs else None
-        for part in batches(parts, 16384, 48 << 20):
+        for part in batches(parts, 4096, 12 << 20):
             offsets, codes, words = letter_words(strings(part.column(at)))
             n_words = np.diff(offsets)
             pred, score = np.full(part.num_rows, "und", object), np.zeros(part.num_rows)

@@ -21,7 +21,7 @@ from palate.llm.common import batches, stage, strings
 
 WINDOW = 4096
 END = 2
-SHARD_TOKENS = 1 << 22
+SHARD_TOKENS = 1 << 21
 QUERY_TERMS = 32
 K1, B = 1.2, 0.75
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
@@ -33,7 +33,7 @@ def token_windows(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, en
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = WordBpe(tokenizer_path)
-        for part in batches(parts, 8192, 32 << 20):
+        for part in batches(parts, 8192, 8 << 20):
             ends, ids = bpe.texts(strings(part.column(1)))
             lengths = np.diff(ends) + 1
             all_ids = np.insert(ids, ends[1:], end).astype("<u4")
@@ -143,7 +143,7 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, shard_token
     runs = staged.filter("kind = 0").drop("kind")
     n, total = runs.agg(F.count("*"), F.sum("length")).first()
     spread = staged.filter("kind = 1").select("ids").mapInArrow(_spread_terms, "term long, df long").groupBy("term").agg(F.sum("df").alias("df"))
-    found = spread.toPandas()  # at most one row per id of the vocabulary
+    found = spread.toArrow().to_pandas()  # at most one row per id of the vocabulary
     df = np.zeros(int(found["term"].max()) + 1 if len(found) else 1)
     df[found["term"].to_numpy(np.int64)] = found["df"]
     n, total = n or 1, total or 1

@@ -118,7 +118,7 @@ def top_k(vectors: DataFrame, is_query: str = "pmod(vec_id, 100) = 0", k: int =
     beyond the range of long are clamped to it. Empty tables give no rows."""
     spark = vectors.sparkSession
     rows = usable(vectors, id_col, vector_col)
-    ranges = rows.select("vec_id", "v").mapInArrow(_ranges, "dims int, at int, low double, high double").groupBy("dims", "at").agg(F.min("low").alias("low"), F.max("high").alias("high")).toPandas()
+    ranges = rows.select("vec_id", "v").mapInArrow(_ranges, "dims int, at int, low double, high double").groupBy("dims", "at").agg(F.min("low").alias("low"), F.max("high").alias("high")).toArrow().to_pandas()
     edges = {}  # at most one row per dimension of each length
     for dims, own in ranges.sort_values("at").groupby("dims"):
         low = own["low"].to_numpy()
