@@ -7,18 +7,27 @@ from pyspark.sql import functions as F
 
 from palate.llm import decontamination, jaccard_join, langid, line_dedup, packing
 from palate.llm.common import package_path, stage, tokenizer_file
+from palate.operators.staging import clear_staged
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+def _begin(spark: SparkSession, docs: DataFrame) -> None:
+    """What stages before have staged is not needed once their result is written; docs tells if not."""
+    package_path(spark)
+    clear_staged(spark, keep=docs, label="llm-")
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told, with that language in lang. Texts without a letter go."""
+    _begin(spark, docs)
     done = langid.identify(docs.select(*COLUMNS), tokenizer_file("piece_bpe_32k.model"))
     return done.filter("lang_pred <> 'und'").withColumn("lang", F.col("lang_pred")).select(*COLUMNS)
 
 
 def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without repeated lines; those that keep no line go."""
+    _begin(spark, docs)
     done = line_dedup.dedup_lines(docs.select(*COLUMNS)).filter("n_lines > n_dropped")
     return done.withColumn("n_chars", F.length("text").cast("long")).select(*COLUMNS)
 
@@ -26,6 +35,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: that with the least id. Rows without an id get
     one from their text, a negative one, for this stage."""
+    _begin(spark, docs)
     key = F.coalesce("doc_id", -F.shiftrightunsigned(F.xxhash64("text"), 1) - 1)
     keyed = docs.select(*COLUMNS, key.alias("key"))
     found = jaccard_join.near_duplicates(keyed, words=5, similarity=(80, 100), id_col="key")
@@ -35,11 +45,13 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no test item."""
+    _begin(spark, docs)
     return decontamination.decontaminate(docs.select(*COLUMNS), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the packed sequences."""
+    _begin(spark, docs)
     return packing.pack(docs, tokenizer_file("word_bpe_49k.json"))
 
 

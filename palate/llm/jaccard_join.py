@@ -29,14 +29,13 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palate.llm.common import MIX_A, batches, components, hash_strings, mix, split_words, stage, strings
+from palate.llm.common import MIX_A, batches, components, hash_filter, hash_strings, in_filter, mix, split_words, stage, strings
+from palate.operators.staging import discard
 
 #: Bytes of sets in a leaf, and visitors dealt to one task with it.
 LEAF_BYTES = 8 << 20
 VISITORS = 16384
 NODE = 32
-#: Bits of the filter that keeps sets at home which share no box. Its size is fixed.
-FILTER_BITS = 26
 
 
 def shingle_sets(texts: pa.Array, words: int) -> list[np.ndarray]:
@@ -120,23 +119,6 @@ def _sets_of(docs: DataFrame, words: int, p: int, q: int) -> DataFrame:
     return docs.mapInArrow(cut, "doc_id long, n_shingles long, node long, keys array<long>")
 
 
-def _filter_of(nodes: DataFrame) -> np.ndarray:
-    """A Bloom filter of the nodes with two bits each, in words of 64 bits; at most 2^20 rows reach
-    the driver."""
-    mask = (1 << FILTER_BITS) - 1
-    places = F.explode(F.array(F.col("node").bitwiseAND(F.lit(mask)), F.shiftrightunsigned("node", 32).bitwiseAND(F.lit(mask))))
-    bits = nodes.select(places.alias("at")).select(F.shiftright("at", 6).alias("word"), F.expr("shiftleft(1L, cast(at & 63 as int))").alias("bit"))
-    found = bits.groupBy("word").agg(F.bit_or("bit").alias("bits")).toPandas()
-    out = np.zeros(1 << (FILTER_BITS - 6), np.uint64)
-    out[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
-    return out
-
-
-def _in_filter(bits: np.ndarray, node: int) -> bool:
-    node, mask = node & (2**64 - 1), (1 << FILTER_BITS) - 1
-    return all(int(bits[at >> 6]) >> (at & 63) & 1 for at in (node & mask, node >> 32 & mask))
-
-
 def count_vectors(sets: list[np.ndarray]) -> np.ndarray:
     """Points of the sets: counts in equal groups of the hashes' range, at least one group for two
     members of the largest set."""
@@ -201,30 +183,35 @@ def _visits(shared: DataFrame) -> DataFrame:
     lived = shared.select("key", "node").join(home, "node")
     leaves = lived.select("key", F.col("home").alias("leaf")).distinct()
     met = lived.join(leaves, "key").filter(F.col("leaf") <= F.col("home"))  # of two leaves, the lesser compares
-    return met.select("leaf", "node", (F.col("leaf") == F.col("home")).alias("own")).distinct()
+    visits = stage(met.select("leaf", "node", (F.col("leaf") == F.col("home")).alias("own")).distinct(), "visits")
+    discard(home)
+    return visits
 
 
 def links(sets: DataFrame, docs: DataFrame, words: int, p: int, q: int) -> DataFrame:
-    """Edges (a, b) between nodes of _sets_of: a forest of the links' components."""
+    """Edges (a, b) between nodes of _sets_of, staged: a forest of the links' components. The staged
+    sets are deleted when their boxes are known."""
     keyed = sets.filter("keys is not null").select(F.explode("keys").alias("key"), "node", "n_shingles")
     box = Window.partitionBy("key")
     shared = keyed.withColumn("sharers", F.count("*").over(box)).filter("sharers > 1").withColumn("least", F.min("node").over(box)).withColumn("most", F.max("node").over(box))
     shared = stage(shared.filter("least <> most").select("key", "node", "n_shingles", "sharers").distinct(), "boxes")
-    visits = stage(_visits(shared), "visits")
+    discard(sets)
+    visits = _visits(shared)
     crowd = visits.filter(~F.col("own")).groupBy("leaf").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.coalesce("n", F.lit(0)) / VISITORS).cast("int")
     dealt = visits.join(crowd, "leaf", "left").withColumn("blocks", F.greatest(blocks, F.lit(1)))
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     one = F.array(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.select("leaf", "node", "own", F.explode(F.when(F.col("own"), every).otherwise(one)).alias("block"))
-    bits = sets.sparkSession.sparkContext.broadcast(_filter_of(shared.select("node").distinct()))
+    bits = sets.sparkSession.sparkContext.broadcast(hash_filter(shared.select("node").distinct(), "node"))
+    discard(shared)
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches(parts, 4096, 8 << 20):
             seen, names, data = set(), [], []
             for found in shingle_sets(strings(part.column(0)), words):
                 node = name_of(found)
-                if len(found) and node not in seen and _in_filter(bits.value, node):
+                if len(found) and node not in seen and in_filter(bits.value, np.array([node], np.int64))[0]:
                     seen.add(node)
                     names.append(node)
                     data.append(found.astype("<u8").tobytes())
@@ -253,8 +240,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: tuple[int, int]
     tables give no rows; other columns are ignored."""
     p, q = similarity
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    sets = stage(_sets_of(source, words, p, q), "shingle-sets")
-    roots = components(links(sets, source, words, p, q), "documents").select("node", "root")
+    found = stage(_sets_of(source, words, p, q), "keyed-sets")
+    sets = stage(found.drop("keys"), "shingle-sets")
+    roots = components(links(found, source, words, p, q), "documents").select("node", "root")
     classed = sets.filter("node is not null").select("doc_id", "n_shingles", "node").join(roots, "node", "left").select("doc_id", "n_shingles", F.coalesce("root", "node").alias("root"))
     least = classed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     alone = sets.filter("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

@@ -17,34 +17,43 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palate.llm.common import MIX_A, batches, components, hash_strings, mix, stage, strings
+from palate.llm.common import MIX_A, batches, components, hash_filter, hash_strings, in_filter, mix, stage, strings
+from palate.operators.staging import discard
 
 SHINGLE = 5
 BANDS, ROWS = 12, 5
 SIMILARITY = 0.8
 EMPTY = np.uint64(2**64 - 1)
+#: Odd factors of a shingle's characters.
+FACTORS = [np.uint64(f | 1) for f in mix(np.arange(1, SHINGLE + 1, dtype=np.uint64)).tolist()]
 
 
 def normal(lines: pa.Array) -> pa.Array:
     """Lines in lower case, white space as one space, none at the ends."""
-    return pc.utf8_trim_whitespace(pc.replace_substring_regex(pc.utf8_lower(lines), r"\s+", " "))
+    words = pc.utf8_split_whitespace(pc.utf8_lower(lines))
+    return pc.utf8_trim_whitespace(pc.binary_join(words, pa.scalar(" ", words.type.value_type)))
 
 
 def shingles(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(offsets, hashes) of the character shingles of each line, repeats included; a line that is
     shorter than a shingle is one itself."""
     lengths = np.asarray(pc.utf8_length(lines)).astype(np.int64)
-    codes = np.frombuffer("".join(lines.to_pylist()).encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
     counts = np.maximum(1, lengths - SHINGLE + 1)
     ends = np.concatenate([[0], np.cumsum(counts)])
-    firsts = np.cumsum(lengths) - lengths
-    at = np.repeat(firsts - ends[:-1], counts) + np.arange(ends[-1])
-    stop = np.repeat(firsts + lengths, counts)
-    value = np.zeros(len(at), np.uint64)
-    for k in range(SHINGLE):
-        own = np.where(at + k < stop, codes[np.minimum(at + k, max(len(codes) - 1, 0))] if len(codes) else 0, np.uint64(0)).astype(np.uint64)
-        value = value * MIX_A + own + np.uint64(1)
-    return ends, mix(value)
+    if not ends[-1]:
+        return ends, np.zeros(0, np.uint64)
+    gap = "\0" * (SHINGLE - 1)  # between lines, so that a short line's only shingle ends in it
+    codes = np.frombuffer((gap.join(lines.to_pylist()) + gap + "\0").encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    size = len(codes) - SHINGLE + 1
+    value = codes[:size] * FACTORS[0]
+    for k in range(1, SHINGLE):
+        value += codes[k : k + size] * FACTORS[k]
+    firsts = np.cumsum(lengths + len(gap)) - lengths - len(gap)
+    value = value[np.repeat(firsts - ends[:-1], counts) + np.arange(ends[-1])]
+    value ^= value >> np.uint64(32)
+    value *= MIX_A
+    value ^= value >> np.uint64(29)
+    return ends, value
 
 
 def band_keys(lines: pa.Array) -> np.ndarray:
@@ -52,7 +61,7 @@ def band_keys(lines: pa.Array) -> np.ndarray:
     ends, hashes = shingles(lines)
     bins = BANDS * ROWS
     n = len(ends) - 1
-    where = np.repeat(np.arange(n) * bins, np.diff(ends)) + ((hashes >> np.uint64(40)) % np.uint64(bins)).astype(np.int64)
+    where = np.repeat(np.arange(n) * bins, np.diff(ends)) + (((hashes >> np.uint64(40)) * np.uint64(bins)) >> np.uint64(24)).astype(np.int64)
     flat = np.full(n * bins, EMPTY)
     np.minimum.at(flat, where, hashes & np.uint64(0xFFFFFFFFFF))
     signature = flat.reshape(n, bins)
@@ -100,21 +109,18 @@ def _lines_of(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(cut, "uid long, doc_id long, pos int, line long, keys array<long>")
 
 
-def _texts_of(wanted: DataFrame, docs: DataFrame) -> DataFrame:
-    """(line, text) of the wanted (uid, pos, line)."""
+def _texts_of(names: DataFrame, docs: DataFrame) -> DataFrame:
+    """(line, text) of the named lines and, as the filter lets a few others pass, some more."""
+    bits = docs.sparkSession.sparkContext.broadcast(hash_filter(names, "line"))
 
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches(parts, 1024, 4 << 20):
-            names, texts = [], []
-            for want, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-                lines = text.split("\n")
-                for x in want:
-                    names.append(x["line"])
-                    texts.append(lines[x["pos"]])
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), normal(pa.array(texts, pa.large_string())).cast(pa.string())], ["line", "text"])
+        for part in batches(parts, 1024, 2 << 20):
+            lines = pc.unique(normal(pc.split_pattern(strings(part.column(0)), "\n").flatten()))
+            names = hash_strings(lines)
+            kept = in_filter(bits.value, names)
+            yield pa.RecordBatch.from_arrays([pa.array(names[kept].view(np.int64)), lines.filter(pa.array(kept)).cast(pa.string())], ["line", "text"])
 
-    grouped = wanted.groupBy("uid").agg(F.collect_set(F.struct("pos", "line")).alias("want"))  # lines of one text
-    return grouped.join(docs.select("uid", "text"), "uid").select("want", "text").mapInArrow(read, "line long, text string").dropDuplicates(["line"])
+    return docs.select("text").mapInArrow(read, "line long, text string").dropDuplicates(["line"])
 
 
 def _similar(pairs: DataFrame, similarity: float) -> DataFrame:
@@ -142,11 +148,11 @@ def similar_lines(lines: DataFrame, docs: DataFrame, similarity: float = SIMILAR
     keyed = lines.filter("keys is not null").select(F.explode("keys").alias("key"), "line")
     hub = F.min("line").over(Window.partitionBy("key"))
     pairs = stage(keyed.withColumn("a", hub).filter("a <> line").select("a", F.col("line").alias("b")).distinct(), "line-pairs")
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct()
-    wanted = lines.join(needed, "line").groupBy("line").agg(F.min(F.struct("uid", "pos")).alias("at")).select("at.*", "line")
-    texts = stage(_texts_of(wanted, docs), "line-texts")
+    texts = stage(_texts_of(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), docs), "line-texts")
     both = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("a_text")), "a").join(texts.select(F.col("line").alias("b"), F.col("text").alias("b_text")), "b")
-    return components(_similar(both, similarity), "lines").select(F.col("node").alias("line"), "root")
+    roots = components(_similar(both, similarity), "lines").select(F.col("node").alias("line"), "root")
+    discard(pairs, texts)
+    return roots
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -159,9 +165,11 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
     rest = [c for c in docs.columns if c not in ("n_lines", "n_dropped")]
     uid = F.xxhash64(F.col(id_col), F.col(text_col))
     keyed = docs.select(uid.alias("uid"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    lines = stage(_lines_of(keyed), "lines")
-    roots = similar_lines(lines, keyed, similarity)
-    places = lines.select("uid", "doc_id", "pos", "line").join(roots, "line", "left").select("uid", F.struct("doc_id", "uid", "pos").alias("at"), "pos", F.coalesce("root", "line").alias("root"))
+    found = stage(_lines_of(keyed), "keyed-lines")
+    lines = stage(found.drop("keys"), "lines")
+    roots = similar_lines(found, keyed, similarity)
+    discard(found)
+    places = lines.join(roots, "line", "left").select("uid", F.struct("doc_id", "uid", "pos").alias("at"), "pos", F.coalesce("root", "line").alias("root"))
     firsts = places.groupBy("root").agg(F.min("at").alias("first"), F.count("*").alias("n")).filter("n > 1").select("root", "first")
     dropped = places.join(firsts, "root").filter(~F.col("at").eqNullSafe(F.col("first"))).groupBy("uid").agg(F.collect_set("pos").alias("dropped"))
     inner = [F.col(c).alias(f"c{i}") for i, c in enumerate(rest)]
