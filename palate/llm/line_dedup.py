@@ -3,7 +3,9 @@
 Lines are compared by their character shingles. A signature is the least hash in each of 60
 bins of the shingles' hashes (one pass over a line, empty bins borrow from the next full one); 12
 bands of 5 find 99 % of the pairs at the threshold and more above it. In each band's bucket every line is
-checked against the bucket's first line, so work follows the number of lines, not of pairs. Checked
+checked against the bucket's first line, which connects most of what belongs together. Where a bucket's other lines
+are not all connected by that, they are compared with each other, in blocks of bounded size; pairs that are
+connected already are not looked at again. Checked
 pairs are the edges of a graph; of each component the first line in the corpus stays.
 """
 
@@ -23,6 +25,9 @@ from palate.operators.staging import discard
 SHINGLE = 5
 BANDS, ROWS = 12, 5
 SIMILARITY = 0.8
+#: Lines of a bucket, and bytes of their shingles, that meet as many others in one task.
+BLOCK_LINES = 4096
+BLOCK_BYTES = 8 << 20
 EMPTY = np.uint64(2**64 - 1)
 #: Odd factors of a shingle's characters.
 FACTORS = [np.uint64(f | 1) for f in mix(np.arange(1, SHINGLE + 1, dtype=np.uint64)).tolist()]
@@ -143,16 +148,91 @@ def _similar(pairs: DataFrame, similarity: float) -> DataFrame:
     return pairs.select("a", "b", "a_text", "b_text").mapInArrow(check, "a long, b long")
 
 
+def block_links(sets: list[np.ndarray], side: np.ndarray, component: np.ndarray, similarity: float) -> list[tuple[int, int]]:
+    """A forest of links among sets of different components: every link of two sets is implied by it and by the
+    components. If there are two sides, only sets of different sides are compared.
+
+    The members of a set that are in the fewest others come first; sets that link share one of the first ones, as
+    at least that share of the larger set is in both."""
+    sizes = np.array([len(s) for s in sets])
+    _, member, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    owner = np.repeat(np.arange(len(sets)), sizes)
+    order = np.lexsort([member, held[member], owner])
+    member = member[order]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    firsts = sizes - np.ceil(similarity * sizes - 1e-9).astype(np.int64) + 1
+    listed = np.flatnonzero((np.arange(len(member)) - ends[owner] < firsts[owner]) & (held[member] > 1))
+    listed = listed[np.argsort(member[listed], kind="stable")]
+    holders, starts = owner[listed], np.searchsorted(member[listed], np.arange(len(held) + 1))
+    component = component.copy()
+    two = bool((side != side[0]).any())
+    links: list[tuple[int, int]] = []
+    for i in range(len(sets)):
+        own = member[ends[i] : ends[i] + firsts[i]]
+        other = np.concatenate([holders[starts[m] : starts[m + 1]] for m in own])
+        other = other[(other > i) & (component[other] != component[i])]
+        if two:
+            other = other[side[other] != side[i]]
+        other = np.unique(other)
+        other = other[np.minimum(sizes[other], sizes[i]) >= similarity * np.maximum(sizes[other], sizes[i])]
+        while len(other):
+            _, first = np.unique(component[other], return_index=True)
+            tried = np.zeros(len(other), bool)
+            tried[first] = True
+            tried[:16] = True
+            now = other[tried]
+            same = np.add.reduceat(np.isin(np.concatenate([sets[j] for j in now]), sets[i]), np.concatenate([[0], np.cumsum(sizes[now])[:-1]]), dtype=np.int64)
+            for j in now[same >= similarity * (sizes[i] + sizes[now] - same)].tolist():
+                if component[j] != component[i]:
+                    links.append((i, j))
+                    component[component == component[j]] = component[i]
+            other = other[~tried]
+            other = other[component[other] != component[i]]
+    return links
+
+
+def _rest_links(entries: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Edges (a, b) between components (line, root) whose lines are similar and share a bucket, from the lines
+    (key, line) of each bucket that are not its first."""
+    box = Window.partitionBy("key")
+    size = (F.length("text") * 8).cast("long").alias("size")
+    known = entries.select("key", "line").join(roots, "line", "left").withColumn("root", F.coalesce("root", "line"))
+    open_ = known.withColumn("least", F.min("root").over(box)).withColumn("most", F.max("root").over(box)).filter("least <> most").select("key", "line", "root")
+    sized = open_.join(texts.select("line", size), "line")
+    # bands whose buckets hold the same lines are one
+    sized = sized.withColumn("n", F.count("*").over(box)).withColumn("bytes", F.sum("size").over(box)).withColumn("bucket", F.xxhash64("n", F.bit_xor("line").over(box), F.bit_xor(F.xxhash64("line")).over(box)))
+    blocks = F.ceil(F.greatest(F.col("n") / BLOCK_LINES, F.col("bytes") / BLOCK_BYTES)).cast("int")
+    rest = stage(sized.select("bucket", "line", "root", blocks.alias("blocks")).distinct(), "line-rests")
+    block = F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int")
+    meet = rest.withColumn("block", block).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    dealt = meet.select("bucket", "line", "root", "block", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
+
+    def compare(table: pa.Table) -> pa.Table:
+        names, roots, side = (np.asarray(table.column(c)) for c in ("line", "root", "block"))
+        order = np.argsort(names)
+        ends, hashes = shingles(table.column("text").combine_chunks().cast(pa.large_string()).take(pa.array(order)))
+        sets = [np.unique(hashes[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+        roots = roots[order]
+        found = np.array(block_links(sets, side[order], np.unique(roots, return_inverse=True)[1], similarity), np.int64).reshape(-1, 2)
+        return pa.table([pa.array(roots[found[:, 0]]), pa.array(roots[found[:, 1]])], ["a", "b"])
+
+    return dealt.join(texts, "line").groupBy("bucket", "low", "high").applyInArrow(compare, "a long, b long")
+
+
 def similar_lines(lines: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
-    """(line, root) of the lines that are similar to another: components of the checked pairs."""
+    """(line, root) of the lines that are similar to another: components of all pairs that share a bucket."""
     keyed = lines.filter("keys is not null").select(F.explode("keys").alias("key"), "line")
     hub = F.min("line").over(Window.partitionBy("key"))
-    pairs = stage(keyed.withColumn("a", hub).filter("a <> line").select("a", F.col("line").alias("b")).distinct(), "line-pairs")
+    entries = stage(keyed.withColumn("a", hub).filter("a <> line").select("key", "a", "line").distinct(), "line-buckets")
+    pairs = stage(entries.select("a", F.col("line").alias("b")).distinct(), "line-pairs")
     texts = stage(_texts_of(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), docs), "line-texts")
     both = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("a_text")), "a").join(texts.select(F.col("line").alias("b"), F.col("text").alias("b_text")), "b")
-    roots = components(_similar(both, similarity), "lines").select(F.col("node").alias("line"), "root")
-    discard(pairs, texts)
-    return roots
+    near = components(_similar(both, similarity), "lines").select(F.col("node").alias("line"), "root")
+    discard(pairs)
+    more = components(_rest_links(entries, near, texts, similarity), "line-rests")
+    discard(entries, texts)
+    moved = near.join(more.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
+    return moved.select("line", F.coalesce("top", "root").alias("root")).unionByName(more.select(F.col("node").alias("line"), "root"))
 
 
 def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -181,6 +181,48 @@ def test_line_dedup_equals_brute_force(spark):
     assert set(got) == set(want) and sum(got[i] != want[i] for i in want) <= 2
 
 
+def linked_in_buckets(lines: list[str], similarity: float = 0.8) -> int:
+    """How many components the lines have when all pairs of each bucket are compared."""
+    sets = [frozenset(x[i : i + 5] for i in range(max(1, len(x) - 4))) for x in lines]
+    union, buckets = Union(range(len(lines))), {}
+    for i, keys in enumerate(line_dedup.band_keys(pa.array(lines, pa.large_string())).tolist()):
+        for key in keys:
+            buckets.setdefault(key, []).append(i)
+    for own in buckets.values():
+        for k, i in enumerate(own):
+            for j in own[:k]:
+                both = len(sets[i] & sets[j])
+                if both >= similarity * (len(sets[i]) + len(sets[j]) - both):
+                    union.join(i, j)
+    return len({union.find(i) for i in range(len(lines))})
+
+
+def template_lines() -> list[str]:
+    """Variants of templates, and short lines, whose buckets hold lines that are not like the first one."""
+    own = random.Random(12)
+    words = [f"{a}{b}{c}{d}" for a in "bdkl" for b in "aeiou" for c in "nrst" for d in "aeiou"]
+    lines = set()
+    for _ in range(6):
+        base = own.choices(words, k=14)
+        for _ in range(80):
+            line = list(base)
+            line[own.randrange(14)] = own.choice(words)
+            line[own.randrange(14)] = own.choice(words)
+            lines.add(" ".join(line))
+    for k in range(300):
+        lines.add(f"page {k} of {own.randrange(300)}")
+    return sorted(lines)
+
+
+@pytest.mark.parametrize("block", [4096, 16])
+def test_line_dedup_compares_all_lines_of_a_bucket(spark, monkeypatch, block):
+    monkeypatch.setattr(line_dedup, "BLOCK_LINES", block, raising=False)
+    lines = template_lines()
+    table = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string")
+    kept = sum(r.n_lines - r.n_dropped for r in line_dedup.dedup_lines(table).collect())
+    assert kept == linked_in_buckets(lines)
+
+
 def test_line_dedup_query(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{TINY}/documents.parquet").select("doc_id", "text").collect()]
     got = {r.doc_id: r.text for r in queries.op7_minhash_lines(spark, TINY).collect()}
