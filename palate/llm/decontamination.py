@@ -1,10 +1,11 @@
-"""Benchmark decontamination: rare n-grams name passages, local alignment scores them.
+"""Benchmark decontamination: shared n-grams name passages, local alignment scores them.
 
-The word n-grams of the test items are counted in all documents. An item's seeds are those few
-documents hold, and always the rarer half of its own. A document's words around the seeds that it shares with an item are
+Every word n-gram of a test item is a seed, however many documents hold it, so a copy is found whichever of
+the item's n-grams it keeps. A document's words around the seeds that it shares with an item are
 a passage; a passage is aligned with the item word by word (Smith-Waterman), so that changed,
 missing and added words lower the score instead of ending the match. The score is a share of what a
-whole copy of the item would get.
+whole copy of the item would get. It is at most the share of the item's words that the passage has, so passages
+with too few of them, as those around common n-grams mostly are, need no alignment.
 
 Test items are a stated query set: they go through the documents in blocks of a fixed number of n-grams.
 """
@@ -22,12 +23,12 @@ from pyspark.sql import functions as F
 from palate.llm.common import MIX_A, KeyTable, batches, encode_lists, hash_strings, mix, stage, strings
 
 GRAM = 3
-#: Seeds may be in this share of the documents.
-RARE_SHARE = 1e-4
 THRESHOLD = 0.5
 MATCH, MISMATCH, GAP = 2, -1, -1
 #: N-grams of test items that go through the documents at once.
 BLOCK_GRAMS = 1 << 18
+#: Seeds found in documents, and words of passages, that are looked at together.
+HITS = 1 << 20
 
 
 def words_of(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -69,30 +70,6 @@ def item_grams(benchmark: DataFrame, size: int, id_col: str, text_col: str) -> D
     return rows.mapInArrow(cut, "item_id long, place long, gram long, size int, words binary")
 
 
-def _seen_grams(docs: DataFrame, wanted: dict[int, KeyTable]) -> DataFrame:
-    """(gram, df): in how many rows of docs each wanted n-gram is, by batch."""
-    shared = docs.sparkSession.sparkContext.broadcast(wanted)
-
-    def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total: dict[int, int] = {}
-        for part in batches(parts, 2048, 8 << 20):
-            offsets, words = words_of(strings(part.column(0)))
-            for size, table in shared.value.items():
-                text, _, gram = grams(offsets, words, size)
-                at = table.find(gram)
-                text, gram = text[at >= 0], gram[at >= 0]
-                order = np.lexsort([text, gram])
-                text, gram = text[order], gram[order]
-                new = np.ones(len(text), bool)
-                new[1:] = (text[1:] != text[:-1]) | (gram[1:] != gram[:-1])
-                for g, n in zip(*np.unique(gram[new], return_counts=True), strict=True):
-                    total[int(g)] = total.get(int(g), 0) + int(n)
-        if total:
-            yield pa.RecordBatch.from_arrays([pa.array(np.array(list(total), np.uint64).view(np.int64)), pa.array(list(total.values()), pa.int64())], ["gram", "df"])
-
-    return docs.select("text").mapInArrow(count, "gram long, df long")
-
-
 def align(items: list[np.ndarray], passages: list[np.ndarray]) -> np.ndarray:
     """The best local alignment's score of each pair, as a share of the item's own."""
     out = np.zeros(len(items))
@@ -121,86 +98,109 @@ def align(items: list[np.ndarray], passages: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def passages(length: int, at: np.ndarray, place: np.ndarray, item_length: int) -> list[tuple[int, int]]:
-    """Ranges of a document's words to align with an item, from the seeds they share: where the item would lie, with
-    room for added words; ranges that overlap are one."""
+def passages(pair: np.ndarray, at: np.ndarray, place: np.ndarray, length: np.ndarray, item_length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(seed, start, end) of the ranges of documents' words to align with an item, from the seeds each pair of a document
+    and an item shares: where the item would lie, with room for added words; ranges that overlap are one, named by its
+    first seed."""
     room = item_length // 3 + 3
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(zip((at - place - room).tolist(), (at - place + item_length + room).tolist(), strict=True)):
-        a, b = max(a, 0), min(b, length)
-        if out and a <= out[-1][1]:
-            out[-1] = out[-1][0], max(out[-1][1], b)
-        else:
-            out.append((a, b))
+    start = at - place - room
+    order = np.lexsort([start, pair])
+    start, end = np.maximum(start, 0)[order], np.minimum(at - place + item_length + room, length)[order]
+    pair = pair[order]
+    firsts = np.flatnonzero(np.append(True, (pair[1:] != pair[:-1]) | (start[1:] > end[:-1])))
+    return order[firsts], start[firsts], end[np.append(firsts[1:], len(order)) - 1]
+
+
+def item_words(items: list[np.ndarray]) -> tuple[KeyTable, np.ndarray]:
+    """The distinct words of each item as keys of a table, and how often the item has each."""
+    owner = np.repeat(np.arange(len(items)), [len(i) for i in items])
+    keys, counts = np.unique(word_keys(np.concatenate(items), owner), return_counts=True)
+    return KeyTable(keys), counts
+
+
+def word_keys(words: np.ndarray, item: np.ndarray) -> np.ndarray:
+    return mix(words * MIX_A + mix(item.astype(np.uint64) + np.uint64(1)))
+
+
+def common_words(table: KeyTable, counts: np.ndarray, words: np.ndarray, start: np.ndarray, end: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """How many words of its item each range of words has, repeats as often as in both."""
+    out = np.zeros(len(start), np.int64)
+    ends = np.cumsum(end - start)
+    a = 0
+    while a < len(start):
+        from_ = ends[a - 1] if a else 0
+        b = max(a + 1, int(np.searchsorted(ends, from_ + HITS, "right")))
+        n = end[a:b] - start[a:b]
+        at = np.repeat(start[a:b] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        found = table.find(word_keys(words[at], np.repeat(item[a:b], n)))
+        own = np.repeat(np.arange(b - a), n)[found >= 0] * len(counts) + found[found >= 0]
+        own, times = np.unique(own, return_counts=True)
+        out[a:b] = np.bincount(own // len(counts), np.minimum(times, counts[own % len(counts)]), b - a)
+        a = b
     return out
 
 
 def _scores(docs: DataFrame, seeds: list[tuple[int, int, int, int]], items: dict[int, np.ndarray], keep: float) -> DataFrame:
     """(uid, item_id, score) of the pairs that score keep or more, for seeds (gram, size, item, place)."""
+    names = np.array(sorted(items), np.int64)
+    lists = [items[i] for i in names.tolist()]
     by_size = {}
     for size in {s[1] for s in seeds}:
         own = sorted(s for s in seeds if s[1] == size)
         gram = np.array([s[0] for s in own], np.int64).view(np.uint64)
         first = np.append(True, gram[1:] != gram[:-1])
-        by_size[size] = KeyTable(gram[first]), np.append(np.flatnonzero(first), len(own)), np.array([s[2] for s in own]), np.array([s[3] for s in own])
-    shared = docs.sparkSession.sparkContext.broadcast((by_size, items))
+        by_size[size] = KeyTable(gram[first]), np.append(np.flatnonzero(first), len(own)), np.searchsorted(names, [s[2] for s in own]), np.array([s[3] for s in own])
+    shared = docs.sparkSession.sparkContext.broadcast((by_size, names, lists, item_words(lists) if lists else None))
+
+    def scored(uids: pa.Array, offsets: np.ndarray, words: np.ndarray) -> Iterator[pa.RecordBatch]:
+        by_size, names, lists, known = shared.value
+        found, total = [], 0
+        for size, (table, firsts, _, _) in by_size.items():
+            text, at, gram = grams(offsets, words, size)
+            seed = table.find(gram)
+            text, at, seed = text[seed >= 0], at[seed >= 0], seed[seed >= 0]
+            n = firsts[seed + 1] - firsts[seed]
+            total += int(n.sum())
+            found.append((size, text, at, seed, n))
+        if not total:
+            return
+        half = len(uids) // 2
+        if total > HITS and half:
+            middle = offsets[half]
+            yield from scored(uids.slice(0, half), offsets[: half + 1], words[:middle])
+            yield from scored(uids.slice(half), offsets[half:] - middle, words[middle:])
+            return
+        hits = []
+        for size, text, at, seed, n in found:
+            _, firsts, owner, places = by_size[size]
+            seed = np.repeat(firsts[seed] - (np.cumsum(n) - n), n) + np.arange(n.sum())
+            hits.append(np.stack([np.repeat(text, n), owner[seed], np.repeat(at, n), places[seed]]))
+        text, item, at, place = np.concatenate(hits, axis=1)
+        sizes = np.array([len(x) for x in lists])
+        seed, start, end = passages(text * len(lists) + item, at, place, np.diff(offsets)[text], sizes[item])
+        text, item = text[seed], item[seed]
+        start, end = offsets[text] + start, offsets[text] + end
+        likely = common_words(*known, words, start, end, item) >= keep * sizes[item] - 1e-9
+        text, item, start, end = text[likely], item[likely], start[likely], end[likely]
+        score = align([lists[i] for i in item.tolist()], [words[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)])
+        good = np.flatnonzero(score >= keep)
+        yield pa.RecordBatch.from_arrays([uids.take(pa.array(text[good])), pa.array(names[item[good]]), pa.array(score[good])], ["uid", "item", "score"])
 
     def search(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        by_size, items = shared.value
         for part in batches(parts, 2048, 8 << 20):
-            offsets, words = words_of(strings(part.column(1)))
-            hits = []
-            for size, (table, firsts, owner, places) in by_size.items():
-                text, at, gram = grams(offsets, words, size)
-                found = table.find(gram)
-                text, at, found = text[found >= 0], at[found >= 0], found[found >= 0]
-                n = firsts[found + 1] - firsts[found]
-                seed = np.repeat(firsts[found] - (np.cumsum(n) - n), n) + np.arange(n.sum())
-                hits.append(np.stack([np.repeat(text, n), owner[seed], np.repeat(at, n), places[seed]]))
-            text, item, at, place = np.concatenate(hits, axis=1)
-            order = np.lexsort([at, item, text])
-            text, item, at, place = text[order], item[order], at[order], place[order]
-            if not len(text):
-                continue
-            edges = np.flatnonzero(np.append(True, (text[1:] != text[:-1]) | (item[1:] != item[:-1])))
-            pairs = []
-            for a, b in zip(edges, [*edges[1:], len(text)], strict=True):
-                own = items[int(item[a])]
-                doc = words[offsets[text[a]] : offsets[text[a] + 1]]
-                pairs += [(int(text[a]), int(item[a]), own, doc[x:y]) for x, y in passages(len(doc), at[a:b], place[a:b], len(own))]
-            score = align([p[2] for p in pairs], [p[3] for p in pairs])
-            good = np.flatnonzero(score >= keep)
-            uid = part.column(0).take(pa.array([pairs[i][0] for i in good], pa.int64()))
-            yield pa.RecordBatch.from_arrays([uid, pa.array([pairs[i][1] for i in good], pa.int64()), pa.array(score[good])], ["uid", "item", "score"])
+            yield from scored(part.column(0), *words_of(strings(part.column(1))))
 
     return docs.select("uid", "text").mapInArrow(search, "uid long, item long, score double")
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, rare_share: float = RARE_SHARE, gram: int = GRAM, item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
+def matches(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, gram: int = GRAM, item_id_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """(uid, item_id, score) of every pair of a row of docs (uid, text) and a test item with an
-    alignment of threshold or more and a shared seed. Items of one id and several texts count each."""
-    spark = docs.sparkSession
-    every = stage(item_grams(benchmark, gram, item_id_col, item_text_col).withColumn("item", F.xxhash64("item_id", "words")), "item-grams")
-    distinct = every.groupBy("gram").agg(F.first("size").alias("size"))
-    n_docs = docs.count()
-    blocks = max(1, -(-distinct.count() // BLOCK_GRAMS))
-    counts = None
-    for k in range(blocks):
-        wanted = distinct.filter(F.pmod(F.xxhash64("gram"), F.lit(blocks)) == k).toArrow().to_pandas()  # about BLOCK_GRAMS rows
-        tables = {int(s): KeyTable(g["gram"].to_numpy(np.int64).view(np.uint64)) for s, g in wanted.groupby("size")}
-        seen = _seen_grams(docs, tables)
-        counts = seen if counts is None else counts.unionByName(seen)
-    counts = counts.groupBy("gram").agg(F.sum("df").alias("df"))
-    known = every.join(counts, "gram", "left").fillna(0, ["df"])
-    middle = known.groupBy("item").agg(F.expr("percentile_disc(0.5) within group (order by df)").alias("middle"))
-    seeds = known.join(middle, "item").filter((F.col("df") > 0) & ((F.col("df") <= F.col("middle")) | (F.col("df") <= F.lit(rare_share * n_docs))))
-    # an item whose rarer half is in no document may still be there in part
-    lost = known.filter("df > 0").join(seeds.select("item").distinct(), "item", "left_anti")
-    seeds = stage(seeds.select("gram", "size", "item", "place", "words", "item_id").unionByName(lost.select("gram", "size", "item", "place", "words", "item_id")), "seeds")
+    alignment of threshold or more and a shared n-gram. Items of one id and several texts count each."""
+    seeds = stage(item_grams(benchmark, gram, item_id_col, item_text_col).withColumn("item", F.xxhash64("item_id", "words")), "item-grams")
     blocks = max(1, -(-seeds.count() // BLOCK_GRAMS))
     found = None
     for k in range(blocks):
-        own = seeds.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k).select("gram", "size", "item", "place", "words").toArrow().to_pandas()
+        own = seeds.filter(F.pmod(F.xxhash64("item"), F.lit(blocks)) == k).select("gram", "size", "item", "place", "words").toArrow().to_pandas()  # about BLOCK_GRAMS rows
         items = {int(i): np.frombuffer(w, np.uint64) for i, w in zip(own["item"], own["words"], strict=True)}
         rows = list(zip(own["gram"].tolist(), own["size"].tolist(), own["item"].tolist(), own["place"].tolist(), strict=True))
         scored = _scores(docs, rows, items, threshold)

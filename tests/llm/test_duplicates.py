@@ -266,6 +266,24 @@ def test_decontamination_finds_copies_and_leaves_others(spark):
     assert decontamination.contaminated(docs.limit(0), bench).collect() == []
 
 
+def test_decontamination_finds_many_copies_of_a_part(spark, monkeypatch):
+    """Edited copies that share only those n-grams of the item that most documents hold."""
+    own = random.Random(14)
+    words = ITEM.split()
+    edited_ = lambda: " ".join(w if k % 5 else f"n{own.randrange(10**9)}" for k, w in enumerate(words))
+    noise = lambda n: " ".join(own.choices([f"v{i}" for i in range(300)] + words, k=n))
+    rows = [(0, ITEM)] + [(1 + i, f"{noise(20)} {edited_()} {noise(20)}") for i in range(40)]
+    rows += [(100 + i, f"{noise(40)} {' '.join(words[1:5])} {noise(40)}") for i in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    bench = spark.createDataFrame([(7, ITEM), (8, "an item no document has")], "item_id long, text string")
+    want = sorted(i for i, _ in rows if i < 100)
+    got = sorted(map(tuple, decontamination.contaminated(docs, bench).collect()))
+    assert [r[0] for r in got if r[1]] == want
+    assert sorted(r.doc_id for r in decontamination.decontaminate(docs, bench).collect()) == [100 + i for i in range(40)]
+    monkeypatch.setattr(decontamination, "HITS", 50, raising=False)
+    assert sorted(map(tuple, decontamination.contaminated(docs, bench).collect())) == got
+
+
 def test_blocks_of_test_items_give_the_same(spark, monkeypatch):
     want = sorted(map(tuple, queries.op8_rare_seeds(spark, TINY).collect()))
     monkeypatch.setattr(decontamination, "BLOCK_GRAMS", 400)
