@@ -22,7 +22,8 @@ from palate.llm.common import batches, stage, strings
 WINDOW = 4096
 END = 2
 SHARD_TOKENS = 1 << 21
-QUERY_TERMS = 32
+#: Entries of the index that are added up at once.
+ENTRIES = 1 << 20
 K1, B = 1.2, 0.75
 PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id long, offset long, ids binary"
 
@@ -74,16 +75,16 @@ def _spread_terms(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(total[terms])], ["term", "df"])
 
 
-def fill_windows(lists: list[np.ndarray], idf: np.ndarray, mean: float, window: int, query_terms: int = QUERY_TERMS) -> Iterator[list[tuple[int, int, int]]]:
-    """Windows as lists of (piece, first, end) over pieces shorter than a window, in their order."""
-    terms, docs, weights, queries = [], [], [], []
+def fill_windows(lists: list[np.ndarray], idf: np.ndarray, mean: float, window: int) -> Iterator[list[tuple[int, int, int]]]:
+    """Windows as lists of (piece, first, end) over pieces shorter than a window, in their order. A seed
+    asks with all its terms."""
+    terms, docs, weights = [], [], []
     for i, ids in enumerate(lists):
         own, tf = np.unique(ids, return_counts=True)
         value = idf[own] * tf * (K1 + 1) / (tf + K1 * (1 - B + B * len(ids) / mean))
         terms.append(own)
         docs.append(np.full(len(own), i, np.int32))
         weights.append(value.astype(np.float32))
-        queries.append(own[np.argsort(-value, kind="stable")[:query_terms]])
     if not lists:
         return
     term, doc, weight = np.concatenate(terms), np.concatenate(docs), np.concatenate(weights)
@@ -114,12 +115,13 @@ def fill_windows(lists: list[np.ndarray], idf: np.ndarray, mean: float, window:
         seed = carry[0]
         carry = add(*carry)
         if room and carry is None:
-            spans = [slice(firsts[t], firsts[t + 1]) for t in queries[seed]]
-            near, value = np.concatenate([doc[s] for s in spans]), np.concatenate([weight[s] for s in spans])
-            free = unused[near]
-            near, where = np.unique(near[free], return_inverse=True)
-            score = np.bincount(where, value[free], len(near))
-            for i in near[np.argsort(-score, kind="stable")].tolist():
+            score, asked = np.zeros(len(lists)), terms[seed]
+            steps = np.cumsum(firsts[asked + 1] - firsts[asked]) // ENTRIES
+            for own in np.split(asked, np.flatnonzero(np.diff(steps)) + 1):
+                spans = [slice(firsts[t], firsts[t + 1]) for t in own]
+                score += np.bincount(np.concatenate([doc[s] for s in spans]), np.concatenate([weight[s] for s in spans]), len(lists))
+            near = np.flatnonzero(unused & (score > 0))
+            for i in near[np.argsort(-score[near], kind="stable")].tolist():
                 unused[i] = False
                 carry = add(i, 0)
                 if not room:

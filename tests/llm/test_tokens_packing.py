@@ -109,6 +109,18 @@ def test_neighbours_come_from_the_index():
     assert sorted(p for w in windows for p in w) == [(i, 0, len(x)) for i, x in enumerate(lists)]
 
 
+def test_a_seed_asks_with_all_its_terms(monkeypatch):
+    """The best neighbour shares only terms that are not among the seed's heaviest."""
+    idf = np.append(np.full(50, 4.0), np.full(50, 1.0))
+    seed, near, far = np.arange(80), np.arange(50, 80), np.append(np.arange(3), np.full(27, 99))
+    lists = [x.astype(np.uint32) for x in (seed, far, near)]
+    score = [sum(idf[t] for t in set(x.tolist()) & set(seed.tolist())) for x in (near, far)]
+    assert score[0] > score[1]
+    for entries in (1 << 20, 1):
+        monkeypatch.setattr(packing, "ENTRIES", entries, raising=False)
+        assert [[p[0] for p in w] for w in packing.fill_windows(lists, idf, 40, 140)] == [[0, 2, 1]]
+
+
 def test_last_neighbour_is_cut_and_seeds_the_next_window():
     lists = [np.full(3, 5, np.uint32), np.full(3, 5, np.uint32)]
     windows = list(packing.fill_windows(lists, np.ones(6), 3, 4))
