@@ -33,13 +33,16 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near duplicates: that with the least id. Rows without an id get
-    one from their text, a negative one, for this stage."""
+    """One document of each group of near duplicates: that with the least id. Rows of one id with different texts are
+    different documents, rows of one id and text are one. Rows without an id get one from their text, a negative one,
+    for this stage."""
     _begin(spark, docs)
-    key = F.coalesce("doc_id", -F.shiftrightunsigned(F.xxhash64("text"), 1) - 1)
-    keyed = docs.select(*COLUMNS, key.alias("key"))
+    order = F.coalesce("doc_id", -F.shiftrightunsigned(F.xxhash64("text"), 1) - 1)
+    keyed = docs.select(*COLUMNS, F.xxhash64("doc_id", "text").alias("key"))
     found = jaccard_join.near_duplicates(keyed, words=5, similarity=(80, 100), id_col="key")
-    kept = stage(found.filter("doc_id = component_id").select(F.col("doc_id").alias("key")).distinct(), "kept-documents")
+    groups = found.select(F.col("doc_id").alias("key"), "component_id").distinct()
+    firsts = keyed.select("key", order.alias("order")).join(groups, "key").groupBy("component_id").agg(F.min(F.struct("order", "key")).alias("first"))
+    kept = stage(firsts.select("first.key"), "kept-documents")
     return keyed.join(kept, "key", "left_semi").dropDuplicates(["key"]).select(*COLUMNS)
 
 

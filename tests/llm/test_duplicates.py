@@ -338,6 +338,14 @@ def test_pipeline_stages_by_hand(spark):
     assert sorted(map(tuple, whole)) == sorted(map(tuple, packed))
 
 
+def test_pipeline_keeps_texts_that_share_an_id(spark):
+    clean, near = "one text of its own words that nothing else in this table holds", " ".join(f"w{i}" for i in range(60))
+    rows = [(1, clean), (1, near), (1, "an other text under the same id which is not like the first"), (2, near + " end"), (4, near), (4, near)]
+    docs = spark.createDataFrame([(i, t, "en", "a", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.near_duplicates(spark, docs, TINY).collect()
+    assert sorted((r.doc_id, r.text) for r in got) == sorted(rows[:3])
+
+
 def test_pipeline_of_odd_rows(spark, odd_docs, no_docs):
     docs = odd_docs
     for _, function in corpus_pipeline.STAGES:
