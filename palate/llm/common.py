@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 import os
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from palate.operators.staging import discard, staging_path
@@ -47,6 +47,25 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_order(df: DataFrame, group: str, order: Sequence[Column], label: str) -> DataFrame:
+    """df sorted by group (null first) and order, staged, with `at`, a number that rises along the sort and
+    counts without gaps inside each range of it (at >> 33). A large group spreads over many ranges; end order
+    with something that makes rows distinct, or equal rows share one range."""
+    return stage(df.orderBy(F.asc_nulls_first(group), *order).withColumn("at", F.monotonically_increasing_id()), label)
+
+
+def group_places(placed: DataFrame, group: str) -> DataFrame:
+    """The rows of `in_order` with their 0-based `place` in their group (null is a group), the group's size `n`
+    and its `base`, the `at` of its first row. Counts meet per range and group, so no task sees a whole group."""
+    part = F.shiftright("at", 33)
+    runs = placed.groupBy(part.alias("_run"), F.col(group).alias("_group")).agg(F.count("*").alias("_rows"), F.min("at").alias("_first"))
+    whole = Window.partitionBy("_group")
+    before = whole.orderBy("_run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = runs.select("_run", "_group", "_first", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_before"), F.sum("_rows").over(whole).alias("n"), F.min("_first").over(whole).alias("base"))
+    met = placed.join(runs, (part == F.col("_run")) & F.col(group).eqNullSafe(F.col("_group")))
+    return met.select(*placed.columns, (F.col("_before") + F.col("at") - F.col("_first")).alias("place"), "n", "base")
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit words that spreads every input bit."""
     x = x ^ (x >> np.uint64(32))

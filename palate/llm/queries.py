@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from palate.llm import decontamination, html_text, jaccard_join, langid, line_dedup, packing, sharding, token_counts, vafile, warc
+from palate.llm import decontamination, html_text, jaccard_join, langid, line_dedup, merkle, packing, sharding, sql, token_counts, vafile, warc
 from palate.llm.common import package_path, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,14 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op13_nested_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the documents (by a checksum of their id) have lost their line breaks since the manifest was made."""
+    lost = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
+    made = merkle.with_proofs(_read(spark, sf_dir, "documents"), F.coalesce(lost, F.lit(False)), F.replace("text", F.lit("\n"), F.lit("")))
+    verified = (F.col("folded_root") == F.col("root")).alias("verified")
+    return made.select("doc_id", "leaf", "subroot", "root", merkle.proof_digest("path").alias("proof_sha256"), "folded_root", verified)
+
+
 QUERIES: dict[str, Query] = {
     "op1_bm25_packing": op1_bm25_packing,
     "op2_piece_counts": op2_piece_counts,
@@ -77,10 +85,12 @@ QUERIES: dict[str, Query] = {
     "op8_rare_seeds": op8_rare_seeds,
     "op9_piece_unigrams": op9_piece_unigrams,
     "op10_warc": op10_warc,
+    "op13_nested_intervals": op13_nested_intervals,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
+    "op13_nested_intervals": sql.MERKLE,
     "op3_va_file": """
         WITH u AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v
                    FROM embeddings
