@@ -17,6 +17,8 @@ from palate.llm.common import group_places, in_order, stage
 
 FIELDS = ("doc_id", "source", "lang", "n_chars", "text")
 FANOUT = 3
+#: Levels that one plan goes down; the paths found so far are staged between.
+LEVELS_A_PLAN = 3
 _PATH = "cast(array() as array<struct<before:string,after:string>>)"
 
 
@@ -58,11 +60,12 @@ def _paths(leaves: DataFrame, levels: list[DataFrame], tops: DataFrame, fanout:
     for k in range(len(levels), -1, -1):
         width, nodes = fanout**k, (levels[k - 1] if k else leaves)
         last = F.col("n") <= width if not k else (F.col("n") <= width) & (F.col("n") > width // fanout)
-        done = nodes.filter(last).join(tops, "base").withColumn("top", F.col("digest"))
+        done = nodes.filter(last).join(tops.hint("merge"), "base").withColumn("top", F.col("digest"))
         if found is not None:
             bucket = F.expr(f"lo div {width * fanout}L")
             parents = found.select("base", bucket.alias("bucket"), F.col("lo").alias("from"), F.col("hi").alias("to"), F.col("children").alias("run"), "path", "top", *carried)
-            inner = nodes.filter(F.col("n") > width).withColumn("bucket", bucket).join(parents, ["base", "bucket"])
+            # Never broadcast: few rows, but their paths are long once they are unpacked.
+            inner = nodes.filter(F.col("n") > width).withColumn("bucket", bucket).join(parents.hint("merge"), ["base", "bucket"])
             inner = inner.filter((F.col("from") <= F.col("lo")) & (F.col("hi") <= F.col("to")))
 
             def rest(test):
@@ -70,7 +73,7 @@ def _paths(leaves: DataFrame, levels: list[DataFrame], tops: DataFrame, fanout:
 
             step = F.struct(rest(lambda c: c["hi"] <= F.col("lo")).alias("before"), rest(lambda c: c["lo"] >= F.col("hi")).alias("after"))
             done = done.unionByName(inner.withColumn("path", F.concat(F.array(step), "path")).select(done.columns))
-        found = done
+        found = stage(done, "merkle-paths") if k and (len(levels) - k) % LEVELS_A_PLAN == LEVELS_A_PLAN - 1 else done
     return found
 
 
@@ -103,7 +106,7 @@ def manifest(leaves: DataFrame, group: str, order: str, fanout: int = FANOUT) ->
     upper = _levels(tops, fanout, "merkle-upper")
     empty = F.expr(_PATH)
     end = (upper[-1] if upper else tops).filter(F.col("n") <= fanout ** len(upper)).select("base", empty.alias("path"))
-    ways = _paths(tops, upper, end, fanout).select(F.col("group").alias("base"), "path", F.col("top").alias("root"))
+    ways = stage(_paths(tops, upper, end, fanout).select(F.col("group").alias("base"), "path", F.col("top").alias("root")), "merkle-ways")
 
     found = _paths(bottom, levels, ways, fanout)
     return found.select(*leaves.columns, F.col("top").alias("subroot"), "root", "path")

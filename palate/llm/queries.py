@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from palate.llm import decontamination, html_text, jaccard_join, langid, line_dedup, merkle, packing, sharding, sql, token_counts, vafile, warc
+from palate.llm import byte_bpe, conversations, decontamination, html_text, jaccard_join, langid, line_dedup, merkle, packing, sharding, sql, token_counts, vafile, warc
 from palate.llm.common import package_path, tokenizer_file
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,27 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_perfect_hash_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    vocabulary = byte_bpe.Vocabulary.read(tokenizer_file("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    done = byte_bpe.decode(byte_bpe.encode(_read(spark, sf_dir, "documents"), vocabulary), vocabulary)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",").cast("binary")
+    return done.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(listed, 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+def op12_path_ranking(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The damaged conversations, repaired; every conversation is listed, with zeros if no row of it is left."""
+    rows = _read(spark, sf_dir, "conversations")
+    report, repaired = conversations.repair(conversations.damage(rows))
+    found = rows.select("conv_id").distinct()
+    for part in (report, conversations.digests(repaired)):
+        part = part.withColumnRenamed("conv_id", "_conv")
+        found = found.join(part, F.col("conv_id").eqNullSafe(F.col("_conv")), "left").drop("_conv")
+    counts = [F.coalesce(name, F.lit(0)).cast("long").alias(name) for name in ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")]
+    return found.select("conv_id", *counts, F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
+
+
 def op13_nested_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Half of the documents (by a checksum of their id) have lost their line breaks since the manifest was made."""
     lost = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 2 == 0
@@ -85,11 +106,14 @@ QUERIES: dict[str, Query] = {
     "op8_rare_seeds": op8_rare_seeds,
     "op9_piece_unigrams": op9_piece_unigrams,
     "op10_warc": op10_warc,
+    "op11_perfect_hash_bpe": op11_perfect_hash_bpe,
+    "op12_path_ranking": op12_path_ranking,
     "op13_nested_intervals": op13_nested_intervals,
     "pipeline": corpus_pipeline.run,
 }
 
 ORACLE: dict[str, str] = {
+    "op12_path_ranking": sql.CONVERSATIONS,
     "op13_nested_intervals": sql.MERKLE,
     "op3_va_file": """
         WITH u AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 1024) AS BIGINT)) AS v
