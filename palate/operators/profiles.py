@@ -7,15 +7,10 @@ a bound.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-from operator import add
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from palate.functions.numeric import cosine
-from palate.operators.joins import BROADCAST_BYTES, Lookup, lookup_join
 
 #: Dimensions that travel side by side in one row of a blocked vector.
 BLOCK_WIDTH = 8
@@ -31,28 +26,16 @@ def target_vector(scores: DataFrame, target_movie_id: str) -> DataFrame:
     return scores.filter(F.col("movie_id") == target_movie_id).select("tag_id", "relevance")
 
 
-def _likes_with_vectors(ratings: DataFrame, vectors: DataFrame, min_rating: float) -> DataFrame:
-    """Liked movies' vector rows per user, with ``likes``: how often the user liked the movie.
-
-    A (user, movie) may come in several rows whose ``likes`` add up.
-    """
-    likes = liked_items(ratings, min_rating).withColumn("likes", F.lit(1).cast("bigint"))
-    return likes.join(vectors, "movie_id")
-
-
 def user_profiles(ratings: DataFrame, scores: DataFrame, min_rating: float = 4.0) -> DataFrame:
     """Per user and tag, the mean relevance over the movies the user liked.
 
     Output: user_id, tag_id, avg_tag_relevance_per_user.
     """
-    vectors = scores.groupBy("movie_id", "tag_id").agg(
-        F.sum("relevance").alias("_sum"), F.count("relevance").alias("_n")
-    )
-    mean = F.try_divide(F.sum(F.col("_sum") * F.col("likes")), F.sum(F.col("_n") * F.col("likes")))
     return (
-        _likes_with_vectors(ratings, vectors, min_rating)
+        liked_items(ratings, min_rating)
+        .join(scores.select("movie_id", "tag_id", "relevance"), "movie_id")
         .groupBy("user_id", "tag_id")
-        .agg(mean.alias("avg_tag_relevance_per_user"))
+        .agg(F.avg("relevance").alias("avg_tag_relevance_per_user"))
     )
 
 
@@ -70,12 +53,13 @@ def _folded_target(scores: DataFrame, target_movie_id: str) -> DataFrame:
     )
 
 
-def _long_sums(ratings: DataFrame, scores: DataFrame, target: Lookup, min_rating: float):
-    """The cosine sums from one row per user and tag, for a target of any length."""
-    shared = lookup_join(scores, target, ["tag_id"], "left_semi")
+def _long_sums(ratings: DataFrame, scores: DataFrame, target: DataFrame, min_rating: float) -> DataFrame:
+    """The cosine sums from one row per user and tag."""
+    shared = scores.join(target.select("tag_id"), "tag_id", "left_semi")
     score = F.col("avg_tag_relevance_per_user")
     return (
-        lookup_join(user_profiles(ratings, shared, min_rating), target, ["tag_id"])
+        user_profiles(ratings, shared, min_rating)
+        .join(target, "tag_id")
         .groupBy("user_id")
         .agg(
             F.sum(score * F.col("t_sum")).alias("dot_product"),
@@ -85,64 +69,58 @@ def _long_sums(ratings: DataFrame, scores: DataFrame, target: Lookup, min_rating
     )
 
 
-def _sum_present(parts: Sequence[Column]) -> Column:
-    """Sum of the parts that are not NULL; NULL if none is."""
-    total = reduce(add, (F.coalesce(part, F.lit(0.0)) for part in parts))
-    return F.when(F.coalesce(*parts).isNotNull(), total)
+def _each(pattern: str, between: str = ", ") -> str:
+    """The SQL of all slots of a block: ``#`` stands for the slot's number."""
+    return between.join(pattern.replace("#", str(slot)) for slot in range(BLOCK_WIDTH))
+
 
+def _sum_present(part: str) -> str:
+    """SQL of the sum over slots of the parts that are not NULL; NULL if none is."""
+    total = _each(f"coalesce({part}, 0D)", " + ")
+    return f"CASE WHEN coalesce({_each(part)}) IS NOT NULL THEN {total} END"
 
-def _blocked_sums(ratings: DataFrame, scores: DataFrame, target: Lookup, min_rating: float):
+
+def _blocked_sums(ratings: DataFrame, scores: DataFrame, target: DataFrame, min_rating: float) -> DataFrame:
     """The cosine sums from one row per user and block of ``BLOCK_WIDTH`` tags.
 
-    The large join and the shuffle by user carry one row for what is ``BLOCK_WIDTH``
-    rows in long form. Numbering the target's tags sorts them in one task, which their
-    measured size allows.
+    The large join and the shuffle by user carry one row for what is ``BLOCK_WIDTH`` rows in long form. The
+    target's entries are one row, sorted by tag: an entry's place gives its block and slot, and the lookups that
+    come of it are joins whose side adaptive execution measures and broadcasts, within the one plan.
     """
-    slots, slot = range(BLOCK_WIDTH), F.col("_slot")
-    number = F.row_number().over(Window.orderBy("tag_id")) - 1
-    placed = target.df.withColumn("_number", number).select(
-        "*", F.expr(f"_number div {BLOCK_WIDTH}").alias("block"),
-        (F.col("_number") % BLOCK_WIDTH).alias("_slot"),
-    )
-    blocks = placed.groupBy("block").agg(
-        *(F.max(F.when(slot == i, F.col(name))).alias(f"{name}{i}")
-          for name in ("t_rows", "t_sum", "t_sqr") for i in slots)
+    entries = target.agg(F.sort_array(F.collect_list(F.struct("tag_id", "t_rows", "t_sum", "t_sqr"))).alias("entries"))
+    places = entries.select(F.posexplode("entries").alias("place", "entry")).selectExpr(
+        "entry.tag_id AS tag_id", f"place div {BLOCK_WIDTH} AS block", f"place % {BLOCK_WIDTH} AS slot"
     )
-    places = placed.select("tag_id", "block", "_slot")
-    vectors = scores.join(F.broadcast(places), "tag_id").groupBy("movie_id", "block").agg(
-        *(F.sum(F.when(slot == i, F.col("relevance"))).alias(f"sum{i}") for i in slots),
-        *(F.count(F.when(slot == i, F.col("relevance"))).alias(f"n{i}") for i in slots),
-        # A tag whose scores are all NULL still counts in the target's norm.
-        F.bit_or(F.expr("shiftleft(1, _slot)")).alias("present"),
+    slices = f"transform(sequence(0, (size(entries) - 1) div {BLOCK_WIDTH}), b -> slice(entries, b * {BLOCK_WIDTH} + 1, {BLOCK_WIDTH}))"
+    blocks = entries.filter("size(entries) > 0").selectExpr(f"posexplode({slices}) AS (block, target)")
+    folded = scores.join(places, "tag_id").selectExpr("movie_id", "CAST(block AS int) AS block", "slot", "relevance").groupBy("movie_id", "block")
+    # A tag whose scores are all NULL still counts in the target's norm.
+    vectors = folded.agg(
+        F.expr(f"struct({_each('sum(CASE WHEN slot = # THEN relevance END) AS s#')})").alias("s"),
+        F.expr(f"struct({_each('count(CASE WHEN slot = # THEN relevance END) AS n#')})").alias("n"),
+        F.expr("bit_or(shiftleft(1, slot))").alias("present"),
     )
     profiles = (
-        _likes_with_vectors(ratings, vectors, min_rating)
+        liked_items(ratings, min_rating)
+        .join(vectors, "movie_id")
         .groupBy("user_id", "block")
         .agg(
-            *(F.sum(F.col(f"sum{i}") * F.col("likes")).alias(f"sum{i}") for i in slots),
-            *(F.sum(F.col(f"n{i}") * F.col("likes")).alias(f"n{i}") for i in slots),
-            F.bit_or("present").alias("present"),
+            F.expr(f"struct({_each('sum(s.s#) AS s#')})").alias("s"),
+            F.expr(f"struct({_each('sum(n.n#) AS n#')})").alias("n"),
+            F.expr("bit_or(present)").alias("present"),
         )
     )
-    scored = profiles.join(F.broadcast(blocks), "block").select(
-        "*", *(F.try_divide(f"sum{i}", f"n{i}").alias(f"score{i}") for i in slots)
+    scored = profiles.join(blocks, "block").selectExpr("user_id", "target", "present", f"struct({_each('try_divide(s.s#, n.n#) AS v#')}) AS score")
+    sums = scored.selectExpr(
+        "user_id",
+        _sum_present("score.v# * get(target, #).t_sum") + " AS dot",
+        _sum_present("score.v# * score.v# * get(target, #).t_rows") + " AS user",
+        _sum_present("CASE WHEN getbit(present, #) = 1 THEN get(target, #).t_sqr END") + " AS target",
     )
-    score = [F.col(f"score{i}") for i in slots]
-    return (
-        scored.select(
-            "user_id",
-            _sum_present([score[i] * F.col(f"t_sum{i}") for i in slots]).alias("dot"),
-            _sum_present([score[i] * score[i] * F.col(f"t_rows{i}") for i in slots]).alias("user"),
-            _sum_present(
-                [F.when(F.col("present").bitwiseAND(1 << i) != 0, F.col(f"t_sqr{i}")) for i in slots]
-            ).alias("target"),
-        )
-        .groupBy("user_id")
-        .agg(
-            F.sum("dot").alias("dot_product"),
-            F.sum("user").alias("user_norm_sqr"),
-            F.sum("target").alias("target_norm_sqr"),
-        )
+    return sums.groupBy("user_id").agg(
+        F.sum("dot").alias("dot_product"),
+        F.sum("user").alias("user_norm_sqr"),
+        F.sum("target").alias("target_norm_sqr"),
     )
 
 
@@ -151,18 +129,22 @@ def cosine_components(
     scores: DataFrame,
     target_movie_id: str,
     min_rating: float = 4.0,
-    max_target_bytes: int = BROADCAST_BYTES,
+    blocked: bool = False,
 ) -> DataFrame:
     """Per user the three sums behind the cosine between profile and target.
 
     Only dimensions present in both vectors count, in the target's norm too, so scores
-    of other tags are dropped before the item vectors meet the ratings. While the
-    target's vector can be broadcast, vectors travel in blocks.
+    of other tags are dropped before the item vectors meet the ratings. One lazy plan: no job
+    runs before the frame is used, and adaptive execution broadcasts the target where it is
+    small. Vectors stay in long form, so neither they nor the target have a bound. ``blocked``
+    lets them travel in blocks: an eighth of the rows are joined and shuffled, for a plan that takes
+    longer to make and holds the target's vector, an entry per tag, in one row. The results differ at
+    most in the last bits of a sum.
 
     Output: user_id, dot_product, user_norm_sqr, target_norm_sqr.
     """
-    target = Lookup.of(_folded_target(scores, target_movie_id), max_target_bytes)
-    sums = _blocked_sums if target.fits else _long_sums
+    target = _folded_target(scores, target_movie_id)
+    sums = _blocked_sums if blocked else _long_sums
     return sums(ratings, scores, target, min_rating)
 
 

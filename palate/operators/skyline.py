@@ -4,44 +4,39 @@ A row dominates another if it is at least as large in every dimension and larger
 one. Equal rows do not dominate each other and all stay. A row with a NULL or NaN
 dimension is incomparable: it stays and dominates nothing.
 
-The textbook form compares all pairs. Here:
-
-1. Rows are staged once. Up to ``pairwise_points`` rows are compared directly, against a
-   broadcast whose size has just been counted.
-2. More rows are reduced to their distinct points, so that any number of equal rows
-   costs one point.
-3. A fixed number of strong points removes everything they dominate, without a shuffle;
-   often so few points remain that they can be compared directly.
-4. Otherwise they go through a sort-based sweep, exact and without pairs: for two
-   dimensions a running maximum; for three, one such sweep per bit of the first
-   dimension's rank. The work is ``n log n``, in range buckets.
+The textbook form compares all pairs. Here local skylines are merged by the dominance of
+grid cells, in one way for all sizes and all types that have an order:
+
+1. Rows are staged once and reduced to their distinct points.
+2. Points are dealt to slabs, ranges of equal size of the order (x, y, z), and again of
+   the order (y, x, z); so a value that many points share is cut as well. A point's cell is its pair
+   of slabs.
+3. A point in a cell whose slabs both come later is another point, no smaller in x and y. So
+   the largest z of all such cells, a running maximum over the grid, tells whether one of
+   their points dominates: cells settle this without comparing points.
+4. What is left can only be dominated from its own slab in one of the two orders: an anti
+   join with the slab for its key. Points that were dropped need not be looked at, as whatever
+   dominates them dominates what they do.
+
+Two dimensions take one order and a running maximum over its slabs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import isfinite
 from operator import and_, or_
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from palate.operators.joins import SPREAD, Lookup, Spread, lookup_join, spread_join
-from palate.operators.ranking import numbered
 from palate.operators.staging import stage, stage_measured
 
-#: Types whose values can be cut into ranges as they are.
-NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
-#: Up to this many distinct points are compared pair by pair.
-PAIRWISE_POINTS = 10_000
-#: Points used for the first pruning pass.
-PIVOTS = 128
-#: Aimed-for rows per range bucket of a sweep. The cuts between buckets reach the driver and the
-#: plan, so beyond ``MAX_BUCKETS`` buckets grow instead; their sorts spill.
-BUCKET_ROWS = 250_000
-MAX_BUCKETS = 16384
+#: Aimed-for points of a slab. The grid has at most ``MAX_SLABS`` slabs a side; slabs grow beyond.
+SLAB_POINTS = 2500
+MAX_SLABS = 2048
+
+_ABOVE, _BEFORE = "_above", (Window.unboundedPreceding, -1)
 
 
 def dominates(better: str, worse: str, dims: Sequence[str]) -> Column:
@@ -57,156 +52,59 @@ def _comparable(df: DataFrame, dims: Sequence[str]) -> Column:
     return F.coalesce(reduce(and_, present), F.lit(False))
 
 
-def _without_dominated(
-    rows: DataFrame, by: DataFrame, dims: Sequence[str], how: str = "left_anti"
-) -> DataFrame:
-    """Comparable rows that nothing in ``by`` dominates, or (``left_semi``) the others.
+def _in_slabs(points: DataFrame, order: Sequence[str], slabs: int, to: str) -> DataFrame:
+    """Add the number of each point's range in the ascending order, for ``slabs`` ranges."""
+    return points.repartitionByRange(slabs, *order).withColumn(to, F.spark_partition_id())
 
-    ``by`` is broadcast and must have a counted bound.
-    """
-    return rows.alias("a").join(F.broadcast(by).alias("b"), dominates("b", "a", dims), how)
 
+def _later_slabs(placed: DataFrame, best: str, slabs: int) -> DataFrame:
+    """(_i, _above): the largest ``best`` of all later slabs; one row per slab."""
+    tops = placed.groupBy("_i").agg(F.max(best).alias("_top"))
+    every = placed.sparkSession.range(slabs).select(F.col("id").cast("int").alias("_i"))
+    later = Window.orderBy(F.desc("_i")).rowsBetween(*_BEFORE)
+    return every.join(tops, "_i", "left").select("_i", F.max("_top").over(later).alias(_ABOVE))
 
-def _bounds(points: DataFrame, names: Sequence[str], rows: int, bucket_rows: int) -> dict:
-    """At most ``MAX_BUCKETS - 1`` increasing cut points per column."""
-    buckets = max(2, min(MAX_BUCKETS, -(-rows // bucket_rows)))
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = points.select(*(F.col(name).cast("double").alias(name) for name in names))
-    found = cuts.approxQuantile(list(names), shares, 1 / (4 * buckets))
-    return {
-        name: sorted({value for value in values if isfinite(value)})
-        for name, values in zip(names, found, strict=True)
-    }
 
+def _later_cells(placed: DataFrame, best: str, slabs: int) -> DataFrame:
+    """(_i, _j, _above): the largest ``best`` of the cells that come later in both orders, for each cell of the grid."""
+    tops = placed.groupBy("_i", "_j").agg(F.max(best).alias("_top"))
+    sides = F.explode(F.sequence(F.lit(0), F.lit(slabs - 1)))
+    every = placed.sparkSession.range(slabs).select(F.col("id").cast("int").alias("_i"), sides.alias("_j"))
+    along_j = Window.partitionBy("_i").orderBy(F.desc("_j")).rowsBetween(*_BEFORE)
+    along_i = Window.partitionBy("_j").orderBy(F.desc("_i")).rowsBetween(*_BEFORE)
+    rows = every.join(tops, ["_i", "_j"], "left").withColumn("_top", F.max("_top").over(along_j))
+    return rows.select("_i", "_j", F.max("_top").over(along_i).alias(_ABOVE)).filter(F.col(_ABOVE).isNotNull())
 
-def _with_bucket(df: DataFrame, name: str, cuts: Sequence[float], to: str) -> DataFrame:
-    """Add the number of the value's range between cut points: coarser, in the same order."""
-    if not cuts:
-        return df.withColumn(to, F.lit(0.0))
-    ranges = [float("-inf"), *cuts, float("inf")]
-    return Bucketizer(splits=ranges, inputCol=name, outputCol=to).transform(df)
 
+def _undominated_in(points: DataFrame, by: DataFrame, slab: str, dims: Sequence[str]) -> DataFrame:
+    """Points that no point of the same slab in ``by`` dominates; its strong points come first."""
+    strong = by.select(slab, *dims).repartition(slab).sortWithinPartitions(slab, *(F.desc(name) for name in dims))
+    same = F.col(f"a.{slab}") == F.col(f"b.{slab}")
+    joined = points.alias("a").join(strong.hint("merge").alias("b"), same & dominates("b", "a", dims), "left_anti")
+    return joined.select(*points.columns)
 
-def _add_above(
-    stairs: DataFrame, group: Sequence[str], order: str, best: str, cuts: Sequence[float]
-) -> DataFrame:
-    """Add ``above``: the largest ``best`` in the group at a strictly larger ``order``.
-
-    ``(group, order)`` must be distinct. Each range bucket is sorted on its own; what
-    lies in higher buckets comes from one maximum per bucket.
-    """
-    cut = _with_bucket(stairs, order, cuts, "_bucket")
-    before = (Window.unboundedPreceding, -1)
-    higher = Window.partitionBy(*group).orderBy(F.desc("_bucket")).rowsBetween(*before)
-    tops = (
-        cut.groupBy(*group, "_bucket")
-        .agg(F.max(best).alias("_top"))
-        .select(*group, "_bucket", F.max("_top").over(higher).alias("_higher"))
-    )
-    within = Window.partitionBy(*group, "_bucket").orderBy(F.desc(order)).rowsBetween(*before)
-    return (
-        cut.withColumn("_within", F.max(best).over(within))
-        .join(tops, [*group, "_bucket"])
-        .withColumn("above", F.greatest("_within", "_higher"))
-        .drop("_bucket", "_within", "_higher")
-    )
-
-
-def _sweep_2d(points: DataFrame, x: str, y: str, cuts: dict) -> DataFrame:
-    stairs = points.groupBy(x).agg(F.max(y).alias(y))
-    stairs = _add_above(stairs, [], x, y, cuts[x])
-    return stairs.filter(F.col("above").isNull() | (F.col(y) > F.col("above"))).select(x, y)
-
-
-def _with_rank(points: DataFrame, name: str, cuts: Sequence[float]) -> DataFrame:
-    """Distinct values of ``name`` with their 0-based ascending ``rank``."""
-    values = _with_bucket(points.select(name).distinct(), name, cuts, "_bucket")
-    sizes = values.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    lower = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = sizes.select(
-        "_bucket", F.coalesce(F.sum("_n").over(lower), F.lit(0)).alias("_offset")
-    )
-    within = Window.partitionBy("_bucket").orderBy(name)
-    return (
-        values.withColumn("_row", F.row_number().over(within))
-        .join(offsets, "_bucket")
-        .select(name, (F.col("_offset") + F.col("_row") - 1).alias("rank"))
-    )
-
-
-def _sweep_3d(
-    points: DataFrame, x: str, y: str, z: str, cuts: dict, spread: Spread
-) -> DataFrame:
-    """Exact 3-d skyline of distinct points, without comparing pairs.
-
-    Write the rank of ``x`` in binary. For two different ranks there is exactly one
-    bit at which they first differ, seen from the top; the rows that agree above that
-    bit form a group, in which rows with the bit set have the larger ``x``. So within
-    each (bit, group) the question is two-dimensional: does a row with the bit set
-    reach ``y`` and ``z``? Equal ranks form one more group each, compared strictly.
-    """
-    points = points.groupBy(x, y).agg(F.max(z).alias(z))
-    ranks = stage_measured(_with_rank(points, x, cuts[x]), "ranks")
-    bits = max(ranks.rows - 1, 0).bit_length()
-    ranked = stage(spread_join(points, ranks.df, [x], spread=spread), "ranked")
-
-    same_x = F.col("_bit") < 0
-    split = ranked.withColumn("_bit", F.explode(F.sequence(F.lit(-1), F.lit(bits - 1))))
-    split = split.withColumn(
-        "_group",
-        F.when(same_x, F.col("rank")).otherwise(F.expr("shiftright(rank, _bit + 1)")),
-    ).withColumn(
-        "_larger", F.when(~same_x, F.expr("(shiftright(rank, greatest(_bit, 0)) & 1) = 1"))
-    )
-    group = ["_bit", "_group"]
-    # Rows that ask contribute their y without a value, so that every asker finds a stair.
-    stairs = split.groupBy(*group, y).agg(
-        F.max(F.when(same_x | F.col("_larger"), F.col(z))).alias("_level")
-    )
-    stairs = _add_above(stairs, group, y, "_level", cuts[y])
-    reach = F.when(same_x, F.col("above")).otherwise(F.greatest("_level", "above"))
-    stairs = stairs.select(*group, y, reach.alias("_reach")).filter("_reach IS NOT NULL")
-
-    askers = split.filter(same_x | ~F.col("_larger")).select(*group, x, y, z)
-    beaten = (
-        spread_join(askers, stairs, [*group, y], spread=spread)
-        .filter(F.col("_reach") >= F.col(z))
-        .select(x, y)
-        .distinct()
-    )
-    return ranked.select(x, y, z).join(beaten, [x, y], "left_anti")
-
-
-def _skyline_points(
-    rows: DataFrame, dims: list[str], pairwise_points: int, bucket_rows: int, spread: Spread
-) -> Lookup:
-    """Distinct undominated points of comparable rows."""
-    found = stage_measured(rows.select(*dims).distinct(), "points")
-    if found.rows > pairwise_points:
-        cuts = _bounds(found.df, dims, found.rows, bucket_rows)
-        placed = found.df
-        for name in dims:
-            placed = _with_bucket(placed, name, cuts[name], f"_at_{name}")
-        score = reduce(lambda a, b: a + b, (F.col(f"_at_{name}") for name in dims))
-        strongest = [score.desc(), *(F.desc(name) for name in dims)]
-        pivots = placed.orderBy(*strongest).limit(PIVOTS).select(*dims)
-        found = stage_measured(_without_dominated(found.df, pivots, dims), "points")
-    if found.rows <= pairwise_points:
-        return Lookup(_without_dominated(found.df, found.df, dims), True)
-    cuts = _bounds(found.df, dims, found.rows, bucket_rows)
-    if len(dims) == 2:
-        return Lookup.of(_sweep_2d(found.df, *dims, cuts))
-    return Lookup.of(_sweep_3d(found.df, *dims, cuts, spread))
+
+def _skyline_points(points: DataFrame, dims: Sequence[str], slabs: int) -> DataFrame:
+    """The undominated points of distinct comparable ones."""
+    x, y, *rest = dims
+    placed = _in_slabs(points, [x, y, *rest], slabs, "_i")
+    if slabs == 1:  # the grid is one cell, without later ones
+        return _undominated_in(placed, placed, "_i", dims).select(*dims)
+    if not rest:
+        placed = stage(placed, "slabs")  # where a point lies must not be computed twice
+        above, cell, best = _later_slabs(placed, y, slabs), ["_i"], y
+    else:
+        placed = stage(_in_slabs(placed, [y, x, *rest], slabs, "_j"), "cells")
+        above, cell, best = _later_cells(placed, rest[0], slabs), ["_i", "_j"], rest[0]
+    left = placed.join(above, cell, "left").filter(F.col(_ABOVE).isNull() | (F.col(best) > F.col(_ABOVE))).drop(_ABOVE)
+    found = left
+    for slab in cell:
+        found = _undominated_in(found, left, slab, dims)
+    return found.select(*dims)
 
 
 def _split_by_skyline(
-    df: DataFrame,
-    maximize: Sequence[str],
-    kept: bool,
-    *,
-    pairwise_points: int = PAIRWISE_POINTS,
-    bucket_rows: int = BUCKET_ROWS,
-    spread: Spread = SPREAD,
+    df: DataFrame, maximize: Sequence[str], kept: bool, *, slab_points: int = SLAB_POINTS
 ) -> DataFrame:
     """The comparable rows on the skyline and all incomparable ones, or the other rows."""
     dims = list(maximize)
@@ -214,24 +112,9 @@ def _split_by_skyline(
         raise ValueError("a skyline takes two or three different dimensions")
     staged = stage_measured(df, "skyline-rows")
     comparable = staged.df.filter(_comparable(staged.df, dims))
-    other = [name for name in dims if dict(df.dtypes)[name] not in NUMERIC]
-    if staged.rows > pairwise_points and other:
-        # Places in the order stand for values that have no number, such as dates and texts.
-        ranked, places = comparable, [f"_place_{name}" for name in other]
-        for name, place in zip(other, places, strict=True):
-            values = comparable.select(name).distinct()
-            ranked = ranked.join(numbered(values, [F.col(name)], place), name)
-        stand_in = [f"_place_{name}" if name in other else name for name in dims]
-        tuning = {"pairwise_points": pairwise_points, "bucket_rows": bucket_rows, "spread": spread}
-        found = _split_by_skyline(ranked, stand_in, kept, **tuning)
-    elif staged.rows <= pairwise_points:
-        points = comparable.select(*dims)
-        found = _without_dominated(comparable, points, dims, "left_anti" if kept else "left_semi")
-    else:
-        points = _skyline_points(comparable, dims, pairwise_points, bucket_rows, spread)
-        how = "left_semi" if kept else "left_anti"
-        found = lookup_join(comparable, points, dims, how)
-    found = found.select(*df.columns)
+    slabs = max(1, min(MAX_SLABS, -(-staged.rows // slab_points)))
+    points = _skyline_points(comparable.select(*dims).distinct(), dims, slabs)
+    found = comparable.join(points, dims, "left_semi" if kept else "left_anti").select(*df.columns)
     if kept:
         return found.unionByName(staged.df.filter(~_comparable(staged.df, dims)))
     return found

@@ -30,8 +30,10 @@ def run_all(
         written[name] = f"{root}/{name}"
         write_csv(df, written[name], mode, single_file=single_file)
 
-    item_ratings = stage(blocks.avg_rating_per_movie(t.ratings), "item-ratings")
-    items = stage(blocks.genre_items(t.movies, item_ratings), "genre-items")
+    # Ratings meet by movie once; only the averages and counts of movies are dealt again.
+    rating_stats = stage(blocks.movie_rating_stats(t.ratings), "rating-stats")
+    item_ratings = rating_stats.select("movie_id", "avg_rating")
+    items = blocks.genre_items(t.movies, item_ratings)
     stats = stage(workloads.genre_tag_stats(t.tags, items), "genre-tag-stats")
     save("iceberg_tag_genre", workloads.iceberg_tag_genre(t.tags, t.movies, t.ratings, stats=stats))
     save(
@@ -42,10 +44,12 @@ def run_all(
     save("tag_sentiment", workloads.tag_sentiment(t.tags, t.ratings))
     save(
         "skyline_tag_genre",
-        workloads.skyline_tag_genre(t.tags, t.movies, t.ratings, items=items, stats=stats),
+        workloads.skyline_tag_genre(t.tags, t.movies, t.ratings, stats=stats),
     )
 
-    movie_stats = stage(blocks.movie_stats(t.ratings, t.genome_scores), "movie-stats")
+    movie_stats = stage(
+        blocks.movie_stats(t.ratings, t.genome_scores, rating_stats), "movie-stats"
+    )
     save("skyline_movies", workloads.skyline_movies(t.ratings, t.genome_scores, stats=movie_stats))
     save(
         "corr_relevance_rating",

@@ -8,7 +8,7 @@ pair repeated a billion times costs one row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from palate.functions.genres import explode_genres
@@ -40,9 +40,12 @@ def avg_relevance_per_movie(scores: DataFrame) -> DataFrame:
     return scores.groupBy("movie_id").agg(F.avg("relevance").alias("avg_relevance"))
 
 
-def movie_stats(ratings: DataFrame, scores: DataFrame) -> DataFrame:
+def movie_stats(
+    ratings: DataFrame, scores: DataFrame, rating_stats: DataFrame | None = None
+) -> DataFrame:
     """Rating average, rating count and relevance average of movies that have both."""
-    return movie_rating_stats(ratings).join(avg_relevance_per_movie(scores), "movie_id")
+    rating_stats = movie_rating_stats(ratings) if rating_stats is None else rating_stats
+    return rating_stats.join(avg_relevance_per_movie(scores), "movie_id")
 
 
 def movie_tag_uses(tags: DataFrame) -> DataFrame:
@@ -63,11 +66,11 @@ def genre_items(movies: DataFrame, item_ratings: DataFrame | None = None) -> Dat
 
 
 def tag_genre_uses(tags: DataFrame, items: DataFrame) -> DataFrame:
-    """Tags and genres meeting on a movie: movie_id, tag, n_uses and the columns of ``items``.
+    """Tags and genres meeting on a movie: user_id, movie_id, tag, n_uses and the columns of ``items``.
 
-    A (movie_id, tag, genre) may come in several rows whose ``n_uses`` add up.
+    A (user_id, movie_id, tag, genre) may come in several rows whose ``n_uses`` add up.
     """
-    uses = movie_tag_pairs(tags).withColumn("n_uses", F.lit(1).cast("bigint"))
+    uses = tags.select("user_id", "movie_id", "tag").withColumn("n_uses", F.lit(1).cast("bigint"))
     return uses.join(items, "movie_id")
 
 
@@ -81,14 +84,17 @@ def genre_tag_stats(uses: DataFrame, compare_scale: int | None = None) -> DataFr
     """Everything the tag and genre queries ask of a pair, from rated ``tag_genre_uses``.
 
     ``n_uses`` counts all applications, ``n_rated`` those on rated movies; ``avg_rating``
-    is the applications' mean of the movies' averages, and ``n_distinct`` the number of
-    different averages among them. A query that leaves a column out does not pay for it.
+    is the applications' mean of the movies' averages, ``n_distinct`` the number of
+    different averages among them, and ``user_count`` how many different users applied the tag, to
+    rated movies or others. Tags meet the items once for all of them; a query that leaves a column
+    out does not pay for it.
     """
     rated = F.when(F.col("avg_rating").isNotNull(), F.col("n_uses"))
     return uses.groupBy("genre", "tag").agg(
         F.sum("n_uses").alias("n_uses"),
         F.coalesce(F.sum(rated), F.lit(0)).alias("n_rated"),
         F.count_distinct(fixed(F.col("avg_rating"), compare_scale)).alias("n_distinct"),
+        F.count_distinct("user_id").alias("user_count"),
         fixed(weighted_mean("avg_rating", "n_uses"), compare_scale).alias("avg_rating"),
     )
 
@@ -128,15 +134,60 @@ def tag_totals(tags: DataFrame) -> DataFrame:
     return tags.groupBy("tag").agg(F.count(F.lit(1)).alias("n_all"))
 
 
-def tag_rating_pairs(tags: DataFrame, ratings: DataFrame) -> DataFrame:
-    """Tags meeting ratings of the same user and movie.
+def facts(tags: DataFrame, ratings: DataFrame) -> DataFrame:
+    """What is known of a user and a movie, tags and ratings in one frame: user_id, movie_id, tag,
+    rating, and how many applications (``n_tags``) and ratings (``n_ratings``) a row stands for.
+
+    A row may be both, one tag and one rating; a row without an application has ``n_tags`` 0, whatever its
+    tag, and likewise for ratings.
+    """
+    none, one = F.lit(0).cast("bigint"), F.lit(1).cast("bigint")
+    pair = ["user_id", "movie_id"]
+    applied = tags.select(*pair, "tag", F.lit(None).cast("double").alias("rating"), one.alias("n_tags"), none.alias("n_ratings"))
+    rated = ratings.select(*pair, F.lit(None).cast("string").alias("tag"), "rating", none.alias("n_tags"), one.alias("n_ratings"))
+    return applied.unionByName(rated)
+
+
+def tags_with_ratings(known: DataFrame) -> DataFrame:
+    """The tags of ``facts`` with the ratings of the same user and movie: tag, n_tags, and the sum and number
+    of the pair's ratings that are not NULL. A row per pair and tag, of pairs that have a rating.
+
+    Tags and ratings meet in one grouping instead of a join. Repeats are counted before the shuffle, and
+    the window over a pair sees its different tags only. As in a join, a NULL user or movie meets nothing.
+    """
+    pair = ["user_id", "movie_id"]
+    known = known.filter(F.col("user_id").isNotNull() & F.col("movie_id").isNotNull())
+    given = F.when(F.col("n_ratings") > 0, F.col("rating"))
+    folded = known.groupBy(*pair, "tag").agg(
+        F.sum("n_tags").alias("n_tags"),
+        F.sum(given * F.col("n_ratings")).alias("rating_sum"),
+        F.sum(F.when(given.isNotNull(), F.col("n_ratings")).otherwise(0)).alias("n_rated"),
+        F.sum("n_ratings").alias("n_ratings"),
+    )
+    whole = Window.partitionBy(*pair)
+    sums = [F.sum(name).over(whole).alias(name) for name in ("rating_sum", "n_rated", "n_ratings")]
+    met = folded.select("tag", "n_tags", *sums)
+    return met.filter((F.col("n_tags") > 0) & (F.col("n_ratings") > 0)).drop("n_ratings")
+
+
+def tag_rating_pairs(known: DataFrame) -> DataFrame:
+    """Tags meeting ratings of the same user and movie, from ``facts``.
 
     Output: user_id, movie_id, tag, rating, n_pairs. ``n_pairs`` is how many
-    (application, rating) pairs the row stands for; they are never listed one by one.
+    (application, rating) pairs the row stands for; they are never listed one by one, and nothing
+    is joined: a pair's different tags and ratings come together in one grouping.
     """
     pair = ["user_id", "movie_id"]
-    applied = tags.groupBy(*pair, "tag").agg(F.count(F.lit(1)).alias("_n_tags"))
-    rated = ratings.groupBy(*pair, "rating").agg(F.count(F.lit(1)).alias("_n_ratings"))
-    return applied.join(rated, pair).select(
-        *pair, "tag", "rating", (F.col("_n_tags") * F.col("_n_ratings")).alias("n_pairs")
+    known = known.filter(F.col("user_id").isNotNull() & F.col("movie_id").isNotNull())
+    kinds = F.array(
+        F.struct(F.lit(True).alias("is_tag"), F.col("tag").alias("tag"), F.lit(None).cast("double").alias("rating"), F.col("n_tags").alias("n")),
+        F.struct(F.lit(False).alias("is_tag"), F.lit(None).cast("string").alias("tag"), F.col("rating").alias("rating"), F.col("n_ratings").alias("n")),
+    )
+    single = known.select(*pair, F.inline(kinds)).filter("n > 0")
+    counted = single.groupBy(*pair, "is_tag", "tag", "rating").agg(F.sum("n").alias("n"))
+    met = counted.groupBy(*pair).agg(
+        F.collect_list(F.when(F.col("is_tag"), F.struct("tag", "n"))).alias("tags"),
+        F.collect_list(F.when(~F.col("is_tag"), F.struct("rating", "n"))).alias("ratings"),
     )
+    one = met.select(*pair, "ratings", F.explode("tags").alias("t")).select(*pair, "t", F.explode("ratings").alias("r"))
+    return one.select(*pair, "t.tag", "r.rating", (F.col("t.n") * F.col("r.n")).alias("n_pairs"))

@@ -98,23 +98,24 @@ def iceberg_relevant_tags(
     return strong.join(genome_tags, "tag_id").select("tag", "avg_relevance")
 
 
-def tag_sentiment(tags: DataFrame, ratings: DataFrame, dedupe: bool = False) -> DataFrame:
+def tag_sentiment(
+    tags: DataFrame | None,
+    ratings: DataFrame | None,
+    dedupe: bool = False,
+    *,
+    facts: DataFrame | None = None,
+) -> DataFrame:
     """Mean rating per tag, over ratings by the tagging user of the tagged movie.
 
-    Repeated applications count repeatedly unless ``dedupe``. Ratings are folded to one
-    row per user and movie before they meet the tags, so a pair with many tags and many
-    ratings costs their sum, not their product. Output: tag, avg_rating.
+    Repeated applications count repeatedly unless ``dedupe``. Tags and ratings go into one grouping by
+    user and movie, so a pair with many tags and many ratings costs their sum, not their
+    product. Where both come from one table, ``facts`` (see ``blocks.facts``) lets it be read once.
+    Output: tag, avg_rating.
     """
-    pair = ["user_id", "movie_id"]
-    applied = tags.select(*pair, "tag")
-    if dedupe:
-        applied = applied.distinct()
-    rated = ratings.groupBy(*pair).agg(
-        F.sum("rating").alias("_sum"), F.count("rating").alias("_n_ratings")
-    )
-    joined = applied.join(rated, pair)
-    return joined.groupBy("tag").agg(
-        F.try_divide(F.sum("_sum"), F.sum("_n_ratings")).alias("avg_rating")
+    applied = blocks.tags_with_ratings(blocks.facts(tags, ratings) if facts is None else facts)
+    times = F.lit(1) if dedupe else F.col("n_tags")
+    return applied.groupBy("tag").agg(
+        F.try_divide(F.sum(F.col("rating_sum") * times), F.sum(F.col("n_rated") * times)).alias("avg_rating")
     )
 
 
@@ -125,24 +126,17 @@ def genre_tag_points(
     min_distinct: int = 200,
     *,
     compare_scale: int | None = None,
-    items: DataFrame | None = None,
     stats: DataFrame | None = None,
 ) -> DataFrame:
     """The (genre, tag) pairs a skyline chooses from: genre, tag, avg_rating, user_count.
 
     Kept are pairs with more than ``min_distinct`` different movie *averages*. Users
-    count whether or not their movie is rated. Two frames are aggregated separately,
-    which shuffles less than one with two distinct counts, and joined as groups.
+    count whether or not their movie is rated. Both distinct counts come out of one grouping.
     """
-    items = rated_items(movies, ratings) if items is None else items
     if stats is None:
-        stats = genre_tag_stats(tags, items, compare_scale=compare_scale)
-    popular = stats.filter(F.col("n_distinct") > min_distinct).select("genre", "tag", "avg_rating")
-    users = blocks.users_per_genre_tag(tags, items)
-    same_pair = popular["genre"].eqNullSafe(users["genre"]) & popular["tag"].eqNullSafe(users["tag"])
-    return popular.join(users, same_pair).select(
-        popular["genre"], popular["tag"], "avg_rating", "user_count"
-    )
+        stats = genre_tag_stats(tags, rated_items(movies, ratings), compare_scale=compare_scale)
+    popular = stats.filter(F.col("n_distinct") > min_distinct)
+    return popular.select("genre", "tag", "avg_rating", "user_count")
 
 
 def skyline_tag_genre(

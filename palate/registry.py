@@ -63,7 +63,7 @@ def _csv_reordered(spark: SparkSession, t: Tables) -> DataFrame:
 def _pairs_skyline(t: Tables, dims: list[str]) -> DataFrame:
     points = blocks.user_movie_points(t.ratings, t.genome_scores)
     points = points.select("user_id", "movie_id", *dims)
-    return skyline(points, dims, pairwise_points=0, bucket_rows=1000)
+    return skyline(points, dims)
 
 
 def _cosines(t: Tables) -> DataFrame:
@@ -81,7 +81,7 @@ _BUILDERS: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     "iceberg_relevant_tags": lambda _, t: workloads.iceberg_relevant_tags(
         t.genome_scores, t.genome_tags, P.MIN_SCORE, P.MIN_MOVIES, P.MIN_AVG_SCORE
     ),
-    "tag_sentiment": lambda _, t: workloads.tag_sentiment(t.tags, t.ratings),
+    "tag_sentiment": lambda _, t: workloads.tag_sentiment(None, None, facts=t.facts),
     "skyline_tag_genre": lambda _, t: workloads.skyline_tag_genre(
         t.tags, t.movies, t.ratings, P.MIN_DISTINCT, compare_scale=P.COMPARE_SCALE
     ),
@@ -111,7 +111,7 @@ _BUILDERS: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     "target_tag_profile": lambda _, t: profiles.target_vector(t.genome_scores, P.TARGET),
     # joins
     "movie_tag_genre": lambda _, t: blocks.movie_tag_genre(t.tags, t.movies),
-    "tag_rating_pairs": lambda _, t: blocks.tag_rating_pairs(t.tags, t.ratings),
+    "tag_rating_pairs": lambda _, t: blocks.tag_rating_pairs(t.facts),
     "movie_stats": lambda _, t: blocks.movie_stats(t.ratings, t.genome_scores),
     "dominated_tag_genre": lambda _, t: workloads.dominated_tag_genre(
         t.tags, t.movies, t.ratings, P.MIN_DISTINCT, compare_scale=P.COMPARE_SCALE
@@ -133,7 +133,7 @@ _BUILDERS: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
         t.ratings, t.genome_scores, P.MIN_LIKED
     ),
     "cosine_components": lambda _, t: profiles.cosine_components(
-        t.ratings, t.genome_scores, P.TARGET, P.MIN_LIKED
+        t.ratings, t.genome_scores, P.TARGET, P.MIN_LIKED, blocked=True
     ),
     # the forms for large inputs, on any input
     "skyline_pairs_2d": lambda _, t: _pairs_skyline(t, ["avg_rating", "avg_relevance"]),
@@ -141,7 +141,7 @@ _BUILDERS: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
         t, ["avg_rating", "n_ratings", "avg_relevance"]
     ),
     "cosine_components_long": lambda _, t: profiles.cosine_components(
-        t.ratings, t.genome_scores, P.TARGET, P.MIN_LIKED, max_target_bytes=0
+        t.ratings, t.genome_scores, P.TARGET, P.MIN_LIKED
     ),
     "tag_uses_cut_join": lambda _, t: spread_join(
         blocks.movie_tag_uses(t.tags), blocks.tag_totals(t.tags), ["tag"],

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from palate.functions.genres import NO_GENRES
@@ -49,27 +49,34 @@ def _order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.join(orders, lines.l_orderkey == orders.o_orderkey)
 
 
-def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _pair() -> list[Column]:
+    return [F.col("o_custkey").cast("string").alias("user_id"), F.col("l_partkey").cast("string").alias("movie_id")]
+
+
+def _rating() -> Column:
     """Half-step ratings 0.5 .. 5.0, exact in binary; a returned line has a NULL rating."""
-    return _order_lines(spark, sf_dir).select(
-        F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("l_partkey").cast("string").alias("movie_id"),
-        F.when(F.col("l_returnflag") != "R", F.ceil(F.col("l_quantity") / 5) / 2)
-        .cast("double")
-        .alias("rating"),
-    )
+    half_steps = F.ceil(F.col("l_quantity") / 5) / 2
+    return F.when(F.col("l_returnflag") != "R", half_steps).cast("double").alias("rating")
 
 
-def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _tag() -> Column:
     """One tag application per order line; urgent, accepted lines carry a NULL tag."""
     null_tag = (F.col("o_orderpriority") == "1-URGENT") & (F.col("l_returnflag") == "A")
-    return _order_lines(spark, sf_dir).select(
-        F.col("o_custkey").cast("string").alias("user_id"),
-        F.col("l_partkey").cast("string").alias("movie_id"),
-        F.when(
-            ~null_tag, F.concat("o_orderpriority", F.lit("/"), "l_returnflag", "l_linestatus")
-        ).alias("tag"),
-    )
+    return F.when(~null_tag, F.concat("o_orderpriority", F.lit("/"), "l_returnflag", "l_linestatus")).alias("tag")
+
+
+def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _order_lines(spark, sf_dir).select(*_pair(), _rating())
+
+
+def tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _order_lines(spark, sf_dir).select(*_pair(), _tag())
+
+
+def facts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``blocks.facts`` of tags and ratings in one pass: a line is one application and one rating."""
+    one = F.lit(1).cast("bigint")
+    return _order_lines(spark, sf_dir).select(*_pair(), _tag(), _rating(), one.alias("n_tags"), one.alias("n_ratings"))
 
 
 def genome_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -105,6 +112,10 @@ class CanonicalTables:
     def tags(self) -> DataFrame:
         return tags(*self._at)
 
+    @cached_property
+    def facts(self) -> DataFrame:
+        return facts(*self._at)
+
     @cached_property
     def genome_scores(self) -> DataFrame:
         return genome_scores(*self._at)

@@ -114,7 +114,7 @@ def test_sentiment_multiplies_repeated_ratings_and_ignores_null_ones(make):
         ("t", 3.5),
         (None, 3.5),
     ]
-    pairs = rows(blocks.tag_rating_pairs(tags, ratings))
+    pairs = rows(blocks.tag_rating_pairs(blocks.facts(tags, ratings)))
     assert ("u", "1", "t", 5.0, 1) in pairs and len(pairs) == 10
 
 
@@ -201,7 +201,7 @@ def test_blocked_and_long_vectors_agree(make):
         found = cosine_components(ratings, scores, "m3", **limit).collect()
         return {r[0]: tuple(r[1:]) for r in found}
 
-    blocked, long = sums(), sums(max_target_bytes=0)
+    blocked, long = sums(blocked=True), sums()
     assert set(long) == set(blocked) and len(long) > 20
     for user in long:
         for x, y in zip(long[user], blocked[user], strict=True):

@@ -29,7 +29,7 @@ def test_every_query_has_an_oracle():
     assert len(QUERIES) == 38
 
 
-_DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+_DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
 @pytest.mark.parametrize("name", NAMES)
