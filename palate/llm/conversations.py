@@ -298,7 +298,7 @@ def _across_blocks(rows: DataFrame, long: DataFrame, most: int) -> tuple[DataFra
     last = F.col("tail").isNull()
     pair = F.concat(F.col("last_initial").cast("string"), F.col("_next").cast("string"))
     legal = pair.isin(f"{SYSTEM}{USER}", f"{USER}{ASSISTANT}", f"{ASSISTANT}{USER}")
-    parts = stage(parts.withColumn("last", last).withColumn("tail", F.coalesce("tail", end)).withColumn("more", F.when(last | legal, 0).otherwise(1)), "parts")
+    parts = stage(parts.withColumn("last", last).withColumn("tail", F.coalesce("tail", end)).withColumn("more", F.when(F.col("last") | legal, 0).otherwise(1)), "parts")
     whole = parts.filter("part = 0").select("base", "conv_id", F.get(finished(F.col("total")), F.lit(START)).alias("cost"))
     more = parts.groupBy("base").agg(F.sum("more").alias("more"))
 
