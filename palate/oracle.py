@@ -235,6 +235,31 @@ ORACLE: dict[str, str] = {
     "scan_csv_ratings": _with("SELECT user_id, movie_id, rating FROM ratings"),
     "scan_csv_tags": _with("SELECT user_id, movie_id, tag FROM tags"),
     "sink_csv_roundtrip": _with("SELECT movie_id, tag_id, relevance FROM genome_scores"),
+    "scan_csv_quarantine": _with(
+        """
+        SELECT CASE WHEN rating > 0.5 AND rating < 5 THEN user_id END AS user_id,
+               CASE WHEN rating > 0.5 AND rating < 5 THEN movie_id END AS movie_id,
+               CASE WHEN rating > 0.5 AND rating < 5 THEN rating END AS rating,
+               CASE WHEN rating IS NULL THEN user_id || ',' || movie_id || ',n/a'
+                    WHEN rating = 5 THEN user_id || ',' || movie_id
+                    WHEN rating = 0.5 THEN user_id || ',' || movie_id || ',0.5,,' END AS line
+        FROM ratings"""
+    ),
+    "sink_csv_line_breaks": _with(
+        """
+        SELECT user_id, movie_id,
+               replace(replace(replace(tag, '/', chr(10)), '-', chr(92)), ' ', chr(13) || chr(10)) AS tag
+        FROM tags"""
+    ),
+    "sink_csv_overwrite": _with("SELECT movie_id, title, genres FROM movies"),
+    "sink_csv_fail_if_present": _with("SELECT movie_id, title, genres FROM movies"),
+    "sink_csv_scalar": _with(
+        f"SELECT {_r('corr(avg_rating, avg_relevance)')} AS pearson FROM movie_stats", AVERAGES
+    ),
+    "sink_csv_single_file": _with(
+        f"SELECT movie_id, {_r('avg_rating')} AS avg_rating, rating_count FROM item_ratings",
+        AVERAGES,
+    ),
     # projections and filters
     "movie_tag_pairs": _with("SELECT movie_id, tag FROM tags"),
     "movie_genre_pairs": _with("SELECT movie_id, genre FROM movie_genre", GENRES),

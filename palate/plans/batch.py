@@ -21,6 +21,7 @@ def run_all(
     k: int = 10,
     anomaly_tags: Sequence[str] = workloads.ANOMALY_TAGS,
     mode: str = "overwrite",
+    line_breaks: str = "reject",
 ) -> dict[str, str]:
     """Write each result as a CSV folder below ``out``; returns name -> path."""
     t, root = tables, out.rstrip("/")
@@ -28,7 +29,7 @@ def run_all(
 
     def save(name: str, df, *, single_file: bool = False) -> None:
         written[name] = f"{root}/{name}"
-        write_csv(df, written[name], mode, single_file=single_file)
+        write_csv(df, written[name], mode, single_file=single_file, line_breaks=line_breaks)
 
     # Ratings meet by movie once; only the averages and counts of movies are dealt again.
     rating_stats = stage(blocks.movie_rating_stats(t.ratings), "rating-stats")

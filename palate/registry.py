@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -20,7 +21,7 @@ from palate.operators.staging import staging_path
 from palate.oracle import ORACLE
 from palate.plans import blocks, workloads
 from palate.sinks import write_csv
-from palate.sources import Tables, read_csv
+from palate.sources import Tables, read_csv, read_csv_checked, read_result
 from palate.sources.canonical import canonical
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -60,6 +61,55 @@ def _csv_reordered(spark: SparkSession, t: Tables) -> DataFrame:
     return read_csv(spark, "movies", path)
 
 
+def _csv_quarantine(spark: SparkSession, t: Tables) -> DataFrame:
+    """Ratings as raw lines, some of which do not fit: the rows that do, and the others as they are."""
+    path, pair = staging_path(spark, "csv-quarantine"), F.concat_ws(",", "user_id", "movie_id")
+    rating = F.col("rating")
+    line = (
+        F.when(rating.isNull(), F.concat(pair, F.lit(",n/a")))
+        .when(rating == 5.0, pair)
+        .when(rating == 0.5, F.concat(pair, F.lit(",0.5,,")))
+        .otherwise(F.concat(pair, F.lit(","), rating.cast("string")))
+    )
+    t.ratings.select(line.alias("value")).write.text(path)
+    checked = read_csv_checked(spark, "ratings", path, header=False)
+    return checked.rows.unionByName(checked.bad_lines.select("line"), allowMissingColumns=True)
+
+
+def _csv_line_breaks(spark: SparkSession, t: Tables) -> DataFrame:
+    path, tag = staging_path(spark, "csv-line-breaks"), F.col("tag")
+    for old, new in (("/", "\n"), ("-", "\\"), (" ", "\r\n")):
+        tag = F.replace(tag, F.lit(old), F.lit(new))
+    write_csv(t.tags.withColumn("tag", tag), path, line_breaks="escape")
+    return read_csv(spark, "tags", path, escaped=True)
+
+
+def _csv_overwrite(spark: SparkSession, t: Tables) -> DataFrame:
+    path = staging_path(spark, "csv-overwrite")
+    write_csv(t.genome_tags, path)
+    write_csv(t.movies, path)
+    return read_csv(spark, "movies", path)
+
+
+def _csv_fail_if_present(spark: SparkSession, t: Tables) -> DataFrame:
+    path = staging_path(spark, "csv-present")
+    write_csv(t.movies, path, "errorifexists")
+    try:
+        write_csv(t.genome_tags, path, "errorifexists")
+    except AnalysisException:
+        return read_csv(spark, "movies", path)
+    raise RuntimeError(f"{path} was written twice")
+
+
+def _csv_single_file(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:
+    path = staging_path(spark, f"csv-{name}")
+    write_csv(df, path, single_file=True)
+    back = read_result(spark, ", ".join(f"{column} {kind}" for column, kind in df.dtypes), path)
+    if len(back.inputFiles()) != 1:
+        raise RuntimeError(f"{path} has {len(back.inputFiles())} files")
+    return back
+
+
 def _pairs_skyline(t: Tables, dims: list[str]) -> DataFrame:
     points = blocks.user_movie_points(t.ratings, t.genome_scores)
     points = points.select("user_id", "movie_id", *dims)
@@ -104,6 +154,16 @@ _BUILDERS: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
     "scan_csv_genome_tags": lambda s, t: _csv_roundtrip(s, "genome_tags", t.genome_tags),
     "scan_csv_reordered": _csv_reordered,
     "sink_csv_roundtrip": lambda s, t: _csv_roundtrip(s, "genome_scores", t.genome_scores),
+    "scan_csv_quarantine": _csv_quarantine,
+    "sink_csv_line_breaks": _csv_line_breaks,
+    "sink_csv_overwrite": _csv_overwrite,
+    "sink_csv_fail_if_present": _csv_fail_if_present,
+    "sink_csv_scalar": lambda s, t: _csv_single_file(
+        s, "scalar", workloads.corr_relevance_rating(t.ratings, t.genome_scores)
+    ),
+    "sink_csv_single_file": lambda s, t: _csv_single_file(
+        s, "single-file", blocks.movie_rating_stats(t.ratings)
+    ),
     # projections and filters
     "movie_tag_pairs": lambda _, t: blocks.movie_tag_pairs(t.tags),
     "movie_genre_pairs": lambda _, t: blocks.movie_genre_pairs(t.movies),

@@ -1,4 +1,13 @@
-from palate.sources.files import read_csv, read_csv_tables, read_parquet_tables
+from palate.sources.files import Checked, read_csv, read_csv_checked, read_csv_tables, read_parquet_tables, read_result
 from palate.sources.schemas import SCHEMAS, Tables
 
-__all__ = ["SCHEMAS", "Tables", "read_csv", "read_csv_tables", "read_parquet_tables"]
+__all__ = [
+    "SCHEMAS",
+    "Checked",
+    "Tables",
+    "read_csv",
+    "read_csv_checked",
+    "read_csv_tables",
+    "read_parquet_tables",
+    "read_result",
+]

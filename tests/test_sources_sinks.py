@@ -1,12 +1,12 @@
 from __future__ import annotations
 
 import pytest
-from conftest import rows
+from conftest import executed_plans, last_execution, rows
 
 from palate.__main__ import main
 from palate.operators.staging import clear_staged, stage_measured, staging_path, staging_root
 from palate.sinks import write_csv
-from palate.sources import SCHEMAS, read_csv, read_csv_tables, read_parquet_tables
+from palate.sources import SCHEMAS, read_csv, read_csv_checked, read_csv_tables, read_parquet_tables, read_result
 
 AWKWARD = {
     "movies": [
@@ -47,6 +47,65 @@ def test_line_breaks_are_rejected(spark, tmp_path, text):
         write_csv(df, str(tmp_path / "t"))
 
 
+BREAKS = ["a\nb", "x\ry", "\r\n", "\\", "\\n", "\\\\n", "a\\\nb", "tail\\", "\n\\", "", None, "plain", 'a "q",\nb', " \n "]
+
+
+def test_line_breaks_come_back(spark, tmp_path):
+    df = spark.createDataFrame([("1", str(i), text) for i, text in enumerate(BREAKS)], SCHEMAS["tags"])
+    write_csv(df, str(tmp_path / "t"), line_breaks="escape")
+    assert rows(read_csv(spark, "tags", str(tmp_path / "t"), escaped=True)) == rows(df)
+    assert rows(read_result(spark, "user_id string, movie_id string, tag string", str(tmp_path / "t"), escaped=True)) == rows(df)
+    lines = [line for file in (tmp_path / "t").glob("part-*") for line in file.read_text().splitlines() if line]
+    assert len([line for line in lines if line != "user_id,movie_id,tag"]) == len(BREAKS)
+    with pytest.raises(ValueError, match="keep"):
+        write_csv(df, str(tmp_path / "u"), line_breaks="keep")
+
+
+def test_a_failed_overwrite_leaves_the_old_table(spark, tmp_path):
+    path = tmp_path / "t"
+    write_csv(spark.range(5).toDF("n"), str(path))
+    bad = spark.range(100).selectExpr("if(id = 97, raise_error('no'), id) as n").repartition(4)
+    with pytest.raises(Exception, match="no"):
+        write_csv(bad, str(path))
+    assert rows(read_result(spark, "n long", str(path))) == [(n,) for n in range(5)]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_a_table_may_be_made_from_what_it_replaces(spark, tmp_path):
+    path = str(tmp_path / "t")
+    write_csv(spark.range(5).toDF("n"), path)
+    write_csv(read_result(spark, "n long", path).selectExpr("n * 2 as n"), path)
+    write_csv(read_result(spark, "n long", path).selectExpr("n + 1 as n"), path + "/", single_file=True)
+    assert rows(read_result(spark, "n long", path)) == [(1,), (3,), (5,), (7,), (9,)]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_bad_lines_are_set_apart(spark, tmp_path):
+    (tmp_path / "r").mkdir()
+    head = "userId,movieId,rating,timestamp\n"
+    (tmp_path / "r" / "a.csv").write_text(head + "1,2,4.5,9\n1,3,oops,9\n1,4\n2,2,,9\n3,3,1.0,9,9\n")
+    (tmp_path / "r" / "b.csv").write_text(head + '"1","2","3.5",8\n,,,\n"1,2",3,x y,7\n')
+    found = read_csv_checked(spark, "ratings", str(tmp_path / "r"))
+    assert rows(found.rows) == [("1", "2", 3.5), ("1", "2", 4.5), ("2", "2", None), (None, None, None)]
+    assert found.rows.schema == SCHEMAS["ratings"]
+    assert rows(found.bad_lines) == [("a.csv", "1,3,oops,9"), ("a.csv", "1,4"), ("a.csv", "3,3,1.0,9,9"), ("b.csv", '"1,2",3,x y,7')]
+    assert rows(found.counts()) == [("a.csv", 3), ("b.csv", 1)]
+    assert found.bad_lines.count() == 4 and found.rows.select("rating").count() == 4
+
+
+@pytest.mark.parametrize(("table", "text", "good", "bad"), [
+    ("ratings", "userId,movieId,rating\n1,2,3.0\n1,2,3.0,4\n", 1, 1),
+    ("tags", "userId,movieId,tag,timestamp\n1,2,a,3\n1,2,a\n", 1, 1),
+    ("genome_scores", "movieId,tagId,relevance\n1,1,0.5\n1,1,half\n", 1, 1),
+    ("movies", "year,genres,movieId,title\n1990,a|b,1,X\n1990,a|b,1\n", 1, 1),
+    ("genome_tags", "tagId,tag\n1,a\n2,\"b, c\"\n", 2, 0),
+])
+def test_bad_lines_of_every_table(spark, tmp_path, table, text, good, bad):
+    (tmp_path / "t.csv").write_text(text)
+    found = read_csv_checked(spark, table, str(tmp_path / "t.csv"))
+    assert (found.rows.count(), found.bad_lines.count()) == (good, bad)
+
+
 def test_columns_by_header_name(spark, tmp_path):
     (tmp_path / "m.csv").write_text('year,GENRES,movieId,title\n1995,Comedy|Drama,7,"Heat, The"\n')
     assert rows(read_csv(spark, "movies", str(tmp_path / "m.csv"))) == [("7", "Heat, The", "Comedy|Drama")]
@@ -165,3 +224,20 @@ def test_command_line_runs_all_queries(spark, table_folder, kind, capsys):
     assert len(result("user_target_cosine")) == 40
     assert result("skyline_movies")
     assert read_parquet_tables(spark, str(table_folder / "parquet")).ratings.count() == 480
+
+
+def test_command_line_sets_bad_lines_apart(spark, table_folder):
+    (table_folder / "csv" / "ratings.csv" / "more.csv").write_text("user_id,movie_id,rating\n1,2,five\n")
+    out = table_folder / "out"
+    main(["--input", str(table_folder / "csv"), "--output", str(out), "--target", "5", "--quarantine", str(table_folder / "bad")])
+    assert [r[1] for r in rows(read_result(spark, "file string, line string", str(table_folder / "bad" / "ratings")))] == ["1,2,five"]
+    assert rows(read_result(spark, "file string, line string", str(table_folder / "bad" / "tags"))) == []
+    assert spark.read.option("header", True).csv(str(out / "tag_sentiment")).count() == 2
+
+
+def test_the_batch_deals_ratings_by_movie_once(spark, table_folder):
+    """What else needs ratings by movie reads their averages and counts."""
+    before = last_execution(spark)
+    main(["--input", str(table_folder / "parquet"), "--output", str(table_folder / "o"), "--format", "parquet", "--target", "5"])
+    grouped = [p for p in executed_plans(spark, before) if "ratings.parquet" in p and "hashpartitioning(movie_id" in p]
+    assert len([p for p in grouped if "avg(rating" in p]) == 1
