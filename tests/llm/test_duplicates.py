@@ -290,6 +290,86 @@ def test_blocks_of_test_items_give_the_same(spark, monkeypatch):
     assert sorted(map(tuple, queries.op8_rare_seeds(spark, TINY).collect())) == want
 
 
+def every_pair(docs: list[tuple], items: list[tuple], keep: float = 0.5) -> set[tuple]:
+    """(doc_id, item_id) by aligning every document with every item, whole texts, no seeds."""
+    cut = lambda t: [w for w in re.split(r"[\W_]+", (t or "").lower()) if w]
+    names = {}
+    code = lambda t: np.array([names.setdefault(w, len(names)) for w in cut(t)], np.uint64)
+    found = set()
+    for item_id, text in items:
+        item = code(text)
+        if len(item) < 3:
+            continue
+        scores = decontamination.align([item] * len(docs), [code(t) for _, t in docs])
+        need = max(keep, min(1, decontamination.LEAST_WORDS / len(item)))
+        found |= {(d, item_id) for (d, _), score in zip(docs, scores, strict=True) if score >= need - 1e-9}
+    return found
+
+
+def edited_copies(own: random.Random, words: list[str]) -> list[str]:
+    """Copies about as bad as still count: words changed, lost or added at regular and at random places."""
+    new = lambda: f"n{own.randrange(10**9)}"
+    out = [" ".join(w if k % step != shift else new() for k, w in enumerate(words)) for step in (3, 4, 5) for shift in range(2)]
+    out.append(" ".join(x for w in words for x in (w, new())))  # a word added behind each
+    out.append(" ".join(w for k, w in enumerate(words) if k % 3))
+    for _ in range(40):
+        share = own.choice([0.2, 0.3, 0.35, 0.4])
+        kinds = own.choices(["same", "change", "lose", "add"], [1 - share, share / 3, share / 3, share / 3], k=len(words))
+        out.append(" ".join(x for w, kind in zip(words, kinds, strict=True) for x in {"same": [w], "change": [new()], "lose": [], "add": [w, new()]}[kind]))
+    return out
+
+
+def test_decontamination_equals_aligning_everything(spark):
+    """Recall and precision of 1 for the stated threshold, on edited copies inside texts that use the items' words."""
+    own = random.Random(21)
+    common = [f"c{i}" for i in range(12)]
+    texts = [" ".join(own.choices(common + [f"r{i}" for i in range(200)], k=n)) for n in (3, 5, 7, 12, 13, 30, 30, 31, 60)]
+    items = [*enumerate(texts, 1), (20, ITEM)]
+    noise = lambda n: " ".join(own.choices(common + [f"r{i}" for i in range(200)], k=n))
+    copies = [c for _, text in items for c in edited_copies(own, text.split())]
+    docs = [(i, f"{noise(own.randrange(30))} {c} {noise(own.randrange(30))}") for i, c in enumerate(copies)]
+    frame = spark.createDataFrame(docs, "uid long, text string").repartition(4)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {(r.uid, r.item_id) for r in decontamination.matches(frame, bench).collect()}
+    want = every_pair(docs, items)
+    assert got == want and len({d for d, _ in want}) > 150 and len(want) < len(docs) * 2
+
+
+def test_decontamination_equals_aligning_everything_on_the_tables(spark):
+    docs = [tuple(r) for r in spark.read.parquet(f"{TINY}/documents.parquet").select("doc_id", "text").collect()]
+    items = [tuple(r) for r in spark.read.parquet(f"{TINY}/benchmark.parquet").select("item_id", "text").collect()]
+    want = {d for d, _ in every_pair(docs, items)}
+    assert {r.doc_id for r in queries.op8_rare_seeds(spark, TINY).collect() if r.contaminated} == want
+
+
+def test_every_third_word_replaced(spark):
+    words = [f"w{i}" for i in range(30)]
+    copy = " ".join(w if k % 3 else f"x{k}" for k, w in enumerate(words))
+    docs = spark.createDataFrame([(1, copy), (2, " ".join(words[:4]))], "doc_id long, text string")
+    got = decontamination.contaminated(docs, spark.createDataFrame([(5, " ".join(words))], "item_id long, text string")).collect()
+    assert {r.doc_id: r.contaminated for r in got} == {1: True, 2: False}
+
+
+def test_a_very_long_item(spark):
+    own = random.Random(2)
+    words = [f"w{own.randrange(3000)}" for _ in range(20_000)]
+    changed = [w if k % 9 else "other" for k, w in enumerate(words)]
+    docs = spark.createDataFrame([(1, "before " + " ".join(changed)), (2, " ".join(words[:4000])), (3, "nothing")], "doc_id long, text string")
+    bench = spark.createDataFrame([(5, " ".join(words)), (6, "a short and wholly different item of words")], "item_id long, text string")
+    got = {r.doc_id: r.item_id for r in decontamination.contaminated(docs, bench).collect()}
+    assert got == {1: 5, 2: None, 3: None}
+
+
+def test_seeds_are_the_rarest_places(spark):
+    docs = spark.createDataFrame([(i, "of the old stone mill and more of the same") for i in range(50)], "uid long, text string")
+    bench = spark.createDataFrame([(1, "of the quick brown fox of the old stone mill and more")], "item_id long, text string")
+    _, seeds = decontamination.item_seeds(bench, 0.5, "item_id", "text")
+    kept = {r.place for r in decontamination.rare_seeds(docs, seeds).collect()}
+    assert len(kept) == decontamination.needed_places(12, 0.5) == 7 and {1, 2, 3, 4} <= kept
+    with pytest.raises(ValueError, match="0.5"):
+        decontamination.matches(docs, bench, threshold=0.3)
+
+
 def align_by_hand(item: list, passage: list) -> float:
     h, best = [[0] * (len(passage) + 1) for _ in range(len(item) + 1)], 0
     for i, x in enumerate(item, 1):
