@@ -74,6 +74,7 @@ def parse(source: str) -> Page:
     """The tree of block elements. Unclosed and misplaced tags are mended like browsers do roughly;
     comments, scripts and styles are skipped; an unfinished tag at the end is dropped."""
     page, open_, run, in_link, at = Page(), [], [], 0, 0
+    places: dict[str, list[int]] = {}  # where in open_ the elements of a name are
 
     def put(tag: str, words: frozenset[str], text: str | None, links: int = 0) -> int:
         for column, value in zip((page.tag, page.parent, page.words, page.text, page.link_chars, page.tags), (tag, open_[-1] if open_ else -1, words, text, links, 0), strict=True):
@@ -88,13 +89,14 @@ def parse(source: str) -> Page:
             run.clear()
 
     def end(tags: frozenset[str] | set[str], scope: frozenset[str]) -> None:
-        for k in range(len(open_) - 1, -1, -1):
-            if page.tag[open_[k]] in tags:
-                flush()
-                del open_[k:]
-                return
-            if page.tag[open_[k]] in scope:
-                return
+        """Close the innermost open element of tags and all in it, unless one of scope lies in between."""
+        at = max((places[t][-1] for t in tags if places.get(t)), default=-1)
+        if at < 0 or any(places[t][-1] > at for t in scope if places.get(t)):
+            return
+        flush()
+        for node in open_[at:]:
+            places[page.tag[node]].pop()
+        del open_[at:]
 
     put("#page", frozenset(), None)
     open_.append(0)
@@ -129,6 +131,7 @@ def parse(source: str) -> Page:
             words = frozenset(w for value in ATTRIBUTE.findall(mark) for w in SPLIT.split(value.lower()) if w) if " " in mark else frozenset()
             node = put(tag, words, None)
             if tag not in VOID and not mark.endswith("/>"):
+                places.setdefault(tag, []).append(len(open_))
                 open_.append(node)
     if at < len(source):
         run.append((html.unescape(source[at:]), in_link))
@@ -147,7 +150,7 @@ def features(page: Page) -> np.ndarray:
     chars = np.array([len(t) if t else 0 for t in page.text], float)
     sizes = chars.copy()
     links, tags, words = np.array(page.link_chars, float), np.array(page.tags, float), np.array([t.count(" ") + 1 if t else 0 for t in page.text], float)
-    marks = np.array([[sum(map(t.count, ".!?")), t.count(","), sum(map(str.isdigit, t[:400]))] if t else [0, 0, 0] for t in page.text], float)
+    marks = np.array([[sum(map(t.count, ".!?")), t.count(","), sum(map(str.isdigit, t))] if t else [0, 0, 0] for t in page.text], float)
     texts, count, place = np.zeros(n), np.zeros(n), np.zeros(n)
     same: dict[tuple[int, str], int] = {}
     for i in range(n):

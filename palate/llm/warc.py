@@ -32,7 +32,7 @@ FILE_BYTES = 48 << 20
 EMPTY_MEMBER = bytes.fromhex("1f8b08000000000000ff03000000000000000000")
 GZIP_MAGIC = b"\x1f\x8b\x08"
 VERSION = re.compile(rb"WARC/\d\.\d\r?\n")
-READ_SCHEMA = "path string, kind string, at long, length long, warc_type string, page_id long, url string, refers_to long, payload_digest string, payload_bytes long, payload binary, reason string"
+READ_SCHEMA = "path string, kind string, at long, length long, warc_type string, page_id long, url string, refers_to long, payload_digest string, payload_bytes long, payload binary, reason string, inner_at long, inner_length long"
 
 
 def _sha1(data: bytes) -> str:
@@ -137,50 +137,79 @@ def _fields(path: str, at: int, length: int, parsed: dict) -> dict:
     }
 
 
-def unzip_member(data: bytes, at: int, step: int = 1 << 15) -> tuple[bytes | None, int]:
-    """What the gzip member at `at` holds, and where it ends; None if it is cut off."""
+def unzip_member(data: bytes, at: int, step: int = 1 << 15) -> tuple[bytes, int, str]:
+    """What the gzip member at `at` holds, where it ends, and what is wrong with it. Of a broken or cut member, what
+    could be unpacked before that."""
     unzip, plain = zlib.decompressobj(31), []
     while at < len(data):
-        plain.append(unzip.decompress(data[at : at + step]))
+        before = unzip.copy()
+        try:
+            plain.append(unzip.decompress(data[at : at + step]))
+        except zlib.error as error:
+            if step == 1:
+                return b"".join(plain), at, f"member is broken: {error}"
+            unzip, step = before, max(1, step // 32)  # nearer to the damage in smaller steps
+            continue
         at += step
         if unzip.eof:
-            return b"".join(plain), min(at, len(data)) - len(unzip.unused_data)
-    return None, at
+            return b"".join(plain), min(at, len(data)) - len(unzip.unused_data), ""
+    return b"".join(plain), len(data), "member is cut off"
+
+
+def _in_member(plain: bytes) -> Iterator[tuple[int, int, dict | str]]:
+    """(start, length, record or reason) of unpacked bytes: the records, and the ranges that belong to none."""
+    at, gap_at, why = 0, 0, ""
+    while at < len(plain):
+        parsed, end, reason = parse_record(plain, at) if VERSION.match(plain, at) else (None, at, "no record starts here")
+        if parsed is not None:
+            if at > gap_at:
+                yield gap_at, at - gap_at, why
+            yield at, end - at, parsed
+            at = gap_at = end
+            continue
+        why = reason if at == gap_at else why
+        version = VERSION.search(plain, at + 1)
+        at = version.start() if version else len(plain)
+    if at > gap_at:
+        yield gap_at, at - gap_at, why
 
 
 def salvage(path: str, data: bytes) -> Iterator[dict]:
     """The records of one file in order, and a row of kind `gap` for each range of bytes that belongs
     to none, with the reason why it was given up. Bytes of records and gaps together cover the file,
-    but for empty members between records."""
+    but for empty members between records.
+
+    Inside a gzip member, `inner_at` and `inner_length` say where a record lies in the unpacked bytes; its
+    records share the member's `at` and `length`. A range of unpacked bytes without a record is a gap of its own, of
+    length 0 in the file. Records unpacked before a member breaks off are kept, also with length 0: the member's
+    bytes are a gap."""
     at, gap_at, why = 0, None, ""
     while at < len(data):
-        found, end, reason = [], at, "no record starts here"
+        found, inside, end, reason = [], [], at, "no record starts here"
         if data.startswith(GZIP_MAGIC, at):
-            try:
-                plain, then = unzip_member(data, at)
-                if plain is not None:
-                    end, inner = then, 0
-                    while inner < len(plain):
-                        parsed, then, reason = parse_record(plain, inner)
-                        if parsed is None:
-                            break
-                        found.append(parsed)
-                        inner = then
-                    if inner < len(plain):
-                        found, end = [], at
-                else:
-                    reason = "member is cut off"
-            except zlib.error as error:
-                reason = f"member is broken: {error}"
+            plain, then, broken = unzip_member(data, at)
+            inside = list(_in_member(plain))
+            if not any(isinstance(what, dict) for *_, what in inside):
+                reason, inside = broken or (inside[0][2] if inside else ""), []
+                end = then if not plain and not broken else at
+            elif broken:
+                reason = broken
+            else:
+                end = then
         elif VERSION.match(data, at):
             parsed, end, reason = parse_record(data, at)
             found = [parsed] if parsed else []
+        if gap_at is not None and (end > at or inside):
+            yield {"path": path, "kind": "gap", "at": gap_at, "length": at - gap_at, "reason": why}
+            gap_at = None
+        for parsed in found:
+            yield _fields(path, at, end - at, parsed)
+        for inner, length, what in inside:
+            if isinstance(what, dict):
+                yield _fields(path, at, end - at, what) | {"inner_at": inner, "inner_length": length}
+            else:
+                yield {"path": path, "kind": "gap", "at": at, "length": 0, "reason": what, "inner_at": inner, "inner_length": length}
         if end > at:
-            if gap_at is not None:
-                yield {"path": path, "kind": "gap", "at": gap_at, "length": at - gap_at, "reason": why}
-                gap_at = None
-            for parsed in found:
-                yield _fields(path, at, end - at, parsed)
             at = end
             continue
         if gap_at is None:

@@ -5,7 +5,9 @@ from __future__ import annotations
 import gzip
 import hashlib
 import html
+import os
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -121,6 +123,32 @@ def test_salvage_recovers_all_other_records(compressed, harm):
     assert sum(r["length"] for r in found) == len(data)
 
 
+@pytest.mark.parametrize(("harm", "whole"), [("header", [0, 1, 3, 4, 5, 6, 7]), ("tail", list(range(7))), ("half", [0, 1, 2, 3]), ("flip", [0, 1, 2]), ("none", list(range(8)))])
+def test_salvage_inside_one_member(harm, whole):
+    """Eight records in one gzip member; the damage lies in the unpacked or in the packed bytes."""
+    texts = [f"<p>{os.urandom(3000).hex()}</p>" for _ in range(8)]
+    records = [warc.record(i, f"http://x/{i}", t, hashlib.sha1(t.encode()).digest(), None, False, "2024-01-01T00:00:00Z") for i, t in enumerate(texts)]
+    plain = b"".join(records)
+    if harm == "header":
+        at = len(records[0]) + len(records[1]) + records[2].index(b"Content-Length") + len(b"Content-Length")
+        plain = plain[:at] + b"X" + plain[at + 1 :]
+    data = gzip.compress(plain, mtime=0)
+    if harm == "tail":
+        data = data[:-10]
+    elif harm == "half":
+        data = data[: int(len(data) * 0.55)]
+    elif harm == "flip":
+        middle = int(len(data) * 0.45)
+        data = data[:middle] + bytes(b ^ 0xFF for b in data[middle : middle + 40]) + data[middle + 40 :]
+    found = list(warc.salvage("f", data + gzip.compress(sample_records(1)[0])))
+    got = [r["page_id"] for r in found if r["kind"] == "record"]
+    assert got[-1] == 0 and got[:-1][: len(whole)] == whole and len(got) - 1 <= len(whole) + (harm in ("flip", "tail"))
+    gaps = [r for r in found if r["kind"] == "gap"]
+    assert bool(gaps) == (harm != "none") and all(g["reason"] for g in gaps)
+    if harm == "header":
+        assert [(g["inner_at"], g["inner_length"]) for g in gaps] == [(len(records[0]) + len(records[1]), len(records[2]))]
+
+
 def test_reader_takes_plain_and_damaged_files(spark, tmp_path):
     records = sample_records(3)
     (tmp_path / "a.warc").write_bytes(b"".join(records))
@@ -160,6 +188,22 @@ def test_extraction_without_landmarks_and_of_odd_pages(spark):
     assert html_text.extract(pages.limit(0)).collect() == []
 
 
+def test_broken_pages_take_time_in_proportion():
+    """Tags that close nothing, and elements that are never closed."""
+    began = time.perf_counter()
+    deep = html_text.parse("<div>x</section>" * 70_000)
+    assert len(deep.tag) == 140_001 and time.perf_counter() - began < 5
+    began = time.perf_counter()
+    html_text.parse("<p><table>" + "<ul><div>x" * 40_000)
+    assert time.perf_counter() - began < 5
+
+
+def test_digits_of_whole_blocks_count():
+    page = html_text.parse("<p>" + "a" * 500 + "7" * 2500 + "</p>")
+    shares = html_text.features(page)[:, html_text.FEATURES.index("digits")]
+    assert np.isclose(shares[page.tag.index("#text")], 2500 / 3000, atol=0.01)
+
+
 def test_decoding_keeps_ancestors():
     page = html_text.parse("<div><nav><p>a</p></nav><p>b</p></div>")
     own = np.random.default_rng(1)
