@@ -15,6 +15,7 @@ import hashlib
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import takewhile
 from urllib.parse import quote, unquote
 
 import pyarrow as pa
@@ -189,6 +190,8 @@ def salvage(path: str, data: bytes) -> Iterator[dict]:
         if data.startswith(GZIP_MAGIC, at):
             plain, then, broken = unzip_member(data, at)
             inside = list(_in_member(plain))
+            if broken:  # behind the first failure nothing that was unpacked can be trusted
+                inside = list(takewhile(lambda row: isinstance(row[2], dict), inside)) or inside[:1]
             if not any(isinstance(what, dict) for *_, what in inside):
                 reason, inside = broken or (inside[0][2] if inside else ""), []
                 end = then if not plain and not broken else at
