@@ -201,7 +201,7 @@ _BUILDERS: dict[str, Callable[[SparkSession, Tables], DataFrame]] = {
         t, ["avg_rating", "n_ratings", "avg_relevance"]
     ),
     "cosine_components_long": lambda _, t: profiles.cosine_components(
-        t.ratings, t.genome_scores, P.TARGET, P.MIN_LIKED
+        t.ratings, t.genome_scores, P.TARGET, P.MIN_LIKED, blocked=False
     ),
     "tag_uses_cut_join": lambda _, t: spread_join(
         blocks.movie_tag_uses(t.tags), blocks.tag_totals(t.tags), ["tag"],

@@ -201,7 +201,7 @@ def test_blocked_and_long_vectors_agree(make):
         found = cosine_components(ratings, scores, "m3", **limit).collect()
         return {r[0]: tuple(r[1:]) for r in found}
 
-    blocked, long = sums(blocked=True), sums()
+    blocked, long = sums(blocked=True), sums(blocked=False)
     assert set(long) == set(blocked) and len(long) > 20
     for user in long:
         for x, y in zip(long[user], blocked[user], strict=True):

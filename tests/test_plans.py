@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 import pytest
-from conftest import TESTDATA, executed_plans, last_execution, plan
+from conftest import TESTDATA, executed_plans, last_execution, plan, rows
 
+from palate.operators import profiles
 from palate.plans import workloads
 from palate.registry import QUERIES
 from palate.sources.canonical import canonical
@@ -72,6 +73,15 @@ def test_the_cosine_adapts_to_the_size_of_the_target(spark):
     assert "BroadcastHashJoin" in executed_plans(spark, before)[-1]
 
 
+def test_large_ratings_meet_vectors_in_blocks(spark, monkeypatch):
+    name = "user_target_cosine"
+    want = rows(QUERIES[name](spark, SF_DIR))
+    assert "present" not in plan(QUERIES[name](spark, SF_DIR))
+    monkeypatch.setattr(profiles, "BLOCKED_BYTES", 1000)
+    blocked = QUERIES[name](spark, SF_DIR)
+    assert "present" in plan(blocked) and rows(blocked) == want
+
+
 def test_topk_sorts_locally_first(spark):
     assert "TakeOrderedAndProject" in plan(QUERIES["topk_users"](spark, SF_DIR))
 
