@@ -7,7 +7,7 @@ added; it is kept in versions. A record never changes its slot.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from palate.llm.common import stage
@@ -107,11 +107,41 @@ def assign(slotted: DataFrame, slot_map: DataFrame) -> DataFrame:
     return slotted.withColumn("place", place).join(F.broadcast(offsets), "virtual_slot").select(*slotted.columns, "shard", (F.col("first") + F.col("place") - 1).alias("slot"))
 
 
-def shard_documents(records: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def save_map(slot_map: DataFrame, path: str, version: int) -> None:
+    """Keep a map as a version below path, a folder that all nodes share. A version is written once; writing it
+    again is an error, as records may lie where it says."""
+    slot_map.select("virtual_slot", "shard").write.mode("errorifexists").parquet(f"{path.rstrip('/')}/version={version:06d}")
+
+
+def load_map(spark: SparkSession, path: str, version: int | None = None) -> DataFrame:
+    """(version, virtual_slot, shard) of a kept version, the latest by default. An unknown version, or a path without any, is an
+    error."""
+    kept = spark.read.schema("virtual_slot int, shard int, version int").option("basePath", path).parquet(path)
+    if version is None:
+        version = kept.agg(F.max("version")).first()[0]
+    found = kept.filter(F.col("version") == F.lit(version))
+    if version is None or found.isEmpty():
+        raise ValueError(f"{path} has no version {version} of a map")
+    return found.select("version", "virtual_slot", "shard")
+
+
+def rebalance(spark: SparkSession, path: str, records: DataFrame, n_shards: int, id_col: str = "doc_id", text_col: str = "text", n_slots: int = N_SLOTS) -> DataFrame:
+    """Edit the latest kept map for n_shards shards by the bytes that its slots hold now, keep the result as the next
+    version, and return it."""
+    current = load_map(spark, path)
+    version = current.first()["version"] + 1
+    weights = slot_weights(with_slots(records, id_col, text_col, n_slots), n_slots)
+    save_map(grow_map(current, weights, n_shards), path, version)
+    return load_map(spark, path, version)
+
+
+def shard_documents(records: DataFrame, n_shards: int = 16, n_slots: int = N_SLOTS, id_col: str = "doc_id", text_col: str = "text", slot_map: DataFrame | None = None) -> DataFrame:
     """Every record with its shard: (doc_id, size, text_crc32, virtual_slot, shard, slot).
 
     Law: bytes. Shards hold nearly equal bytes, up to about the lightest slot that was dealt
-    last. An empty table gives no rows. One record larger than a fair share fills its shard."""
+    last. An empty table gives no rows. One record larger than a fair share fills its shard.
+    ``slot_map`` is a kept map, which says where the slots lie; by default one is made for these records."""
     slotted = stage(with_slots(records, id_col, text_col, n_slots), "slotted")
-    slot_map = stage(new_map(slot_weights(slotted, n_slots), n_shards), "slot-map-v0")
-    return assign(slotted, slot_map)
+    if slot_map is None:
+        slot_map = stage(new_map(slot_weights(slotted, n_slots), n_shards), "slot-map-v0")
+    return assign(slotted, slot_map.select("virtual_slot", "shard"))

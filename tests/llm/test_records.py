@@ -58,6 +58,24 @@ def test_shards_hold_equal_bytes_and_grow_into_new_ones(spark):
     assert min(load.values()) > 0.95 * sum(load.values()) / 5
 
 
+def test_maps_are_kept_in_versions(spark, tmp_path):
+    docs, path = spark.read.parquet(f"{TINY}/documents.parquet"), str(tmp_path / "map")
+    weights = sharding.slot_weights(sharding.with_slots(docs))
+    sharding.save_map(sharding.new_map(weights, 4), path, 0)
+    first = {r.doc_id: r.shard for r in sharding.shard_documents(docs, slot_map=sharding.load_map(spark, path)).collect()}
+    assert first == {r.doc_id: r.shard for r in sharding.shard_documents(docs, n_shards=4).collect()}
+    grown = sharding.rebalance(spark, path, docs, 5)
+    then = {r.doc_id: r.shard for r in sharding.shard_documents(docs, slot_map=grown).collect()}
+    moved = {d for d in first if first[d] != then[d]}
+    assert moved and {then[d] for d in moved} == {4}
+    again = {r.doc_id: r.shard for r in sharding.shard_documents(docs, slot_map=sharding.load_map(spark, path, 0)).collect()}
+    assert again == first and sharding.load_map(spark, path).first()["version"] == 1
+    with pytest.raises(Exception, match="(?i)exists"):
+        sharding.save_map(grown, path, 1)
+    with pytest.raises(ValueError, match="no version 7"):
+        sharding.load_map(spark, path, 7)
+
+
 def test_sharding_of_odd_rows(spark, odd_docs, no_docs):
     got = sharding.shard_documents(odd_docs, 3).collect()
     assert len(got) == odd_docs.count() and sorted(r.size for r in got)[:2] == [1, 1]
