@@ -1,10 +1,16 @@
 """Lexical retrieval packing: a BM25 index per shard names unused neighbours for every seed.
 
 All token lists are cut into windows. What a long document has in whole windows fills windows of its
-own; the rests are dealt to shards of a fixed number of tokens. In a shard, an inverted index returns the unused pieces
+own; the rests are dealt to shards of a bounded number of tokens by what they say, so that a seed finds its
+neighbours in its own shard however many there are. In a shard, an inverted index returns the unused pieces
 most like the seed; they fill the seed's window in that order, the last one is cut, and what
 is left of it seeds the next window. So only the last window of a shard is padded.
 Terms are token ids; how many pieces hold a term is counted over the whole corpus.
+
+Byte-pair merges are numbered as they are learned, common ones first, so a piece's largest ids are its most special
+terms. Its three largest are its place (`near`): pieces of one largest id make a group, groups share a shard
+or take several, and in those the other two ids decide. Where too many pieces have one place they are dealt to
+some cells of it.
 """
 
 from __future__ import annotations
@@ -22,6 +28,8 @@ from palate.llm.common import batches, stage, strings
 WINDOW = 4096
 END = 2
 SHARD_TOKENS = 1 << 21
+#: What a shard is planned for, and a cell of one place, as shares of that: hashes fill them unevenly.
+PLANNED, CELL = 3 / 4, 1 / 12
 #: Entries of the index that are added up at once.
 ENTRIES = 1 << 20
 K1, B = 1.2, 0.75
@@ -29,7 +37,7 @@ PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id lon
 
 
 def token_windows(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, end: int = END, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Rows of kind 0, (doc_id, start, doc_tokens, length, ids): every document's ids, its end id
+    """Rows of kind 0, (doc_id, start, doc_tokens, length, near, ids): every document's ids, its end id
     included, in runs of `window` and a rest; and of kind 1: how many runs of a batch hold each id."""
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -43,10 +51,13 @@ def token_windows(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, en
             doc = np.repeat(np.arange(len(lengths)), runs)
             start = (np.arange(len(doc)) - np.repeat(np.cumsum(runs) - runs, runs)) * window
             length = np.minimum(window, lengths[doc] - start)
-            spread = np.zeros(bpe.size, np.int64)
+            spread, near = np.zeros(bpe.size, np.int64), np.zeros(len(doc), np.int64)
             at = firsts[doc] + start
-            for a, n in zip(at.tolist(), length.tolist(), strict=True):
-                spread[np.unique(all_ids[a : a + n])] += 1
+            for i, (a, n) in enumerate(zip(at.tolist(), length.tolist(), strict=True)):
+                own = np.unique(all_ids[a : a + n])
+                spread[own] += 1
+                for k, term in enumerate(own[:-4:-1].tolist()):
+                    near[i] |= term << (42 - 21 * k)
             data = pa.Array.from_buffers(pa.large_binary(), len(doc), [None, pa.py_buffer(np.append(at * 4, len(all_ids) * 4).astype(np.int64).tobytes()), pa.py_buffer(all_ids.tobytes())])
             n = len(doc) + 1
             yield pa.RecordBatch.from_arrays(
@@ -56,12 +67,13 @@ def token_windows(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, en
                     pa.array(np.append(start, 0)),
                     pa.array(np.append(lengths[doc], 0)),
                     pa.array(np.append(length, 0)),
+                    pa.array(np.append(near, 0)),
                     pa.concat_arrays([data.cast(pa.binary()), pa.array([spread.astype("<i8").tobytes()], pa.binary())]),
                 ],
-                ["kind", "doc_id", "start", "doc_tokens", "length", "ids"],
+                ["kind", "doc_id", "start", "doc_tokens", "length", "near", "ids"],
             )
 
-    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(cut, "kind int, doc_id long, start long, doc_tokens long, length long, ids binary")
+    return docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")).mapInArrow(cut, "kind int, doc_id long, start long, doc_tokens long, length long, near long, ids binary")
 
 
 def _spread_terms(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -75,6 +87,32 @@ def _spread_terms(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(terms), pa.array(total[terms])], ["term", "df"])
 
 
+def deal(runs: DataFrame, shard_tokens: int) -> DataFrame:
+    """runs with their shard. What is counted on the driver has a row per id of the vocabulary at most; places with
+    too many tokens are joined to the runs."""
+    planned, cell = max(1, int(shard_tokens * PLANNED)), max(1, int(shard_tokens * CELL))
+    head = F.shiftright("near", 42)
+    sizes = runs.groupBy(head.alias("head")).agg(F.sum("length").alias("tokens")).orderBy("head").toArrow()
+    heads, first, shards, shard, room = sizes["head"].to_pylist(), [], [], -1, 0
+    for tokens in sizes["tokens"].to_pylist():
+        if tokens > planned:
+            shards.append(-(-tokens // planned))
+            first.append(shard + 1)
+            shard, room = shard + shards[-1], 0
+            continue
+        if tokens > room:
+            shard, room = shard + 1, planned
+        room -= tokens
+        first.append(shard)
+        shards.append(1)
+    spark = runs.sparkSession
+    table = spark.createDataFrame(list(zip(heads, first, shards, strict=True)), "head long, first long, shards long")
+    crowded = stage(runs.groupBy("near").agg(F.sum("length").alias("tokens")).filter(F.col("tokens") > cell).selectExpr("near", f"tokens div {cell} + 1 AS cells"), "crowded")
+    own = F.when(F.col("cells").isNull(), 0).otherwise(F.pmod(F.xxhash64("doc_id", "start", "ids"), "cells"))
+    met = runs.withColumn("head", head).join(F.broadcast(table), "head").join(crowded, "near", "left")
+    return met.withColumn("shard", F.col("first") + F.pmod(F.xxhash64("near", own), "shards")).select(*runs.columns, "shard")
+
+
 def fill_windows(lists: list[np.ndarray], idf: np.ndarray, mean: float, window: int) -> Iterator[list[tuple[int, int, int]]]:
     """Windows as lists of (piece, first, end) over pieces shorter than a window, in their order. A seed
     asks with all its terms."""
@@ -138,8 +176,8 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, shard_token
     little-endian unsigned 32-bit numbers.
 
     Null and empty texts are the end id alone. Repeated rows are packed each; their starts repeat too.
-    A shard's rows meet in one task: about shard_tokens ids, whatever the corpus size, as rows are
-    dealt by a hash. An empty table gives no rows. Other columns are ignored."""
+    A shard's rows meet in one task: about shard_tokens ids, whatever the corpus size and however many
+    copies a text has. An empty table gives no rows. Other columns are ignored."""
     spark = docs.sparkSession
     staged = stage(token_windows(docs, tokenizer_path, window, END, id_col, text_col), "windows")
     runs = staged.filter("kind = 0").drop("kind")
@@ -150,7 +188,6 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, shard_token
     df[found["term"].to_numpy(np.int64)] = found["df"]
     n, total = n or 1, total or 1
     idf = spark.sparkContext.broadcast(np.log1p((n - df + 0.5) / (df + 0.5)))
-    n_shards = max(1, -(-total // shard_tokens))
 
     def fill(table: pa.Table) -> pa.Table:
         table = table.sort_by([("doc_id", "ascending"), ("start", "ascending"), ("doc_tokens", "ascending"), ("ids", "ascending")]).combine_chunks()
@@ -186,5 +223,4 @@ def pack(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, shard_token
             ["doc_id", "start", "length", "doc_tokens", "sequence_id", "offset", "ids"],
         )
 
-    dealt = runs.withColumn("shard", F.pmod(F.xxhash64("doc_id", "start", "ids"), F.lit(n_shards)))
-    return dealt.groupBy("shard").applyInArrow(fill, PIECES)
+    return deal(runs, shard_tokens).drop("near").groupBy("shard").applyInArrow(fill, PIECES)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -121,6 +122,50 @@ def test_a_seed_asks_with_all_its_terms(monkeypatch):
         assert [[p[0] for p in w] for w in packing.fill_windows(lists, idf, 40, 140)] == [[0, 2, 1]]
 
 
+def test_near_copies_share_a_window_at_every_number_of_shards(spark):
+    """Each text has a copy with one more word; shards a 64th the size must not part them."""
+    rows = spark.read.parquet(f"{TESTDATA}/sf0.01/documents.parquet").filter("length(text) between 200 and 6000").orderBy("doc_id").limit(500).collect()
+    pairs = [(2 * i + k, r.text + " word" * k) for i, r in enumerate(rows) for k in (0, 1)]
+    docs = spark.createDataFrame(pairs, "doc_id long, text string").repartition(4)
+
+    def together(shard_tokens: int) -> tuple[float, int]:
+        windows = {}
+        pieces = packing.pack(docs, WORDS, shard_tokens=shard_tokens).select("doc_id", "sequence_id").collect()
+        for p in pieces:
+            windows.setdefault(p.doc_id, set()).add(p.sequence_id)
+        return sum(bool(windows[2 * i] & windows[2 * i + 1]) for i in range(len(rows))) / len(rows), len({p.sequence_id >> 32 for p in pieces})
+
+    found = {size: together(size) for size in (1 << 21, 1 << 17, 1 << 15)}
+    assert found[1 << 21][1] == 1 and found[1 << 15][1] > 12
+    assert min(share for share, _ in found.values()) > 0.9, found
+
+
+def test_many_copies_of_one_text_are_dealt_to_several_shards(spark):
+    docs = spark.range(3000).selectExpr("id as doc_id", "if(id % 3 = 0, 'the very same words again and again in every copy', concat('text ', id, ' of ', hash(id))) as text")
+    pieces = packing.pack(docs, WORDS, shard_tokens=4096).collect()
+    sizes = Counter()
+    for p in pieces:
+        sizes[p.sequence_id >> 32] += p.length
+    assert len(sizes) > 8 and max(sizes.values()) < 3 * 4096
+    assert {p.doc_id for p in pieces} == set(range(3000))
+
+
+def test_index_order_equals_bm25_by_hand():
+    """Neighbours of every seed in the order of scores computed term by term."""
+    own = np.random.default_rng(4)
+    lists = [own.integers(0, 40, int(n)).astype(np.uint32) for n in own.integers(5, 30, 60)]
+    idf, mean = own.random(40) + 0.1, float(np.mean([len(x) for x in lists]))
+
+    def score(seed: np.ndarray, other: np.ndarray) -> float:
+        counts = Counter(other.tolist())
+        return sum(idf[t] * counts[t] * 2.2 / (counts[t] + 1.2 * (0.25 + 0.75 * len(other) / mean)) for t in set(seed.tolist()) if counts[t])
+
+    first = next(packing.fill_windows(lists, idf, mean, sum(map(len, lists))))
+    want = sorted(range(1, 60), key=lambda i: -score(lists[0], lists[i]))
+    got = [i for i, *_ in first][1:]
+    assert np.allclose([score(lists[0], lists[i]) for i in got if score(lists[0], lists[i]) > 0], [score(lists[0], lists[i]) for i in want if score(lists[0], lists[i]) > 0], rtol=1e-5)
+
+
 def test_last_neighbour_is_cut_and_seeds_the_next_window():
     lists = [np.full(3, 5, np.uint32), np.full(3, 5, np.uint32)]
     windows = list(packing.fill_windows(lists, np.ones(6), 3, 4))
