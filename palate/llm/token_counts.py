@@ -25,6 +25,8 @@ from palate.llm.common import batches, hash_strings, stage, strings
 SPACE = "▁"
 #: A pre-token that this share of a block's documents holds is dealt by its block too.
 COMMON = 1 / 16
+#: Packed bytes of a bucket that one task takes; a larger bucket is dealt by blocks.
+GROUP_BYTES = 32 << 20
 BLOCK = "block long, bucket int, words binary, word_sizes binary, n_docs binary, docs binary, freqs binary, ids array<long>, sizes array<long>"
 _BLOCK_TYPES = [pa.int64(), pa.int32(), *[pa.binary()] * 5, pa.list_(pa.int64()), pa.list_(pa.int64())]
 _BLOCK_NAMES = [x.split()[0] for x in BLOCK.split(", ")]
@@ -109,8 +111,9 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, id_col: st
     `SentencePieceProcessor.encode(text)` gives.
 
     A null text counts as empty, with no bytes and no tokens. Repeated rows are counted each.
-    Empty tables give no rows; other columns are ignored. There are as many buckets as shuffle partitions. A
-    pre-token that many documents share is dealt to several buckets, by block; each counts it once."""
+    Empty tables give no rows; other columns are ignored. There are as many buckets as shuffle partitions; where they
+    hold more than GROUP_BYTES, several tasks share one, a block going to one of them. A
+    pre-token that many documents share is dealt to several buckets, by block; each task counts it once."""
     spark = docs.sparkSession
     buckets = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     staged = stage(_blocks(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), model_path, buckets), "pre-tokens")
@@ -144,7 +147,9 @@ def count_tokens(docs: DataFrame, model_path: str, limit: int = 4096, id_col: st
         return pa.table([ids, sizes, pa.array(total), pa.array(total > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     lists = staged.filter("bucket is not null").select("block", "bucket", "words", "word_sizes", "n_docs", "docs", "freqs")
-    sums = lists.groupBy("bucket").applyInArrow(count, "block long, docs binary, sums binary")
+    size = lists.agg(F.sum(F.octet_length("words") + F.octet_length("docs") + F.octet_length("freqs"))).first()[0] or 0
+    share = F.pmod(F.xxhash64("block"), F.lit(max(1, -(-size // (buckets * GROUP_BYTES)))))
+    sums = lists.groupBy("bucket", share.alias("share")).applyInArrow(count, "block long, docs binary, sums binary")
     rows = staged.filter("bucket is null").select("block", F.lit(None).cast("binary").alias("docs"), F.lit(None).cast("binary").alias("sums"), "ids", "sizes")
     back = sums.select("*", F.lit(None).cast("array<long>").alias("ids"), F.lit(None).cast("array<long>").alias("sizes")).unionByName(rows)
     return back.groupBy("block").applyInArrow(add, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

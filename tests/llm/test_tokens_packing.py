@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -51,6 +52,22 @@ def test_token_counts_of_odd_rows(spark, odd_docs, no_docs):
     assert token_counts.count_tokens(no_docs, PIECES).collect() == []
 
 
+def test_a_bucket_is_shared_by_tasks(spark, monkeypatch):
+    """With one bucket, and less room than its lists take, its blocks go to several tasks, with the same counts."""
+    docs = spark.read.parquet(f"{TINY}/documents.parquet").repartition(16)
+    want = sorted(map(tuple, token_counts.count_tokens(docs, PIECES).collect()))
+    monkeypatch.setattr(token_counts, "GROUP_BYTES", 20_000)
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        done = token_counts.count_tokens(docs, PIECES)
+        text = done._jdf.queryExecution().toString()
+        assert int(re.search(r"pmod\(xxhash64\(block#\d+L, 42\), (\d+)\)", text)[1]) > 4
+        assert sorted(map(tuple, done.collect())) == want
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+
 def test_token_count_query(spark):
     library = SentencePieceProcessor(model_file=PIECES)
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{TINY}/documents.parquet").collect()}
