@@ -101,22 +101,37 @@ def _cuts(groups: int) -> np.ndarray:
     return np.array([-(-(j << 64) // groups) for j in range(groups)], np.uint64)
 
 
-def _sets_of(docs: DataFrame, words: int, p: int, q: int) -> DataFrame:
-    """(doc_id, n_shingles, node, keys); node and keys are null for a document without words, keys
-    also for what a batch has named before."""
+def _sets_of(docs: DataFrame, words: int) -> DataFrame:
+    """(doc_id, n_shingles, node) of every row; node is null for a document without words."""
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches(parts, 4096, 8 << 20):
-            seen, nodes, keys, sizes = set(), [], [], []
+            nodes, sizes = [], []
             for found in shingle_sets(strings(part.column(1)), words):
-                node = name_of(found) if len(found) else None
-                nodes.append(node)
+                nodes.append(name_of(found) if len(found) else None)
                 sizes.append(len(found))
-                keys.append(None if node is None or node in seen else box_keys(found, p, q).view(np.int64))
-                seen.add(node)
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["doc_id", "n_shingles", "node", "keys"])
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())], ["doc_id", "n_shingles", "node"])
+
+    return docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, n_shingles long, node long")
+
+
+def _boxes_of(docs: DataFrame, words: int, p: int, q: int) -> DataFrame:
+    """(key, node, n_shingles): the boxes of every set that is not empty, once per batch. They are several times the size
+    of the texts, so they are made where they are shuffled and not written before."""
+
+    def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches(parts, 4096, 8 << 20):
+            seen, nodes, keys, sizes = set(), [], [], []
+            for found in shingle_sets(strings(part.column(0)), words):
+                if len(found) and (node := name_of(found)) not in seen:
+                    seen.add(node)
+                    nodes.append(node)
+                    sizes.append(len(found))
+                    keys.append(box_keys(found, p, q).view(np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["node", "n_shingles", "keys"])
 
-    return docs.mapInArrow(cut, "doc_id long, n_shingles long, node long, keys array<long>")
+    found = docs.select("text").mapInArrow(cut, "node long, n_shingles long, keys array<long>")
+    return found.select(F.explode("keys").alias("key"), "node", "n_shingles")
 
 
 def count_vectors(sets: list[np.ndarray]) -> np.ndarray:
@@ -188,14 +203,12 @@ def _visits(shared: DataFrame) -> DataFrame:
     return visits
 
 
-def links(sets: DataFrame, docs: DataFrame, words: int, p: int, q: int) -> DataFrame:
-    """Edges (a, b) between nodes of _sets_of, staged: a forest of the links' components. The staged
-    sets are deleted when their boxes are known."""
-    keyed = sets.filter("keys is not null").select(F.explode("keys").alias("key"), "node", "n_shingles")
+def links(docs: DataFrame, words: int, p: int, q: int) -> DataFrame:
+    """Edges (a, b) between the sets of docs (text): a forest of the links' components."""
+    keyed = _boxes_of(docs, words, p, q)
     box = Window.partitionBy("key")
     shared = keyed.withColumn("sharers", F.count("*").over(box)).filter("sharers > 1").withColumn("least", F.min("node").over(box)).withColumn("most", F.max("node").over(box))
     shared = stage(shared.filter("least <> most").select("key", "node", "n_shingles", "sharers").distinct(), "boxes")
-    discard(sets)
     visits = _visits(shared)
     crowd = visits.filter(~F.col("own")).groupBy("leaf").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.coalesce("n", F.lit(0)) / VISITORS).cast("int")
@@ -203,7 +216,7 @@ def links(sets: DataFrame, docs: DataFrame, words: int, p: int, q: int) -> DataF
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     one = F.array(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.select("leaf", "node", "own", F.explode(F.when(F.col("own"), every).otherwise(one)).alias("block"))
-    bits = sets.sparkSession.sparkContext.broadcast(hash_filter(shared.select("node").distinct(), "node"))
+    bits = docs.sparkSession.sparkContext.broadcast(hash_filter(shared.select("node").distinct(), "node"))
     discard(shared)
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,9 +253,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: tuple[int, int]
     tables give no rows; other columns are ignored."""
     p, q = similarity
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    found = stage(_sets_of(source, words, p, q), "keyed-sets")
-    sets = stage(found.drop("keys"), "shingle-sets")
-    roots = components(links(found, source, words, p, q), "documents").select("node", "root")
+    sets = stage(_sets_of(source, words), "shingle-sets")
+    roots = components(links(source, words, p, q), "documents").select("node", "root")
     classed = sets.filter("node is not null").select("doc_id", "n_shingles", "node").join(roots, "node", "left").select("doc_id", "n_shingles", F.coalesce("root", "node").alias("root"))
     least = classed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     alone = sets.filter("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))
