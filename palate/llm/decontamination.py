@@ -118,7 +118,7 @@ def rare_seeds(docs: DataFrame, seeds: DataFrame) -> DataFrame:
     bits = docs.sparkSession.sparkContext.broadcast(hash_filter(names, "gram"))
 
     def count(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches(parts, 2048, 8 << 20):
+        for part in batches(parts, 512, 2 << 20):
             _, _, gram = pairs(*words_of(strings(part.column(0))))
             gram, times = np.unique(gram[in_filter(bits.value, gram)], return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(times.astype(np.int64))], ["gram", "times"])
@@ -250,7 +250,7 @@ def _scores(docs: DataFrame, seeds: pa.Table, items: pa.Table, threshold: float)
         yield pa.RecordBatch.from_arrays([uids.take(pa.array(text[good])), pa.array(names[item[good]]), pa.array(score[good])], ["uid", "item", "score"])
 
     def search(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches(parts, 2048, 8 << 20):
+        for part in batches(parts, 512, 2 << 20):
             yield from scored(part.column(0), *words_of(strings(part.column(1))))
 
     return docs.select("uid", "text").mapInArrow(search, "uid long, item long, score double")
