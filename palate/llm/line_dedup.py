@@ -2,8 +2,12 @@
 
 Lines are compared by their character shingles. A signature is the least hash in each of 60
 bins of the shingles' hashes (one pass over a line, empty bins borrow from the next full one); 12
-bands of 5 find 99 % of the pairs at the threshold and more above it. In each band's bucket every line is
-checked against the bucket's first line, which connects most of what belongs together. Where a bucket's other lines
+bands of 5 find 99 % of the pairs at the threshold and more above it.
+
+Most lines of a bucket are unlike all others there. A bitmap of each line's shingles tells: a place that only one
+of two bitmaps has is a shingle that only one of the lines has, so too many such places rule a pair out, and
+no similar pair. Lines that are ruled out with every other line of their bucket leave it before texts are read. In what is
+left of a bucket every line is checked against the first line, which connects most of what belongs together. Where the others
 are not all connected by that, they are compared with each other, in blocks of bounded size; pairs that are
 connected already are not looked at again. Checked
 pairs are the edges of a graph; of each component the first line in the corpus stays.
@@ -19,7 +23,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from palate.llm.common import MIX_A, batches, components, hash_filter, hash_strings, in_filter, mix, stage, strings
+from palate.llm.common import MIX_A, batches, components, gather, hash_filter, hash_strings, in_filter, mix, stage, strings
 from palate.operators.staging import discard
 
 SHINGLE = 5
@@ -28,15 +32,37 @@ SIMILARITY = 0.8
 #: Lines of a bucket, and bytes of their shingles, that meet as many others in one task.
 BLOCK_LINES = 4096
 BLOCK_BYTES = 8 << 20
+#: Lines whose shingles are made at once, so that they stay in the processor's cache.
+CACHED = 256
+#: Places of the smallest bitmap; a larger one has a power of two, twice the line's shingles or more.
+BITS = 256
+#: Shingles of a line from which repeats are left out of their number.
+LONG = 1024
+#: Keys that meet in one part.
+PART_KEYS = 1 << 20
+#: Pairs whose sets are compared by one sort.
+SORTED = 1024
+#: Lines of a block of a bucket whose pairs are listed.
+FEW = 64
+#: Words of bitmaps that are compared at once.
+WORDS = 1 << 20
 EMPTY = np.uint64(2**64 - 1)
 #: Odd factors of a shingle's characters.
 FACTORS = [np.uint64(f | 1) for f in mix(np.arange(1, SHINGLE + 1, dtype=np.uint64)).tolist()]
 
 
+#: What a line with other white space than single spaces between words has, and a few more.
+SPACED = r"^ |  | $|[\x00-\x1f\x{7f}-\x{a0}\x{1680}\x{180e}\x{2000}-\x{200f}\x{2028}-\x{202f}\x{205f}\x{3000}\x{feff}]"
+
+
 def normal(lines: pa.Array) -> pa.Array:
     """Lines in lower case, white space as one space, none at the ends."""
-    words = pc.utf8_split_whitespace(pc.utf8_lower(lines))
-    return pc.utf8_trim_whitespace(pc.binary_join(words, pa.scalar(" ", words.type.value_type)))
+    lower = pc.utf8_lower(lines)
+    spaced = pc.match_substring_regex(lower, SPACED)
+    if not pc.any(spaced).as_py():
+        return lower
+    words = pc.utf8_split_whitespace(lower.filter(spaced))
+    return pc.replace_with_mask(lower, spaced, pc.utf8_trim_whitespace(pc.binary_join(words, pa.scalar(" ", words.type.value_type))))
 
 
 def shingles(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -61,9 +87,22 @@ def shingles(lines: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return ends, value
 
 
+def bitmaps(ends: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(offsets in bytes, bytes) of a bitmap of each line's shingles, by their last bits."""
+    sizes = np.diff(ends)
+    places = np.maximum(BITS, 1 << np.ceil(np.log2(2 * sizes)).astype(np.int64))
+    starts = np.concatenate([[0], np.cumsum(places)])
+    flat = np.zeros(starts[-1], bool)
+    flat[np.repeat(starts[:-1], sizes) + (hashes & np.repeat((places - 1).astype(np.uint64), sizes)).view(np.int64)] = True
+    return starts // 8, np.packbits(flat, bitorder="little")
+
+
 def band_keys(lines: pa.Array) -> np.ndarray:
     """BANDS keys of each line."""
-    ends, hashes = shingles(lines)
+    return _band_keys(*shingles(lines))
+
+
+def _band_keys(ends: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     bins = BANDS * ROWS
     n = len(ends) - 1
     where = np.repeat(np.arange(n) * bins, np.diff(ends)) + (((hashes >> np.uint64(40)) * np.uint64(bins)) >> np.uint64(24)).astype(np.int64)
@@ -86,16 +125,41 @@ def band_keys(lines: pa.Array) -> np.ndarray:
     return keys
 
 
+def signs(lines: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(keys, sizes, bitmaps) of lines; a size counts shingles, with repeats unless there are many."""
+    keys, sizes, ends, data = [np.zeros((0, BANDS), np.uint64)], [np.zeros(0, np.int64)], [np.zeros(1, np.int64)], [np.zeros(0, np.uint8)]
+    for at in range(0, len(lines), CACHED):
+        own = shingles(lines.slice(at, CACHED))
+        keys.append(_band_keys(*own))
+        sizes.append(np.diff(own[0]))
+        for i in np.flatnonzero(sizes[-1] > LONG).tolist():
+            sizes[-1][i] = len(np.unique(own[1][own[0][i] : own[0][i + 1]]))
+        starts, flat = bitmaps(*own)
+        ends.append(starts[1:] + ends[-1][-1])
+        data.append(flat)
+    maps = pa.Array.from_buffers(pa.large_binary(), len(lines), [None, pa.py_buffer(np.concatenate(ends)), pa.py_buffer(np.concatenate(data))])
+    return np.concatenate(keys), np.concatenate(sizes), maps
+
+
+def _cut(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """(row, place in it, line) of the lines of texts, as they are."""
+    lists = pc.split_pattern(strings(texts), "\n")
+    rows = np.asarray(pc.list_parent_indices(lists)).astype(np.int64)
+    return rows, np.arange(len(rows)) - (np.asarray(lists.offsets) - lists.offsets[0].as_py())[rows], lists.flatten()
+
+
+def _place(uid: np.ndarray, pos: np.ndarray) -> np.ndarray:
+    return mix(uid.view(np.uint64) + pos.astype(np.uint64) * MIX_A).view(np.int64)
+
+
 def _lines_of(docs: DataFrame) -> DataFrame:
-    """(uid, doc_id, pos, line, keys) of every line that is not blank, from (uid, doc_id, text). keys is set once
-    for each distinct line of a batch."""
+    """(uid, doc_id, pos, line, keys, size, bits, place) of every line that is not blank, from (uid, doc_id, text). What
+    comes after line is set once for each distinct line of a batch."""
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches(parts, 1024, 2 << 20):
-            lists = pc.split_pattern(strings(part.column(2)), "\n")
-            rows = np.asarray(pc.list_parent_indices(lists)).astype(np.int64)
-            pos = np.arange(len(rows)) - (np.asarray(lists.offsets) - lists.offsets[0].as_py())[rows]
-            lines = normal(lists.flatten())
+            rows, pos, lines = _cut(part.column(2))
+            lines = normal(lines)
             full = np.asarray(pc.not_equal(lines, ""))
             rows, pos, lines = rows[full], pos[full], lines.filter(pa.array(full))
             if not len(rows):
@@ -103,49 +167,197 @@ def _lines_of(docs: DataFrame) -> DataFrame:
             coded = lines.dictionary_encode()
             codes = np.asarray(coded.indices).astype(np.int64)
             name = hash_strings(coded.dictionary).view(np.int64)
-            keys = band_keys(coded.dictionary).view(np.int64)
-            _, first = np.unique(codes, return_index=True)
+            _, first = np.unique(codes, return_index=True)  # codes are numbered as they come
+            keys, sizes, maps = signs(coded.dictionary)
             has = np.zeros(len(codes), bool)
             has[first] = True
+            which = pa.array(np.where(has, codes, 0), mask=~has)
             ends = np.concatenate([[0], np.cumsum(has * BANDS)]).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys[codes[has]].ravel()), mask=pa.array(~has))
-            yield pa.RecordBatch.from_arrays([part.column(0).take(pa.array(rows)), part.column(1).take(pa.array(rows)), pa.array(pos, pa.int32()), pa.array(name[codes]), lists], ["uid", "doc_id", "pos", "line", "keys"])
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.view(np.int64)[codes[has]].ravel()), mask=pa.array(~has))
+            uid = part.column(0).take(pa.array(rows))
+            place = pa.array(_place(np.asarray(uid), pos), mask=~has)
+            yield pa.RecordBatch.from_arrays(
+                [uid, part.column(1).take(pa.array(rows)), pa.array(pos, pa.int32()), pa.array(name[codes]), lists, pa.array(sizes, pa.int64()).take(which), maps.take(which).cast(pa.binary()), place],
+                ["uid", "doc_id", "pos", "line", "keys", "size", "bits", "place"],
+            )
 
-    return docs.mapInArrow(cut, "uid long, doc_id long, pos int, line long, keys array<long>")
+    return docs.mapInArrow(cut, "uid long, doc_id long, pos int, line long, keys array<long>, size long, bits binary, place long")
 
 
-def _texts_of(names: DataFrame, docs: DataFrame) -> DataFrame:
-    """(line, text) of the named lines and, as the filter lets a few others pass, some more."""
-    bits = docs.sparkSession.sparkContext.broadcast(hash_filter(names, "line"))
+def _texts_of(places: DataFrame, docs: DataFrame) -> DataFrame:
+    """(line, text) of the lines at these places and, as the filter lets a few others pass, some more."""
+    bits = docs.sparkSession.sparkContext.broadcast(hash_filter(places, "place"))
 
     def read(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches(parts, 1024, 2 << 20):
-            lines = pc.unique(normal(pc.split_pattern(strings(part.column(0)), "\n").flatten()))
-            names = hash_strings(lines)
-            kept = in_filter(bits.value, names)
-            yield pa.RecordBatch.from_arrays([pa.array(names[kept].view(np.int64)), lines.filter(pa.array(kept)).cast(pa.string())], ["line", "text"])
+            rows, pos, lines = _cut(part.column(1))
+            kept = in_filter(bits.value, _place(np.asarray(part.column(0))[rows], pos))
+            lines = normal(lines.filter(pa.array(kept)))
+            yield pa.RecordBatch.from_arrays([pa.array(hash_strings(lines).view(np.int64)), lines.cast(pa.string())], ["line", "text"])
+
+    return docs.select("uid", "text").mapInArrow(read, "line long, text string").dropDuplicates(["line"])
+
+
+def _buckets(lines: DataFrame, n_lines: int) -> DataFrame:
+    """(bucket, line) of the buckets with more than one line. Bands whose buckets hold the same lines are one.
+
+    Keys travel in packed lists to parts of a bounded number of keys, where equal ones meet."""
+    spark = lines.sparkSession
+    parts_ = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n_lines * BANDS // PART_KEYS))
+
+    def deal(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            lists = part.column(0)
+            key = np.asarray(lists.flatten())
+            line = np.repeat(np.asarray(part.column(1)), np.diff(np.asarray(lists.offsets)))
+            own = (mix(key.view(np.uint64)) % np.uint64(parts_)).astype(np.int32)
+            order = np.argsort(own, kind="stable")
+            both = np.stack([key[order], line[order]], axis=1)
+            names, starts = np.unique(own[order], return_index=True)
+            ends = np.append(starts, len(own))
+            data = pa.Array.from_buffers(pa.large_binary(), len(names), [None, pa.py_buffer(ends.astype(np.int64) * 16), pa.py_buffer(both)])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int32()), data.cast(pa.binary())], ["part", "rows"])
+
+    def meet(table: pa.Table) -> pa.Table:
+        key, line = np.concatenate([np.frombuffer(x.as_buffer(), np.int64).reshape(-1, 2) for x in table.column("rows")]).T
+        order = np.lexsort([line, key])
+        key, line = key[order], line[order]
+        new = np.append(True, (key[1:] != key[:-1]) | (line[1:] != line[:-1]))
+        key, line = key[new], line[new].view(np.uint64)
+        starts = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        counts = np.diff(np.append(starts, len(key)))
+        bucket = np.repeat(mix(np.add.reduceat(mix(line), starts) + counts.astype(np.uint64) * MIX_A), counts)
+        many = np.repeat(counts > 1, counts)
+        return pa.table([pa.array(bucket[many].view(np.int64)), pa.array(line[many].view(np.int64))], ["bucket", "line"])
+
+    dealt = lines.filter("keys is not null").select("keys", "line").mapInArrow(deal, "part int, rows binary")
+    return dealt.groupBy("part").applyInArrow(meet, "bucket long, line long").distinct()
+
+
+def _marks(lines: DataFrame, names: DataFrame) -> DataFrame:
+    """(line, size, bits, place) of the named lines and, as the filter lets a few others pass, some more."""
+    bits = lines.sparkSession.sparkContext.broadcast(hash_filter(names, "line"))
+
+    def named(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in parts:
+            yield part.filter(pa.array(in_filter(bits.value, np.asarray(part.column(0)))))
+
+    marks = lines.filter("keys is not null").select("line", "size", "bits", "place")
+    return marks.mapInArrow(named, marks.schema).dropDuplicates(["line"])
+
+
+class Bitmaps:
+    """Bitmaps of many lines, narrowed where a narrower one is asked against them."""
+
+    def __init__(self, maps: pa.Array, sizes: np.ndarray, similarity: float) -> None:
+        maps = maps.cast(pa.large_binary())
+        ends = np.frombuffer(maps.buffers()[1], np.int64)[maps.offset : maps.offset + len(maps) + 1]
+        data = np.frombuffer(maps.buffers()[2], np.uint8)
+        self.words, self.sizes = np.diff(ends) // 8, sizes
+        #: By width, wide to narrow: where each line's bitmap is, and the bitmaps.
+        self.tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+        self.share = (1 - similarity) / (1 + similarity)
+        wide, held = np.zeros((0, 0), np.uint64), np.zeros(0, np.int64)
+        for width in (BITS // 64 << np.arange(40))[::-1].tolist():
+            own = np.flatnonzero(self.words == width)
+            if not len(own) and not len(held):
+                continue
+            wide = wide[:, :width] | wide[:, width:] if len(held) else np.zeros((0, width), np.uint64)
+            flat, _ = gather(ends, data, own)
+            wide, held = np.concatenate([wide, flat.view("<u8").reshape(len(own), width)]), np.concatenate([held, own])
+            at = np.full(len(maps), -1)
+            at[held] = np.arange(len(held))
+            self.tables[width] = at, wide
+
+    def may_link(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Which of the pairs are not ruled out: their shingles may have the similarity."""
+        width = np.minimum(self.words[a], self.words[b])
+        out = np.zeros(len(a), bool)
+        for w in np.unique(width).tolist():
+            at, table = self.tables[w]
+            for pairs in np.split(np.flatnonzero(width == w), range(max(1, WORDS // w), len(a), max(1, WORDS // w))):
+                x, y = a[pairs], b[pairs]
+                unlike = np.bitwise_count(table[at[x]] ^ table[at[y]]).sum(axis=1, dtype=np.int64)
+                out[pairs] = unlike <= self.share * (self.sizes[x] + self.sizes[y]) + 1e-6
+        return out
+
+
+def _with_partner(rows: DataFrame, similarity: float, listed: bool = False) -> DataFrame:
+    """Of rows (bucket, low, high, line, root, block, size, bits, ...), those whose line may be similar to a line of another root
+    in the same bucket, low and high; if low is not high, in the other block. Or, listed, all such pairs: lines (a, b) and roots (ra, rb)."""
+    box = ["bucket", "low", "high"]
+    inner = [c for c in rows.columns if c not in box]
+    schema = "a long, b long, ra long, rb long" if listed else rows.select(*box, *inner).schema
+
+    def check(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in batches(parts, 4096, 16 << 20):
+            lists = part.column(3)
+            counts = np.diff(np.asarray(lists.offsets))
+            group = np.repeat(np.arange(len(counts)), counts)
+            ends = np.cumsum(counts)[group]
+            flat = lists.flatten()
+            line, root, block = (np.asarray(flat.field(c)) for c in ("line", "root", "block"))
+            two = (np.asarray(part.column(1)) != np.asarray(part.column(2)))[group]
+            maps = Bitmaps(flat.field("bits"), np.asarray(flat.field("size")), similarity)
+            found, links = np.zeros(len(flat), bool), []
+            a, step = np.arange(len(flat)), 0
+            while len(a):
+                step += 1
+                a = a[a + step < ends[a]]
+                b = a + step
+                open_ = ~(found[a] & found[b]) & (root[a] != root[b]) & (~two[a] | (block[a] != block[b]))
+                x, y = a[open_], b[open_]
+                near = maps.may_link(x, y)
+                if listed:
+                    links.append(np.stack([x[near], y[near]]))
+                else:
+                    found[x[near]] = found[y[near]] = True
+            if listed:
+                x, y = np.concatenate(links, axis=1)
+                x, y = np.where(line[x] < line[y], x, y), np.where(line[x] < line[y], y, x)
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (line[x], line[y], root[x], root[y])], ["a", "b", "ra", "rb"])
+                continue
+            own, taken = pa.array(group[found]), flat.filter(pa.array(found))
+            yield pa.RecordBatch.from_arrays([*(part.column(i).take(own) for i in range(3)), *taken.flatten()], [*part.schema.names[:3], *(f.name for f in taken.type)])
+
+    return rows.groupBy(*box).agg(F.collect_list(F.struct(*inner)).alias("lines")).mapInArrow(check, schema)
+
 
-    return docs.select("text").mapInArrow(read, "line long, text string").dropDuplicates(["line"])
+def similar_pairs(ends: np.ndarray, hashes: np.ndarray, a: np.ndarray, b: np.ndarray, similarity: float) -> np.ndarray:
+    """Which pairs (a, b) of lists have sets of that Jaccard similarity or more; SORTED pairs at most. A shingle is
+    known by the first 53 bits of its hash, the others name the pair and the side, so that one sort makes all sets meet."""
+    sides = []
+    for k, codes in enumerate((a, b)):
+        flat, at = gather(ends, hashes, codes)
+        tag = (np.arange(len(codes)) * 2 + k).astype(np.uint64)
+        sides.append((flat & ~np.uint64(2 * SORTED - 1)) | np.repeat(tag, np.diff(at)))
+    found = np.sort(np.concatenate(sides))
+    found = found[np.append(True, found[1:] != found[:-1])] >> np.uint64(1)
+    pair = (found & np.uint64(SORTED - 1)).astype(np.int64)
+    held = np.bincount(pair, minlength=len(a))
+    both = np.bincount(pair[1:][found[1:] == found[:-1]], minlength=len(a))
+    return both >= similarity * (held - both)
 
 
 def _similar(pairs: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b, a_text, b_text) whose shingle sets have that Jaccard similarity or more."""
+    """The pairs (a, b, and other columns of numbers) whose lines' shingle sets have that Jaccard similarity or more, from their a_text and b_text."""
+    rest = [c for c in pairs.columns if c not in ("a_text", "b_text")]
 
     def check(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches(parts, 1024, 4 << 20):
-            sides = []
-            for k in (2, 3):
-                coded = part.column(k).cast(pa.large_string()).dictionary_encode()
-                ends, hashes = shingles(coded.dictionary)
-                sets = [np.unique(hashes[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-                sides.append([sets[c] for c in coded.indices.to_pylist()])
-            keep = []
-            for x, y in zip(*sides, strict=True):
-                both = len(np.intersect1d(x, y, assume_unique=True)) if min(len(x), len(y)) >= similarity * max(len(x), len(y)) else 0
-                keep.append(both >= similarity * (len(x) + len(y) - both))
-            yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return pairs.select("a", "b", "a_text", "b_text").mapInArrow(check, "a long, b long")
+        for part in batches(parts, 128, 1 << 18):
+            n = part.num_rows
+            coded = pa.concat_arrays([part.column(k).cast(pa.large_string()) for k in (0, 1)]).dictionary_encode()
+            ends, hashes = shingles(coded.dictionary)
+            codes = np.asarray(coded.indices).astype(np.int64)
+            yield part.select(rest).filter(pa.array(similar_pairs(ends, hashes, codes[:n], codes[n:], similarity)))
+
+    return pairs.select("a_text", "b_text", *rest).mapInArrow(check, pairs.select(*rest).schema)
+
+
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    for side in ("a", "b"):
+        pairs = pairs.join(texts.select(F.col("line").alias(side), F.col("text").alias(f"{side}_text")), side)
+    return pairs
 
 
 def block_links(sets: list[np.ndarray], side: np.ndarray, component: np.ndarray, similarity: float) -> list[tuple[int, int]]:
@@ -193,19 +405,20 @@ def block_links(sets: list[np.ndarray], side: np.ndarray, component: np.ndarray,
 
 def _rest_links(entries: DataFrame, roots: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Edges (a, b) between components (line, root) whose lines are similar and share a bucket, from the lines
-    (key, line) of each bucket that are not its first."""
-    box = Window.partitionBy("key")
-    size = (F.length("text") * 8).cast("long").alias("size")
-    known = entries.select("key", "line").join(roots, "line", "left").withColumn("root", F.coalesce("root", "line"))
-    open_ = known.withColumn("least", F.min("root").over(box)).withColumn("most", F.max("root").over(box)).filter("least <> most").select("key", "line", "root")
-    sized = open_.join(texts.select("line", size), "line")
-    # bands whose buckets hold the same lines are one
-    sized = sized.withColumn("n", F.count("*").over(box)).withColumn("bytes", F.sum("size").over(box)).withColumn("bucket", F.xxhash64("n", F.bit_xor("line").over(box), F.bit_xor(F.xxhash64("line")).over(box)))
+    (bucket, line, size, bits) of each bucket."""
+    box = Window.partitionBy("bucket")
+    known = entries.join(roots, "line", "left").withColumn("root", F.coalesce("root", "line"))
+    open_ = known.withColumn("least", F.min("root").over(box)).withColumn("most", F.max("root").over(box)).filter("least <> most").drop("least", "most")
+    sized = open_.withColumn("n", F.count("*").over(box)).withColumn("bytes", F.sum("size").over(box) * 8)
     blocks = F.ceil(F.greatest(F.col("n") / BLOCK_LINES, F.col("bytes") / BLOCK_BYTES)).cast("int")
-    rest = stage(sized.select("bucket", "line", "root", blocks.alias("blocks")).distinct(), "line-rests")
+    rest = stage(sized.select("bucket", "line", "root", "size", "bits", blocks.alias("blocks")), "line-rests")
     block = F.pmod(F.xxhash64("line"), F.col("blocks")).cast("int")
     meet = rest.withColumn("block", block).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = meet.select("bucket", "line", "root", "block", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
+    dealt = meet.select("bucket", "line", "root", "block", "size", "bits", F.least("block", "with").alias("low"), F.greatest("block", "with").alias("high"))
+    left = _with_partner(dealt, similarity).withColumn("n", F.count("*").over(Window.partitionBy("bucket", "low", "high")))
+    left = stage(left, "line-open")
+    pairs = _with_partner(left.filter(F.col("n") <= FEW).drop("n"), similarity, True).distinct()
+    linked = _similar(_with_texts(pairs, texts), similarity).select(F.col("ra").alias("a"), F.col("rb").alias("b"))
 
     def compare(table: pa.Table) -> pa.Table:
         names, roots, side = (np.asarray(table.column(c)) for c in ("line", "root", "block"))
@@ -216,19 +429,33 @@ def _rest_links(entries: DataFrame, roots: DataFrame, texts: DataFrame, similari
         found = np.array(block_links(sets, side[order], np.unique(roots, return_inverse=True)[1], similarity), np.int64).reshape(-1, 2)
         return pa.table([pa.array(roots[found[:, 0]]), pa.array(roots[found[:, 1]])], ["a", "b"])
 
-    return dealt.join(texts, "line").groupBy("bucket", "low", "high").applyInArrow(compare, "a long, b long")
+    many = left.filter(F.col("n") > FEW).select("bucket", "line", "root", "block", "low", "high")
+    return linked.unionByName(many.join(texts, "line").groupBy("bucket", "low", "high").applyInArrow(compare, "a long, b long"))
+
+
+def _entries(lines: DataFrame, n_lines: int, similarity: float) -> DataFrame:
+    """(bucket, line, size, bits, place) of the lines that may be similar to another of their bucket; all lines of buckets that are
+    more than a block."""
+    buckets = stage(_buckets(lines, n_lines), "line-buckets")
+    marks = _marks(lines, buckets.select("line").distinct())
+    met = stage(buckets.join(marks, "line"), "line-marks")
+    discard(buckets)
+    large = met.groupBy("bucket").agg(F.count("*").alias("n"), F.sum("size").alias("size")).filter((F.col("n") > BLOCK_LINES) | (F.col("size") * 8 > BLOCK_BYTES)).select("bucket")
+    large = F.broadcast(stage(large, "large-buckets"))  # each has a block of lines or bytes
+    zero = F.lit(0)
+    one = met.join(large, "bucket", "left_anti").select("bucket", zero.alias("low"), zero.alias("high"), "line", F.col("line").alias("root"), zero.alias("block"), "size", "bits", "place")
+    entries = stage(_with_partner(one, similarity).select(*met.columns).unionByName(met.join(large, "bucket", "left_semi")), "line-partners")
+    discard(met)
+    return entries
 
 
 def similar_lines(lines: DataFrame, docs: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
     """(line, root) of the lines that are similar to another: components of all pairs that share a bucket."""
-    keyed = lines.filter("keys is not null").select(F.explode("keys").alias("key"), "line")
-    hub = F.min("line").over(Window.partitionBy("key"))
-    entries = stage(keyed.withColumn("a", hub).filter("a <> line").select("key", "a", "line").distinct(), "line-buckets")
-    pairs = stage(entries.select("a", F.col("line").alias("b")).distinct(), "line-pairs")
-    texts = stage(_texts_of(pairs.select(F.explode(F.array("a", "b")).alias("line")).distinct(), docs), "line-texts")
-    both = pairs.join(texts.select(F.col("line").alias("a"), F.col("text").alias("a_text")), "a").join(texts.select(F.col("line").alias("b"), F.col("text").alias("b_text")), "b")
-    near = components(_similar(both, similarity), "lines").select(F.col("node").alias("line"), "root")
-    discard(pairs)
+    entries = _entries(lines, lines.filter("keys is not null").count(), similarity)
+    hub = F.min("line").over(Window.partitionBy("bucket"))
+    pairs = entries.select("line", hub.alias("a")).filter("a <> line").select("a", F.col("line").alias("b")).distinct()
+    texts = stage(_texts_of(entries.select("place").distinct(), docs), "line-texts")
+    near = components(_similar(_with_texts(pairs, texts), similarity), "lines").select(F.col("node").alias("line"), "root")
     more = components(_rest_links(entries, near, texts, similarity), "line-rests")
     discard(entries, texts)
     moved = near.join(more.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left")
@@ -246,7 +473,7 @@ def dedup_lines(docs: DataFrame, similarity: float = SIMILARITY, id_col: str = "
     uid = F.xxhash64(F.col(id_col), F.col(text_col))
     keyed = docs.select(uid.alias("uid"), F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     found = stage(_lines_of(keyed), "keyed-lines")
-    lines = stage(found.drop("keys"), "lines")
+    lines = stage(found.select("uid", "doc_id", "pos", "line"), "lines")
     roots = similar_lines(found, keyed, similarity)
     discard(found)
     places = lines.join(roots, "line", "left").select("uid", F.struct("doc_id", "uid", "pos").alias("at"), "pos", F.coalesce("root", "line").alias("root"))

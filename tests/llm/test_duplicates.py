@@ -223,6 +223,48 @@ def test_line_dedup_compares_all_lines_of_a_bucket(spark, monkeypatch, block):
     assert kept == linked_in_buckets(lines)
 
 
+def test_bitmaps_rule_out_no_similar_pair():
+    own = random.Random(3)
+    words = [f"{a}{b}{c}" for a in "bdkl" for b in "aeiou" for c in "nrst"]
+    lines = ["x", "abcd", "aa " * 2000, "aa " * 2000 + "b", "ab" * 900]
+    for _ in range(40):
+        base = own.choices(words, k=own.choice([1, 3, 12, 60, 400]))
+        for _ in range(4):
+            line = list(base)
+            for _ in range(own.randrange(len(base) // 6 + 1)):
+                line[own.randrange(len(line))] = own.choice(words)
+            lines.append(" ".join(line))
+    arrow = pa.array(lines, pa.large_string())
+    _, sizes, maps = line_dedup.signs(arrow)
+    a, b = np.triu_indices(len(lines), 1)
+    may = line_dedup.Bitmaps(maps, sizes, 0.8).may_link(a, b)
+    sets = [frozenset(x[i : i + 5] for i in range(max(1, len(x) - 4))) for x in lines]
+    both = np.array([len(sets[i] & sets[j]) for i, j in zip(a, b, strict=True)])
+    near = both >= 0.8 * (np.array([len(sets[i] | sets[j]) for i, j in zip(a, b, strict=True)]))
+    assert near.sum() > 100 and not (near & ~may).any() and may.sum() < 2 * near.sum()
+    ends, hashes = line_dedup.shingles(arrow)
+    for at in range(0, len(a), line_dedup.SORTED):
+        part = slice(at, at + line_dedup.SORTED)
+        assert (line_dedup.similar_pairs(ends, hashes, a[part], b[part], 0.8) == near[part]).all()
+
+
+def test_lines_unlike_their_buckets_leave_them(spark):
+    """Short lines share buckets without being alike; only those with a partner are read again."""
+    lines = template_lines()
+    lone = [f"{x} zzz" for x in ("page one of nine", "page two of nine", "page six of nine", "page ten of nine")]
+    table = spark.createDataFrame(list(enumerate(lines + lone)), "doc_id long, text string").selectExpr("xxhash64(doc_id, text) uid", "doc_id", "text")
+    found = line_dedup._lines_of(table).cache()
+    buckets = line_dedup._buckets(found, len(lines) + len(lone))
+    want = {}
+    for i, keys in enumerate(line_dedup.band_keys(pa.array(lines + lone, pa.large_string())).tolist()):
+        for key in keys:
+            want.setdefault(key, set()).add(i)
+    want = {frozenset(x) for x in want.values() if len(x) > 1}
+    assert buckets.select("bucket").distinct().count() == len(want) and buckets.count() == sum(map(len, want))
+    entries = line_dedup._entries(found, len(lines) + len(lone), 0.8)
+    assert 0 < entries.count() < buckets.count()
+
+
 def test_line_dedup_query(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{TINY}/documents.parquet").select("doc_id", "text").collect()]
     got = {r.doc_id: r.text for r in queries.op7_minhash_lines(spark, TINY).collect()}
