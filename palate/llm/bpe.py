@@ -1,7 +1,7 @@
 """Ids of a word-level BPE (a tokenizers JSON file) for many texts at once.
 
 Nearly every text is made of Latin-1 characters. For those the distinct words of a batch are merged
-together, one step of every word at a time, in arrays; all other texts, very long words and texts with the
+together, one step of every word at a time, in arrays, and remembered for later batches; all other texts, very long words and texts with the
 strings of special tokens go to the tokenizers library itself.
 """
 
@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import json
 import re
+from functools import lru_cache
 from itertools import chain
 
 import numpy as np
@@ -23,6 +24,8 @@ PLAIN = r"^[\t\n\r\x20-\x7e\x{a1}-\x{ff}]*$"
 LETTER, NUMBER = "a-zª-ªµºß-öø-ÿ", "0-9²³¹¼½¾"
 WORD = re.compile(f"'(?:s|t|re|ve|m|ll|d)|[{LETTER}]+|[{NUMBER}]|[^\\s{LETTER}{NUMBER}]+")
 LONGEST = 256
+#: Strings between white space, of LONGEST bytes at most, whose ids are remembered.
+REMEMBERED = 1 << 19
 
 
 class WordBpe:
@@ -45,6 +48,7 @@ class WordBpe:
         keys = np.array([vocab[a] << 32 | vocab[b] for a, b in pairs], np.uint64)
         self.merged = np.array([vocab[a + b] for a, b in pairs], np.int64)
         self.table, self.none = KeyTable(keys), len(pairs)
+        self.known, self.known_ends, self.known_ids = pa.array([], pa.large_string()), np.zeros(1, np.int64), np.zeros(0, np.int32)
 
     def _ranks(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         found = self.table.find((left.astype(np.uint64) << np.uint64(32)) | right.astype(np.uint64))
@@ -87,14 +91,8 @@ class WordBpe:
         counts = np.bincount(owner, minlength=len(words))
         return np.concatenate([[0], np.cumsum(counts)]), np.concatenate([s for _, s in done])[order].astype(np.int32)
 
-    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-        """(offsets, ids) of texts without nulls."""
-        plain = pc.match_substring_regex(texts, PLAIN)
-        for token in self.special:
-            plain = pc.and_not(plain, pc.match_substring(texts, token))
-            plain = pc.and_not(plain, pc.match_substring(texts, token, ignore_case=True))
-        offsets, codes, chunks = encode_lists(pc.utf8_split_whitespace(pc.utf8_lower(pc.if_else(plain, texts, ""))))
-        chunks = chunks.cast(pa.large_string())
+    def _chunks(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets, ids) of strings between white space, in lower case."""
         pure = pc.match_substring_regex(chunks, f"^[{LETTER}]+$")  # one word each
         cut = [WORD.findall(c) for c in chunks.filter(pc.invert(pure)).to_pylist()]
         pure = np.asarray(pure)
@@ -112,7 +110,32 @@ class WordBpe:
         if len(long):
             ends, ids = self._replace(ends, ids, {int(i): self.library.encode(words[int(i)].as_py(), add_special_tokens=False).ids for i in long})
         flat, flat_ends = gather(ends, ids, word_codes)
-        out, out_ends = gather(flat_ends[chunk_ends], flat, codes)
+        return flat_ends[chunk_ends], flat
+
+    def _remembered(self, chunks: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(offsets, ids, which list each of the chunks has); the first REMEMBERED chunks ever seen are looked up."""
+        at = pc.index_in(chunks, value_set=self.known)
+        new = np.asarray(at.is_null())
+        fresh, n = chunks.filter(pa.array(new)), len(self.known)
+        ends, ids = self._chunks(fresh)
+        which = np.where(new, n + np.cumsum(new) - 1, np.asarray(at.fill_null(0))).astype(np.int64)
+        all_ends, all_ids = np.concatenate([self.known_ends, ends[1:] + self.known_ends[-1]]), np.concatenate([self.known_ids, ids])
+        kept = np.flatnonzero(np.asarray(pc.less_equal(pc.binary_length(fresh), LONGEST)))[: max(0, REMEMBERED - n)]
+        if len(kept):
+            more, more_ends = gather(ends, ids, kept)
+            self.known = pa.concat_arrays([self.known, fresh.take(pa.array(kept))])
+            self.known_ends, self.known_ids = np.concatenate([self.known_ends, more_ends[1:] + self.known_ends[-1]]), np.concatenate([self.known_ids, more])
+        return all_ends, all_ids, which
+
+    def texts(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(offsets, ids) of texts without nulls."""
+        plain = pc.match_substring_regex(texts, PLAIN)
+        for token in self.special:
+            plain = pc.and_not(plain, pc.match_substring(texts, token))
+            plain = pc.and_not(plain, pc.match_substring(texts, token, ignore_case=True))
+        offsets, codes, chunks = encode_lists(pc.utf8_split_whitespace(pc.utf8_lower(pc.if_else(plain, texts, ""))))
+        ends, ids, which = self._remembered(chunks.cast(pa.large_string()))
+        out, out_ends = gather(ends, ids, which[codes])
         out_ends = out_ends[offsets]
         odd = np.flatnonzero(~np.asarray(plain))
         if len(odd):
@@ -126,3 +149,9 @@ class WordBpe:
             parts += [ids[at : ends[i]], np.array(own, np.int32)]
             at, lengths[i] = ends[i + 1], len(own)
         return np.concatenate([[0], np.cumsum(lengths)]), np.concatenate([*parts, ids[at:]])
+
+
+@lru_cache(maxsize=1)
+def word_bpe(path: str) -> WordBpe:
+    """The one of this Python worker, which remembers from task to task."""
+    return WordBpe(path)

@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from palate.llm.bpe import WordBpe
+from palate.llm.bpe import word_bpe
 from palate.llm.common import batches, stage, strings
 
 WINDOW = 4096
@@ -41,7 +41,7 @@ def token_windows(docs: DataFrame, tokenizer_path: str, window: int = WINDOW, en
     included, in runs of `window` and a rest; and of kind 1: how many runs of a batch hold each id."""
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = WordBpe(tokenizer_path)
+        bpe = word_bpe(tokenizer_path)
         for part in batches(parts, 8192, 8 << 20):
             ends, ids = bpe.texts(strings(part.column(1)))
             lengths = np.diff(ends) + 1

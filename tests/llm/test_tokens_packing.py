@@ -36,6 +36,18 @@ def test_array_bpe_equals_the_library():
         assert ids[ends[k] : ends[k + 1]].tolist() == library.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("limit", [5, 1 << 18])
+def test_array_bpe_remembers_what_it_has_merged(monkeypatch, limit):
+    monkeypatch.setattr("palate.llm.bpe.REMEMBERED", limit)
+    bpe, library, texts = WordBpe(WORDS), Tokenizer.from_file(WORDS), ODD + random_texts(300)
+    merged, words = [], bpe.words
+    monkeypatch.setattr(bpe, "words", lambda own: merged.append(len(own)) or words(own))
+    for part in (texts[:100], texts[50:], texts[::-1], texts):
+        ends, ids = bpe.texts(pa.array(part, pa.large_string()))
+        assert [ids[a:b].tolist() for a, b in zip(ends[:-1], ends[1:], strict=True)] == [library.encode(x, add_special_tokens=False).ids for x in part]
+    assert len(bpe.known) <= limit and (merged[-1] < merged[0] / 10) == (limit > 5)
+
+
 def test_pre_token_counts_equal_the_library():
     counter, library = token_counts.PieceCounter(PIECES), SentencePieceProcessor(model_file=PIECES)
     for text in ODD + random_texts(500):
