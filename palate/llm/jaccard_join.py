@@ -6,11 +6,15 @@ all sets in a box.
 
 The upper level of the tree is a fixed set of boxes. Two sets that link differ in at most t shingles, t
 following from their size. If the range is cut into t + 1 + m groups, at least m + 1 groups hold the
-same shingles in both. So a set lies in one box per group, named by what the group holds, and linked
-sets share the box of a group that is not empty. (Of a set with more than m empty groups, the empty ones are
-named too.) Boxes with one set are dropped. Each other set lives in the fullest of its boxes, a leaf,
-and visits the leaves of the sets it shares a box with; leaves and their visitors are dealt in blocks of bounded
-size.
+same shingles in both. So a set lies in one box per group, named by what the group holds. The m boxes of a
+set that hold the fewest shingles are left out, as unlike sets share those most often: linked sets have m + 1 boxes in
+common and leave out by one order, so they still share one. Boxes with one set are dropped. Each other set lives in
+the fullest of its boxes, a leaf, and visits the leaves of the sets it shares a box with; leaves and their visitors
+are dealt in blocks of bounded size.
+
+Sets that share a box by chance grow faster than the corpus, and a set is larger than its text. So bitmaps of the
+sets meet in the leaves first: places that only one of two bitmaps has are shingles that only one of the sets has.
+Sets that are ruled out with every other set leave the leaf before sets are made and shuffled.
 
 In a leaf, points are packed by size into nodes with their upper corners. Nodes, then points, are
 dropped by the bound; survivors are verified on the sets themselves. Pairs that are already connected
@@ -26,10 +30,11 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from palate.llm.common import MIX_A, batches, components, hash_filter, hash_strings, in_filter, mix, split_words, stage, strings
+from palate.llm.line_dedup import Bitmaps, bitmaps
 from palate.operators.staging import discard
 
 #: Bytes of sets in a leaf, and visitors dealt to one task with it.
@@ -74,7 +79,8 @@ def _size_classes(top: int, p: int, q: int) -> tuple[int, ...]:
 
 def box_keys(found: np.ndarray, p: int, q: int) -> np.ndarray:
     """The names of the boxes of a set, for links at p/q or more: as the smaller set of its size
-    class, and as the larger one of the class below."""
+    class, and as the larger one of the class below. Boxes that are left out are the last in the order of their shingles' number and
+    their names, which is the same for all sets."""
     n = len(found)
     tops = _size_classes(1 << max(16, n.bit_length() + 1), p, q)
     own = int(np.searchsorted(tops, n))
@@ -83,7 +89,7 @@ def box_keys(found: np.ndarray, p: int, q: int) -> np.ndarray:
         differ = tops[c] * (q - p) // p if c >= 0 else 0
         if not differ or not n:
             continue
-        spare = 2 + differ // 8
+        spare = 2 + differ // 4
         groups = differ + 1 + spare
         cuts = _cuts(groups)
         firsts = np.searchsorted(found, cuts)
@@ -91,8 +97,8 @@ def box_keys(found: np.ndarray, p: int, q: int) -> np.ndarray:
         full = np.flatnonzero(counts)
         sums = np.zeros(groups, np.uint64)
         sums[full] = np.add.reduceat(mixed, firsts[full])
-        named = full if groups - len(full) <= spare else np.arange(groups)
-        keys.append(mix(sums[named] + mix(named.astype(np.uint64) * MIX_A + np.uint64(c)) + counts[named].astype(np.uint64)))
+        names = mix(sums + mix(np.arange(groups, dtype=np.uint64) * MIX_A + np.uint64(c)) + counts.astype(np.uint64))
+        keys.append(names[np.lexsort([names, counts])[spare:]])
     return np.concatenate(keys) if keys else np.zeros(0, np.uint64)
 
 
@@ -102,36 +108,42 @@ def _cuts(groups: int) -> np.ndarray:
 
 
 def _sets_of(docs: DataFrame, words: int) -> DataFrame:
-    """(doc_id, n_shingles, node) of every row; node is null for a document without words."""
+    """(doc_id, n_shingles, node, bits, text_hash) of every row; node and bits are null for a document without words."""
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches(parts, 4096, 8 << 20):
-            nodes, sizes = [], []
-            for found in shingle_sets(strings(part.column(1)), words):
-                nodes.append(name_of(found) if len(found) else None)
-                sizes.append(len(found))
-            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(nodes, pa.int64())], ["doc_id", "n_shingles", "node"])
+            sets = shingle_sets(strings(part.column(1)), words)
+            sizes = np.array([len(found) for found in sets], np.int64)
+            full = np.flatnonzero(sizes)
+            nodes = pa.array([name_of(sets[i]) for i in full], pa.int64())
+            starts, flat = bitmaps(np.append(0, np.cumsum(sizes[full])), np.concatenate([*sets, np.zeros(0, np.uint64)]))
+            maps = pa.Array.from_buffers(pa.large_binary(), len(full), [None, pa.py_buffer(starts.astype(np.int64)), pa.py_buffer(flat)])
+            which = pa.array(np.cumsum(sizes > 0) - 1, mask=sizes == 0)
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes), nodes.take(which), maps.take(which).cast(pa.binary()), part.column(2)], ["doc_id", "n_shingles", "node", "bits", "text_hash"])
+
+    return docs.select("doc_id", "text", _text_hash()).mapInArrow(cut, "doc_id long, n_shingles long, node long, bits binary, text_hash long")
 
-    return docs.select("doc_id", "text").mapInArrow(cut, "doc_id long, n_shingles long, node long")
+
+def _text_hash() -> Column:
+    return F.xxhash64("text").alias("text_hash")
 
 
 def _boxes_of(docs: DataFrame, words: int, p: int, q: int) -> DataFrame:
-    """(key, node, n_shingles): the boxes of every set that is not empty, once per batch. They are several times the size
+    """(key, node): the boxes of every set that is not empty, once per batch. They are several times the size
     of the texts, so they are made where they are shuffled and not written before."""
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in batches(parts, 4096, 8 << 20):
-            seen, nodes, keys, sizes = set(), [], [], []
+            seen, nodes, keys = set(), [], []
             for found in shingle_sets(strings(part.column(0)), words):
                 if len(found) and (node := name_of(found)) not in seen:
                     seen.add(node)
                     nodes.append(node)
-                    sizes.append(len(found))
                     keys.append(box_keys(found, p, q).view(np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["node", "n_shingles", "keys"])
+            yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))], ["node", "keys"])
 
-    found = docs.select("text").mapInArrow(cut, "node long, n_shingles long, keys array<long>")
-    return found.select(F.explode("keys").alias("key"), "node", "n_shingles")
+    found = docs.select("text").mapInArrow(cut, "node long, keys array<long>")
+    return found.select(F.explode("keys").alias("key"), "node")
 
 
 def count_vectors(sets: list[np.ndarray]) -> np.ndarray:
@@ -190,10 +202,24 @@ def leaf_links(sets: list[np.ndarray], own: np.ndarray, p: int, q: int) -> list[
     return links
 
 
-def _visits(shared: DataFrame) -> DataFrame:
-    """(leaf, node, own) from (key, node, n_shingles, sharers): a row per set and leaf it meets."""
+def partnered(maps: Bitmaps, own: np.ndarray, p: int, q: int) -> np.ndarray:
+    """Which sets, in the order of their sizes, their bitmaps do not rule out with every other: two of the leaf (own), or one
+    of the leaf and a visitor. Pairs of sets that are both known to stay are not looked at."""
+    sizes, stay = maps.sizes, np.zeros(len(own), bool)
+    for i in np.flatnonzero(own).tolist():
+        other = np.arange(*np.searchsorted(sizes, [-(-sizes[i] * p // q), sizes[i] * q // p + 1]))
+        other = other[(~own[other] | (other > i)) & ~(stay[i] & stay[other])]
+        if len(other):
+            near = other[maps.may_link(np.full(len(other), i), other)]
+            stay[near] = True
+            stay[i] |= len(near) > 0
+    return stay
+
+
+def _visits(shared: DataFrame, sizes: DataFrame) -> DataFrame:
+    """(leaf, node, own) from (key, node, sharers) and (node, n_shingles): a row per set and leaf it meets."""
     per_leaf = F.greatest(F.lit(16), F.floor(F.lit(LEAF_BYTES) / (F.col("n_shingles") * 8)))
-    home = shared.groupBy("node").agg(F.max(F.struct("sharers", "key")).alias("home"), F.max("n_shingles").alias("n_shingles"))
+    home = shared.groupBy("node").agg(F.max(F.struct("sharers", "key")).alias("home")).join(sizes, "node")
     home = stage(home.select("node", F.xxhash64("home.key", F.pmod(F.xxhash64("node"), F.ceil(F.col("home.sharers") / per_leaf))).alias("home")), "homes")
     lived = shared.select("key", "node").join(home, "node")
     leaves = lived.select("key", F.col("home").alias("leaf")).distinct()
@@ -203,28 +229,43 @@ def _visits(shared: DataFrame) -> DataFrame:
     return visits
 
 
-def links(docs: DataFrame, words: int, p: int, q: int) -> DataFrame:
-    """Edges (a, b) between the sets of docs (text): a forest of the links' components."""
+def _open(dealt: DataFrame, sets: DataFrame, p: int, q: int) -> DataFrame:
+    """The rows (leaf, block, node, own) of dealt whose sets may link with another one of the block, with the text_hash of a text
+    that has the set."""
+
+    def check(table: pa.Table) -> pa.Table:
+        table = table.take(np.lexsort([table.column("node"), table.column("n_shingles")])).combine_chunks()
+        own = np.asarray(table.column("own"))
+        maps = Bitmaps(table.column("bits").chunk(0), np.asarray(table.column("n_shingles")), p / q)
+        return table.select(["leaf", "block", "node", "own", "text_hash"]).filter(pa.array(partnered(maps, own, p, q)))
+
+    known = sets.filter("node is not null").select("node", "n_shingles", "bits", "text_hash").dropDuplicates(["node"])
+    return dealt.join(known, "node").groupBy("leaf", "block").applyInArrow(check, "leaf long, block int, node long, own boolean, text_hash long")
+
+
+def links(docs: DataFrame, sets: DataFrame, words: int, p: int, q: int) -> DataFrame:
+    """Edges (a, b) between the sets of docs (text), of which `sets` tells: a forest of the links' components."""
     keyed = _boxes_of(docs, words, p, q)
     box = Window.partitionBy("key")
     shared = keyed.withColumn("sharers", F.count("*").over(box)).filter("sharers > 1").withColumn("least", F.min("node").over(box)).withColumn("most", F.max("node").over(box))
-    shared = stage(shared.filter("least <> most").select("key", "node", "n_shingles", "sharers").distinct(), "boxes")
-    visits = _visits(shared)
+    shared = stage(shared.filter("least <> most").select("key", "node", "sharers").distinct(), "boxes")
+    visits = _visits(shared, sets.select("node", "n_shingles").distinct())
     crowd = visits.filter(~F.col("own")).groupBy("leaf").agg(F.count("*").alias("n"))
     blocks = F.ceil(F.coalesce("n", F.lit(0)) / VISITORS).cast("int")
     dealt = visits.join(crowd, "leaf", "left").withColumn("blocks", F.greatest(blocks, F.lit(1)))
     every = F.sequence(F.lit(0), F.col("blocks") - 1)
     one = F.array(F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     dealt = dealt.select("leaf", "node", "own", F.explode(F.when(F.col("own"), every).otherwise(one)).alias("block"))
-    bits = docs.sparkSession.sparkContext.broadcast(hash_filter(shared.select("node").distinct(), "node"))
-    discard(shared)
+    rest = stage(_open(dealt, sets, p, q), "open")
+    discard(shared, visits)
+    bits = docs.sparkSession.sparkContext.broadcast(hash_filter(rest.select("text_hash").distinct(), "text_hash"))
 
     def cut(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in batches(parts, 4096, 8 << 20):
+        named = (part.filter(pa.array(in_filter(bits.value, np.asarray(part.column(1))))) for part in parts)
+        for part in batches(named, 4096, 8 << 20):
             seen, names, data = set(), [], []
             for found in shingle_sets(strings(part.column(0)), words):
-                node = name_of(found)
-                if len(found) and node not in seen and in_filter(bits.value, np.array([node], np.int64))[0]:
+                if len(found) and (node := name_of(found)) not in seen:
                     seen.add(node)
                     names.append(node)
                     data.append(found.astype("<u8").tobytes())
@@ -238,8 +279,8 @@ def links(docs: DataFrame, words: int, p: int, q: int) -> DataFrame:
         forest = np.array(leaf_links([found[i] for i in order], own[order], p, q), np.int64).reshape(-1, 2)
         return pa.table([pa.array(names[order[forest[:, 0]]]), pa.array(names[order[forest[:, 1]]])], ["a", "b"])
 
-    members = docs.select("text").mapInArrow(cut, "node long, members binary").dropDuplicates(["node"])
-    meet = dealt.join(members, "node")
+    members = docs.select("text", _text_hash()).mapInArrow(cut, "node long, members binary").dropDuplicates(["node"])
+    meet = rest.select("leaf", "block", "node", "own").join(members, "node")
     return meet.groupBy("leaf", "block").applyInArrow(compare, "a long, b long")
 
 
@@ -254,7 +295,7 @@ def near_duplicates(docs: DataFrame, words: int = 5, similarity: tuple[int, int]
     p, q = similarity
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     sets = stage(_sets_of(source, words), "shingle-sets")
-    roots = components(links(source, words, p, q), "documents").select("node", "root")
+    roots = components(links(source, sets, words, p, q), "documents").select("node", "root")
     classed = sets.filter("node is not null").select("doc_id", "n_shingles", "node").join(roots, "node", "left").select("doc_id", "n_shingles", F.coalesce("root", "node").alias("root"))
     least = classed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
     alone = sets.filter("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"))

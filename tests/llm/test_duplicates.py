@@ -97,6 +97,43 @@ def test_join_with_small_blocks(spark, monkeypatch):
     assert set(map(tuple, jaccard_join.near_duplicates(table, 4, (85, 100)).collect())) == join_by_hand(docs, 4, 85, 100)
 
 
+def passage_docs() -> list[tuple[int, str]]:
+    """Unlike documents of several sizes with one passage in common, so that they share boxes; three of them have a near copy."""
+    own = random.Random(8)
+    passage = [f"p{i}" for i in range(90)]
+    docs = [passage + [f"w{own.randrange(10**6)}" for _ in range(size)] for size in (200, 210, 330, 1500) for _ in range(25)]
+    docs += [edited(own, docs[i], 3) for i in (3, 40, 90)]
+    return [(i, " ".join(words)) for i, words in enumerate(docs)]
+
+
+def test_unlike_sets_of_a_leaf_are_not_shuffled(spark, monkeypatch):
+    """Only sets that may link are named for the step that makes and shuffles them."""
+    named, real = [], jaccard_join.hash_filter
+    monkeypatch.setattr(jaccard_join, "hash_filter", lambda hashes, name: named.append(hashes.count()) or real(hashes, name))
+    docs = passage_docs()
+    want = join_by_hand(docs, 5, 80, 100)
+    assert len({c for *_, c in want}) == len(docs) - 3
+    assert set(map(tuple, jaccard_join.near_duplicates(spark.createDataFrame(docs, "doc_id long, text string")).collect())) == want
+    assert len(named) == 1 and 6 <= named[0] <= 12
+
+
+def test_bitmaps_leave_every_link():
+    """What may link by its bitmap holds all sets that do, over sizes with bitmaps of several widths."""
+    sets = sorted((np.sort(x) for x in map(np.unique, jaccard_join.shingle_sets(pa.array([t for _, t in family_docs() + passage_docs()], pa.large_string()), 3)) if len(x)), key=len)
+    sizes = np.array([len(x) for x in sets])
+    starts, flat = line_dedup.bitmaps(np.append(0, np.cumsum(sizes)), np.concatenate(sets))
+    maps = line_dedup.Bitmaps(pa.array([flat[a:b].tobytes() for a, b in zip(starts[:-1], starts[1:], strict=True)], pa.binary()), sizes, 0.8)
+    own = np.random.default_rng(3).random(len(sets)) < 0.6
+    linked = set()
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(np.intersect1d(sets[i], sets[j]))
+            if (own[i] or own[j]) and 100 * both >= 80 * (sizes[i] + sizes[j] - both):
+                linked |= {i, j}
+    stay = set(np.flatnonzero(jaccard_join.partnered(maps, own, 80, 100)).tolist())
+    assert linked <= stay and len(linked) > 50 and len(stay) < len(sets) - 50
+
+
 def test_join_query(spark):
     docs = [tuple(r) for r in spark.read.parquet(f"{TINY}/documents.parquet").select("doc_id", "text").collect()]
     assert set(map(tuple, queries.op5_count_vector_join(spark, TINY).collect())) == join_by_hand(docs, 4, 85, 100)
@@ -122,6 +159,27 @@ def test_linked_sets_share_a_box():
             assert len(np.intersect1d(jaccard_join.box_keys(a, 85, 100), jaccard_join.box_keys(b, 85, 100)))
 
 
+def test_sets_of_two_sizes_share_a_box():
+    """Sets of which one holds the other, just at the threshold, and few shingles."""
+    own = np.random.default_rng(4)
+    for n in [*range(4, 60), *range(60, 900, 17)]:
+        b = np.unique(own.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+        for k in range(1, len(b) // 5 + 1, max(1, n // 40)):
+            a = np.delete(b, own.choice(len(b), k, replace=False))
+            assert 5 * len(a) >= 4 * len(b) and len(np.intersect1d(jaccard_join.box_keys(a, 80, 100), jaccard_join.box_keys(b, 80, 100)))
+
+
+def test_boxes_of_a_shared_passage_are_few():
+    """Boxes with the fewest shingles, which unlike sets share most often, are not named."""
+    own = np.random.default_rng(5)
+    fresh = lambda n: own.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2)
+    passage, shared = fresh(30), []
+    for _ in range(60):
+        a, b = (np.unique(np.concatenate([passage, fresh(270)])) for _ in range(2))
+        shared.append(len(np.intersect1d(jaccard_join.box_keys(a, 80, 100), jaccard_join.box_keys(b, 80, 100))))
+    assert np.mean(shared) < 0.2
+
+
 def test_components(spark):
     own = random.Random(4)
     edges = [(own.randrange(60), own.randrange(60)) for _ in range(45)] + [(k, k + 1) for k in range(100, 140)] + [(7, 7)]
